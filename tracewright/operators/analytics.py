@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from tracewright.functions import quantiles as Q
 from tracewright.functions.numbers import count_where, ratio
 from tracewright.functions.time import utc_clock
 from tracewright.operators.ordering import global_rank
-from tracewright.operators.staging import case_aggregates
+from tracewright.operators.staging import case_aggregates, grouped_by_case
 
 # Events whose texts are joined in one step; longer cases are joined from such pieces.
 VARIANT_PIECE = 4_096
@@ -46,19 +46,17 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 # -- case KPIs -----------------------------------------------------------------------------------
 
 
-def case_kpis(events: DataFrame) -> DataFrame:
+def _kpi_aggregates(distinct: Callable[[str], Column]) -> dict[str, Column]:
+    return case_aggregates(distinct) | {"distinct_resource_count": distinct("resource_id")}
+
+
+def case_kpis(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Case attributes and case measures in one row per case; events without a case are left out.
 
     The case table and the event statistics share their grouping key and their input, so one grouping
     of the events gives both and no join is needed.
     """
-    aggregates = case_aggregates()
-    aggregates["distinct_resource_count"] = F.count_distinct("resource_id")
-    grouped = (
-        events.where(F.col("case_id").isNotNull())
-        .groupBy("case_id")
-        .agg(*[column.alias(name) for name, column in aggregates.items()])
-    )
+    grouped = grouped_by_case(events.where(F.col("case_id").isNotNull()), _kpi_aggregates, hot)
     repeats = F.col("event_count") - F.col("distinct_activity_count")
     return grouped.select(
         "*",

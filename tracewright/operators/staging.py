@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -60,7 +62,7 @@ def cleaned_events(events: DataFrame) -> DataFrame:
     )
 
 
-def sequenced_events(events: DataFrame, hot_cases: DataFrame | None = None) -> DataFrame:
+def sequenced_events(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Position in the case, events in the case, and the neighbouring activities and times."""
     return positions_in_group(
         events,
@@ -70,7 +72,7 @@ def sequenced_events(events: DataFrame, hot_cases: DataFrame | None = None) -> D
         total="process_event_count",
         previous={"previous_activity": "activity", "previous_event_timestamp": "event_timestamp"},
         following={"next_activity": "activity", "next_event_timestamp": "event_timestamp"},
-        hot=hot_cases,
+        hot=hot,
     )
 
 
@@ -91,16 +93,18 @@ def flagged_events(events: DataFrame) -> DataFrame:
     )
 
 
-def staged_events(raw: DataFrame, skew: SkewPlan | None = SkewPlan()) -> DataFrame:
-    """raw.events -> staging.events in two shuffles (event_id, then case_id).
+def hot_cases(events: DataFrame, skew: SkewPlan = SkewPlan()) -> DataFrame | None:
+    """Cases with very many rows, looked for in the case column of RAW or staged events.
 
-    Hot cases are looked for in the case column of the raw scan, before the deduplication; ``skew``
-    None skips the search.
+    The only action of this module; it reads a sample of one column. On RAW events it also runs before
+    the deduplication, so that nothing is shuffled for it.
     """
-    hot = None
-    if skew is not None:
-        cases = raw.select(blank_to_null(F.col("case_id").cast("string")).alias("case_id"))
-        hot = hot_keys(cases, "case_id", skew)
+    cases = events.select(blank_to_null(F.col("case_id").cast("string")).alias("case_id"))
+    return hot_keys(cases, "case_id", skew)
+
+
+def staged_events(raw: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+    """raw.events -> staging.events in two shuffles (event_id, then case_id)."""
     return flagged_events(sequenced_events(cleaned_events(latest_delivery(raw)), hot))
 
 
@@ -111,8 +115,15 @@ def _first_last_order() -> Column:
     return F.struct(*EVENT_ORDER)
 
 
-def case_aggregates() -> dict[str, Column]:
-    """Everything staging.cases needs from one grouping of the events by case."""
+def distinct_by_set(column: str) -> Column:
+    return F.size(F.collect_set(column)).cast("bigint")
+
+
+def case_aggregates(distinct: Callable[[str], Column] = distinct_by_set) -> dict[str, Column]:
+    """Everything staging.cases needs from one grouping of the events by case.
+
+    ``distinct`` counts the distinct values of a column.
+    """
     first, last = F.min("event_timestamp"), F.max("event_timestamp")
     seconds = elapsed_seconds(last, first)
     return {
@@ -123,13 +134,13 @@ def case_aggregates() -> dict[str, Column]:
         "case_duration_hours": whole_units(seconds, 3_600),
         "case_duration_days": whole_units(seconds, 86_400),
         "event_count": F.count(F.lit(1)),
-        "distinct_activity_count": F.count_distinct("activity"),
+        "distinct_activity_count": distinct("activity"),
         "start_activity": F.min_by("activity", _first_last_order()),
         "end_activity": F.max_by("activity", _first_last_order()),
         "maximum_cumulative_net_worth_eur": F.max("cumulative_net_worth_eur"),
         "timestamp_outlier_event_count": count_where(F.col("is_timestamp_outlier")),
         "missing_resource_event_count": count_where(F.col("is_resource_missing")),
-        "ingestion_batch_count": F.count_distinct("ingestion_batch_id"),
+        "ingestion_batch_count": distinct("ingestion_batch_id"),
         "first_ingestion_date": F.min("simulated_ingestion_date"),
         "last_ingestion_date": F.max("simulated_ingestion_date"),
     }
@@ -148,12 +159,33 @@ CASE_COLUMNS = (
 )
 
 
-def case_table(events: DataFrame) -> DataFrame:
+def grouped_by_case(
+    events: DataFrame,
+    aggregates: Callable[[Callable[[str], Column]], dict[str, Column]] = case_aggregates,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Group the events by case, with a way of counting distinct values that suits the case.
+
+    A small set per case is the cheap way: one shuffle of partly aggregated rows. For hot cases, whose
+    sets have no useful bound, distinct (case, value) pairs are spread over all tasks instead.
+    """
+
+    def grouped(part: DataFrame, distinct: Callable[[str], Column]) -> DataFrame:
+        return part.groupBy("case_id").agg(
+            *[column.alias(name) for name, column in aggregates(distinct).items()]
+        )
+
+    if hot is None:
+        return grouped(events, distinct_by_set)
+    marked = events.join(F.broadcast(hot), F.xxhash64("case_id") == F.col("_hot"), "left")
+    calm = marked.where(F.col("_hot").isNull()).drop("_hot")
+    busy = marked.where(F.col("_hot").isNotNull()).drop("_hot")
+    return grouped(calm, distinct_by_set).unionByName(grouped(busy, F.count_distinct))
+
+
+def case_table(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """staging.events -> staging.cases, one row per case_id (NULL included)."""
-    grouped = events.groupBy("case_id").agg(
-        *[column.alias(name) for name, column in case_aggregates().items()]
-    )
-    return grouped.select(*CASE_COLUMNS)
+    return grouped_by_case(events, hot=hot).select(*CASE_COLUMNS)
 
 
 # -- checks --------------------------------------------------------------------------------------

@@ -7,7 +7,25 @@ from datetime import datetime
 
 from pyspark.sql import types as T
 
-CANONICAL = T.StructType.fromDDL(
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "SMALLINT": T.ShortType(),
+    "TINYINT": T.ByteType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """``name TYPE, ...`` as a schema, without the running session that ``fromDDL`` asks for."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+
+
+CANONICAL = _struct(
     """
     event_id BIGINT, case_id STRING, case_name STRING, event_sequence INT, activity STRING,
     event_timestamp TIMESTAMP_NTZ, event_date DATE, event_year SMALLINT, event_month TINYINT,
@@ -21,7 +39,7 @@ CANONICAL = T.StructType.fromDDL(
     """
 )
 
-DELIVERY = T.StructType.fromDDL(
+DELIVERY = _struct(
     """
     ingestion_batch_id STRING, ingestion_batch_sequence BIGINT,
     simulated_ingestion_timestamp_utc TIMESTAMP_NTZ, simulated_ingestion_date DATE,
@@ -37,7 +55,7 @@ RAW = T.StructType(
     + list(DELIVERY)
 )
 
-MANIFEST = T.StructType.fromDDL(
+MANIFEST = _struct(
     """
     batch_id STRING, batch_sequence BIGINT, simulated_ingestion_date DATE, row_count BIGINT,
     unique_case_count BIGINT, unique_activity_count BIGINT,
@@ -47,14 +65,14 @@ MANIFEST = T.StructType.fromDDL(
     """
 )
 
-LOAD_HISTORY = T.StructType.fromDDL(
+LOAD_HISTORY = _struct(
     """
     run_id STRING, batch_id STRING, landing_uri STRING, expected_rows BIGINT, loaded_rows BIGINT,
     status STRING, job_id STRING, sha256 STRING, message STRING, load_timestamp_utc TIMESTAMP_NTZ
     """
 )
 
-QUALITY_RESULTS = T.StructType.fromDDL(
+QUALITY_RESULTS = _struct(
     """
     run_id STRING, run_timestamp_utc TIMESTAMP_NTZ, rule_id STRING, rule_name STRING,
     severity STRING, status STRING, failed_rows BIGINT, total_rows BIGINT, failure_rate DOUBLE,
@@ -62,7 +80,7 @@ QUALITY_RESULTS = T.StructType.fromDDL(
     """
 )
 
-RUN_SUMMARY = T.StructType.fromDDL(
+RUN_SUMMARY = _struct(
     """
     run_id STRING, run_timestamp_utc TIMESTAMP_NTZ, rules_executed BIGINT, passed_rules BIGINT,
     warning_rules BIGINT, failed_rules BIGINT, overall_status STRING

@@ -12,7 +12,11 @@ from pyspark.sql import types as T
 from tracewright.operators.ingest import PipelineError
 from tracewright.schema import CANONICAL, MANIFEST, RAW
 
-BATCH_IN_PATH = r"(?:ingestion_batch_id=|/)(batch_\d+)/[^/]*$"
+# A batch has a directory of its own, plain or as a partition value.
+BATCH_IN_PATH = r"[=/](batch_\d+)/[^/]*$"
+
+# Text form of event times in reports; microseconds are kept.
+REPORT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_canonical(spark: SparkSession, path: str) -> DataFrame:
@@ -31,6 +35,7 @@ def read_manifest(spark: SparkSession, path: str, schema: T.StructType = MANIFES
     manifest = (
         spark.read.option("header", True)
         .option("enforceSchema", False)
+        .option("timestampNTZFormat", REPORT_TIME)
         .option("mode", "FAILFAST")
         .schema(schema)
         .csv(path)

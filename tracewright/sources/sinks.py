@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tracewright.sources.files import REPORT_TIME
+
 
 def write_canonical(events: DataFrame, path: str) -> None:
     """One directory per year and month. Months without a readable time go to Hive's null partition.
@@ -29,10 +31,10 @@ def write_batches(batches: DataFrame, path: str) -> None:
     (
         batches.repartition("ingestion_batch_id")
         .sortWithinPartitions("ingestion_batch_id", "batch_row_number")
-        .withColumn("_batch", F.col("ingestion_batch_id"))
+        .withColumn("batch", F.col("ingestion_batch_id"))
         .write.mode("overwrite")
         .option("compression", "snappy")
-        .partitionBy("_batch")
+        .partitionBy("batch")
         .parquet(path)
     )
 
@@ -106,11 +108,22 @@ def append_audit(rows: DataFrame, table: str, schema: T.StructType, time_column:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("encoding", "UTF-8")
+        .option("timestampNTZFormat", REPORT_TIME)
+        .csv(path)
+    )
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("encoding", "UTF-8").json(path)
+    (
+        df.write.mode("overwrite")
+        .option("encoding", "UTF-8")
+        .option("timestampNTZFormat", REPORT_TIME)
+        .json(path)
+    )
 
 
 def sample_rows(df: DataFrame, key: Sequence[str], limit: int) -> DataFrame:

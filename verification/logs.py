@@ -54,19 +54,21 @@ def user_day_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redelivered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user-day log with every fiftieth event delivered again later, with another net worth."""
-    again = {
+    """The user-day log with every fiftieth event delivered twice, later and with another net worth."""
+    again = f"(delivery - 1) * {REDELIVERY}"
+    batch = f"event_id div {BATCH_SIZE} + 1 + {again}"
+    delivered = {
         **_USER_DAY,
-        "cumulative_net_worth_eur": "value + 1",
-        "ingestion_batch_sequence": f"event_id div {BATCH_SIZE} + 1 + {REDELIVERY}",
-        "ingestion_batch_id": f"format_string('batch_%04d', event_id div {BATCH_SIZE} + 1 + {REDELIVERY})",
-        "simulated_ingestion_timestamp_utc": _USER_DAY["simulated_ingestion_timestamp_utc"]
-        + f" + make_dt_interval({REDELIVERY})",
-        "simulated_ingestion_date": f"date_add({_USER_DAY['simulated_ingestion_date']}, {REDELIVERY})",
+        "cumulative_net_worth_eur": "value + delivery - 1",
+        "ingestion_batch_sequence": batch,
+        "ingestion_batch_id": f"format_string('batch_%04d', {batch})",
+        "simulated_ingestion_timestamp_utc": "timestamp_ntz'2026-01-01 08:00:00' + "
+        f"make_dt_interval(cast({batch} - 1 as int))",
+        "simulated_ingestion_date": f"date_add(date'2026-01-01', cast({batch} - 1 as int))",
     }
-    events = table(spark, sf_dir, "events")
-    return events.selectExpr(*_raw_columns(_USER_DAY)).unionAll(
-        events.where("event_id % 50 = 0").selectExpr(*_raw_columns(again))
+    deliveries = "explode(sequence(1, case when event_id % 50 = 0 then 2 else 1 end)) as delivery"
+    return table(spark, sf_dir, "events").selectExpr("*", deliveries).selectExpr(
+        *_raw_columns(delivered)
     )
 
 
