@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-_DATE_FIRST = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
-_OFFSET_LAST = r"(Z|[+-]\d{2}(:?\d{2})?)\s*$"
+# A sign or letter behind the time of day: the text names its own zone.
+_ZONED = r"\d:\d[\d:.]*\s*[A-Za-z+-]"
 
 
 def utc_clock(instant: Column) -> Column:
@@ -23,8 +23,8 @@ def utc_clock(instant: Column) -> Column:
 def parse_utc(column: Column, data_type: T.DataType) -> Column:
     """Event time in UTC from text, date or timestamp; NULL where it cannot be read.
 
-    Text without an offset is taken as UTC. Text that does not start with a full date is NULL, so
-    that a bare time of day is never completed with the current date.
+    Text without a zone is taken as UTC. Text without a full date is NULL: the reading as a plain
+    timestamp asks for one, where the zoned reading would add the current date.
     """
     if isinstance(data_type, T.TimestampNTZType):
         return column
@@ -32,12 +32,9 @@ def parse_utc(column: Column, data_type: T.DataType) -> Column:
         return utc_clock(column)
     if isinstance(data_type, T.DateType):
         return column.cast("timestamp_ntz")
-    text = F.trim(column.cast("string"))
-    has_time = text.rlike(r"\d:\d")
-    with_offset = F.when(text.rlike(_OFFSET_LAST) & has_time, text).otherwise(
-        F.concat(text, F.when(has_time, F.lit("Z")).otherwise(F.lit("T00:00:00Z")))
-    )
-    return F.when(text.rlike(_DATE_FIRST), utc_clock(F.try_to_timestamp(with_offset)))
+    plain = column.try_cast("timestamp_ntz")
+    zoned = column.rlike(_ZONED) & plain.isNotNull()
+    return F.when(zoned, utc_clock(column.try_cast("timestamp"))).otherwise(plain)
 
 
 def elapsed_seconds(later: Column, earlier: Column) -> Column:

@@ -12,7 +12,7 @@ from tracewright.fixed_values import VARIANT_SEPARATOR
 from tracewright.functions import quantiles as Q
 from tracewright.functions.numbers import count_where, ratio
 from tracewright.functions.time import utc_clock
-from tracewright.operators.ordering import global_rank
+from tracewright.operators.ordering import HotKeys, global_rank
 from tracewright.operators.staging import case_aggregates, grouped_by_case
 
 # Events whose texts are joined in one step; longer cases are joined from such pieces.
@@ -50,7 +50,7 @@ def _kpi_aggregates(distinct: Callable[[str], Column]) -> dict[str, Column]:
     return case_aggregates(distinct) | {"distinct_resource_count": distinct("resource_id")}
 
 
-def case_kpis(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def case_kpis(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Case attributes and case measures in one row per case; events without a case are left out.
 
     The case table and the event statistics share their grouping key and their input, so one grouping

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -57,22 +59,63 @@ def global_rank(
     )
 
 
-def hot_keys(df: DataFrame, key: str, plan: SkewPlan = SkewPlan()) -> DataFrame | None:
-    """Hashes of keys that hold more than ``plan.max_rows`` rows, or None when there is none.
+def file_order_rank(df: DataFrame, split: Sequence[str], row: str, column: str) -> DataFrame:
+    """Number rows 1..n in file order without moving them.
 
-    Counts a row sample of the key column alone. The result has at most rows / max_rows entries.
+    ``split`` names the file and block a row was read from, ``row`` grows by one from row to row of a
+    split. Both must come from a settled table. Only the sizes of the splits are ordered and joined.
+    """
+    sizes = df.groupBy(*split).agg(F.min(row).alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = sizes.select(
+        *split,
+        "_first",
+        (F.sum("_rows").over(W.orderBy(*split)) - F.col("_rows")).alias("_before"),
+    )
+    return (
+        df.join(before, list(split))
+        .withColumn(column, F.col("_before") + F.col(row) - F.col("_first") + F.lit(1))
+        .drop("_first", "_before", row, *split)
+    )
+
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Hashes of the keys with very many rows (column ``_hot``) and how many slices they need."""
+
+    keys: DataFrame
+    slices: int
+
+    def mark(self, df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+        """Split ``df`` into its calm and its hot rows.
+
+        At most rows / max_rows hashes are broadcast, eight bytes each.
+        """
+        marked = df.join(
+            F.broadcast(self.keys), F.xxhash64(key) == F.col("_hot"), "left"
+        )
+        calm = marked.where(F.col("_hot").isNull()).drop("_hot")
+        return calm, marked.where(F.col("_hot").isNotNull()).drop("_hot")
+
+
+def hot_keys(df: DataFrame, key: str, plan: SkewPlan = SkewPlan()) -> HotKeys | None:
+    """Keys that hold more than ``plan.max_rows`` rows, or None when there is none.
+
+    Counts a row sample of the key column alone, partly before the shuffle. A key that is missed or
+    flagged in error only changes how the work is spread.
     """
     sampled = df.select(F.xxhash64(key).alias("_hot"))
     if plan.sample_fraction < 1:
         sampled = sampled.sample(fraction=plan.sample_fraction, seed=plan.seed)
-    found = (
+    found = settle(
         sampled.groupBy("_hot")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > plan.max_rows * plan.sample_fraction)
-        .select("_hot")
     )
-    found = settle(found)
-    return None if found.isEmpty() else found
+    sampled_rows = found.agg(F.sum("_rows")).first()[0]
+    if sampled_rows is None:
+        return None
+    slices = math.ceil(sampled_rows / plan.sample_fraction / plan.max_rows)
+    return HotKeys(found.select("_hot"), max(2, 2 * slices))
 
 
 def positions_in_group(
@@ -84,8 +127,7 @@ def positions_in_group(
     total: str | None = None,
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
-    hot: DataFrame | None = None,
-    partitions: int | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add position and size within ``key``, and values of the neighbouring rows.
 
@@ -98,14 +140,10 @@ def positions_in_group(
     if hot is None:
         return _windowed(df, [key], order, position, total, previous, following)
 
-    df = settle(df.withColumn("_hash", F.xxhash64(key)))
-    marked = df.join(F.broadcast(hot), F.col("_hash") == F.col("_hot"), "left").drop("_hash")
-    calm = marked.where(F.col("_hot").isNull()).drop("_hot").withColumn(
-        "_slice", F.lit(-1).cast("bigint")
-    )
-    busy = _sorted_slices(
-        marked.where(F.col("_hot").isNotNull()).drop("_hot"), [F.col(key), *order], partitions
-    )
+    df = settle(df)
+    calm, busy = hot.mark(df, key)
+    calm = calm.withColumn("_slice", F.lit(-1).cast("bigint"))
+    busy = _sorted_slices(busy, [F.col(key), *order], hot.slices)
 
     lasts = [F.max_by(src, "_place").alias(f"_last_{new}") for new, src in previous.items()]
     firsts = [F.min_by(src, "_place").alias(f"_first_{new}") for new, src in following.items()]
@@ -137,18 +175,14 @@ def positions_in_group(
     )
     is_first = F.col(position) == 1
     is_last = F.col(position) == F.col("_slice_rows")
-    columns = {
-        **{n: F.when(is_first, F.col(f"_edge_{n}")).otherwise(F.col(n)) for n in previous},
-        **{n: F.when(is_last, F.col(f"_edge_{n}")).otherwise(F.col(n)) for n in following},
-        position: F.col(position) + F.coalesce("_before", F.lit(0)),
-    }
+    added = {position: F.col(position) + F.coalesce("_before", F.lit(0))}
     if total:
-        columns[total] = F.coalesce("_all", "_slice_rows")
-    wanted = [c for c in sliced.columns if c not in ("_slice", "_slice_rows")]
-    return joined.select(
-        *[columns.pop(c).alias(c) if c in columns else F.col(c) for c in wanted],
-        *[expr.alias(name) for name, expr in columns.items()],
-    )
+        added[total] = F.coalesce("_all", "_slice_rows")
+    for new in previous:
+        added[new] = F.when(is_first, F.col(f"_edge_{new}")).otherwise(F.col(new))
+    for new in following:
+        added[new] = F.when(is_last, F.col(f"_edge_{new}")).otherwise(F.col(new))
+    return joined.select(*df.columns, *[column.alias(name) for name, column in added.items()])
 
 
 def _windowed(

@@ -12,7 +12,7 @@ from tracewright.fixed_values import CASE_ATTRIBUTES, EXPECTED_PERIOD, STAGED_TE
 from tracewright.functions.numbers import count_where
 from tracewright.functions.text import blank_to_null
 from tracewright.functions.time import elapsed_seconds, whole_units
-from tracewright.operators.ordering import hot_keys, positions_in_group
+from tracewright.operators.ordering import HotKeys, hot_keys, positions_in_group
 from tracewright.schema import SkewPlan
 
 EVENT_ORDER = ("event_timestamp", "source_row_number")
@@ -62,7 +62,7 @@ def cleaned_events(events: DataFrame) -> DataFrame:
     )
 
 
-def sequenced_events(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def sequenced_events(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Position in the case, events in the case, and the neighbouring activities and times."""
     return positions_in_group(
         events,
@@ -93,7 +93,7 @@ def flagged_events(events: DataFrame) -> DataFrame:
     )
 
 
-def hot_cases(events: DataFrame, skew: SkewPlan = SkewPlan()) -> DataFrame | None:
+def hot_cases(events: DataFrame, skew: SkewPlan = SkewPlan()) -> HotKeys | None:
     """Cases with very many rows, looked for in the case column of RAW or staged events.
 
     The only action of this module; it reads a sample of one column. On RAW events it also runs before
@@ -103,7 +103,7 @@ def hot_cases(events: DataFrame, skew: SkewPlan = SkewPlan()) -> DataFrame | Non
     return hot_keys(cases, "case_id", skew)
 
 
-def staged_events(raw: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def staged_events(raw: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """raw.events -> staging.events in two shuffles (event_id, then case_id)."""
     return flagged_events(sequenced_events(cleaned_events(latest_delivery(raw)), hot))
 
@@ -162,7 +162,7 @@ CASE_COLUMNS = (
 def grouped_by_case(
     events: DataFrame,
     aggregates: Callable[[Callable[[str], Column]], dict[str, Column]] = case_aggregates,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Group the events by case, with a way of counting distinct values that suits the case.
 
@@ -177,13 +177,11 @@ def grouped_by_case(
 
     if hot is None:
         return grouped(events, distinct_by_set)
-    marked = events.join(F.broadcast(hot), F.xxhash64("case_id") == F.col("_hot"), "left")
-    calm = marked.where(F.col("_hot").isNull()).drop("_hot")
-    busy = marked.where(F.col("_hot").isNotNull()).drop("_hot")
+    calm, busy = hot.mark(events, "case_id")
     return grouped(calm, distinct_by_set).unionByName(grouped(busy, F.count_distinct))
 
 
-def case_table(events: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def case_table(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """staging.events -> staging.cases, one row per case_id (NULL included)."""
     return grouped_by_case(events, hot=hot).select(*CASE_COLUMNS)
 

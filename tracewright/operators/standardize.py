@@ -21,7 +21,7 @@ from tracewright.fixed_values import (
 )
 from tracewright.functions.text import standard_text
 from tracewright.functions.time import parse_utc
-from tracewright.operators.ordering import global_rank, positions_in_group
+from tracewright.operators.ordering import HotKeys, file_order_rank, global_rank, positions_in_group
 from tracewright.schema import CANONICAL, YearBounds
 
 ROW_NUMBER = "source_row_number"
@@ -30,10 +30,15 @@ ROW_NUMBER = "source_row_number"
 def numbered_source(
     source: DataFrame, file_order: Sequence[Column], partitions: int | None = None
 ) -> DataFrame:
-    """Number the source rows 1..n in file order, without a global window."""
+    """Number rows 1..n in an order given by their values, without a global window."""
     return global_rank(source, file_order, ROW_NUMBER, partitions)
 
 
+def numbered_file_rows(log: DataFrame) -> DataFrame:
+    """Number the rows of a settled log file in file order; no row is moved for it."""
+    return file_order_rank(log, ["_file", "_block"], "_row", ROW_NUMBER)
+
+
 def renamed_source(source: DataFrame) -> DataFrame:
     """Row number and the mapped attributes under their canonical names; all else is dropped."""
     return source.select(
@@ -108,7 +113,7 @@ def with_lineage(
     )
 
 
-def with_event_sequence(events: DataFrame, hot_cases: DataFrame | None = None) -> DataFrame:
+def with_event_sequence(events: DataFrame, hot_cases: HotKeys | None = None) -> DataFrame:
     """Position in the case, unreadable times last; events without a case get none."""
     placed = positions_in_group(
         events,
@@ -134,7 +139,7 @@ def canonical_events(
     pipeline_batch_id: str,
     processed_at: datetime,
     bounds: YearBounds = YearBounds(),
-    hot_cases: DataFrame | None = None,
+    hot_cases: HotKeys | None = None,
 ) -> DataFrame:
     """Numbered source rows -> canonical events; one shuffle, for the position in the case."""
     events = with_calendar(typed_source(cleaned_source(renamed_source(numbered))))

@@ -52,9 +52,12 @@ def measured(landed: DataFrame, name: str = "dataset_name") -> DataFrame:
     """One row of counts per data set.
 
     Repeats of an id beyond its first row are rows minus distinct ids, where NULL is one id. Whether
-    there is exactly one batch id needs only its least and greatest value, not a distinct count.
+    there is exactly one batch id needs only its least and greatest value, not a distinct count. The
+    digest over all values is for files, where it proves that every column could be decoded; Spark
+    leaves it out wherever it is not used.
     """
     no_id = F.max(F.col("event_id").isNull().cast("int")).cast("bigint")
+    values = [c for c in landed.columns if c not in (name, "landed_path")]
     return landed.groupBy(name).agg(
         _rows().alias("row_count"),
         *[
@@ -64,16 +67,18 @@ def measured(landed: DataFrame, name: str = "dataset_name") -> DataFrame:
         (_rows() - F.count_distinct("event_id") - no_id).alias("repeated_event_ids"),
         F.min("ingestion_batch_id").alias("least_batch_id"),
         F.max("ingestion_batch_id").alias("greatest_batch_id"),
+        F.bit_xor(F.xxhash64(*values)).alias("row_digest"),
     )
 
 
-def facts(expected: DataFrame, landed: DataFrame, processed: DataFrame | None = None) -> DataFrame:
+def facts(expected: DataFrame, counts: DataFrame, processed: DataFrame | None = None) -> DataFrame:
     """Join what is expected of each data set with what was measured.
 
     ``expected``: dataset_name, batch_id, expected_rows, readable, read_message, columns.
+    ``counts``: the result of :func:`measured`.
     ``processed``: dataset_name, batch_id of deliveries that were processed before.
     """
-    joined = expected.join(measured(landed), "dataset_name", "left")
+    joined = expected.join(counts, "dataset_name", "left")
     if processed is None:
         return joined.withColumn("already_processed", F.lit(False))
     before = processed.select("dataset_name", "batch_id", F.lit(True).alias("_before")).distinct()

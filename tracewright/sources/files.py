@@ -84,28 +84,36 @@ def file_inventory(
     )
 
 
-_FOOTER_FACTS = "path string, columns array<string>, footer_rows bigint, footer_error string"
-
-
 def _parse_footers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import io
 
     import pyarrow.parquet as pq
 
     for frame in frames:
-        rows = []
-        for path, footer in zip(frame["path"], frame["footer"]):
+        names, rows, errors = [], [], []
+        for footer in frame.pop("footer"):
             try:
                 metadata = pq.read_metadata(io.BytesIO(footer))
-                rows.append((path, metadata.schema.to_arrow_schema().names, metadata.num_rows, None))
+                names.append(metadata.schema.to_arrow_schema().names)
+                rows.append(metadata.num_rows)
+                errors.append(None)
             except Exception as error:  # any unreadable file is a finding, not a failure
-                rows.append((path, [], None, f"{type(error).__name__}: {str(error)[:500]}"))
-        yield pd.DataFrame(rows, columns=["path", "columns", "footer_rows", "footer_error"])
+                names.append([])
+                rows.append(None)
+                errors.append(f"{type(error).__name__}: {str(error)[:500]}")
+        yield frame.assign(
+            columns=names, footer_rows=pd.array(rows, dtype="Int64"), footer_error=errors
+        )
 
 
 def footer_facts(inventory: DataFrame) -> DataFrame:
-    """Column names and row count of each file from its footer, or why it cannot be read."""
-    return inventory.select("path", "footer").mapInPandas(_parse_footers, _FOOTER_FACTS)
+    """The inventory with column names and row count from each footer, or why it cannot be read."""
+    listed = inventory.select("path", "batch_id", "file_size_bytes", "sha256", "footer")
+    return listed.mapInPandas(
+        _parse_footers,
+        "path string, batch_id string, file_size_bytes bigint, sha256 string, "
+        "columns array<string>, footer_rows bigint, footer_error string",
+    )
 
 
 # -- landed batches ------------------------------------------------------------------------------
@@ -125,37 +133,42 @@ def read_landed(spark: SparkSession, paths: str | Sequence[str], schema: T.Struc
     )
 
 
-def _same_path(path: Column) -> Column:
+def plain_path(path: Column) -> Column:
     """Path spelling shared by the scan and the file listing."""
     return F.regexp_replace(path, r"^file:/+", "/")
 
 
-def readability(spark: SparkSession, path: str, landed: DataFrame) -> DataFrame:
-    """One row per file: PASS or FAIL, never an exception.
+def decoded_files(landed: DataFrame) -> DataFrame:
+    """Rows decoded from each file, and a digest over all their values.
 
-    A file fails when its footer cannot be parsed, or when fewer rows can be decoded than the footer
-    promises (damage further inside).
+    The digest is what makes the scan decode every column; counting rows alone reads footers only.
     """
-    inventory = file_inventory(spark, path)
-    decoded = landed.groupBy(_same_path(F.col("landed_path")).alias("_file")).agg(
-        F.count(F.lit(1)).alias("_decoded")
-    )
-    short = F.coalesce("_decoded", F.lit(0)) < F.col("footer_rows")
-    damage = F.format_string(
-        "Only %d of %d rows could be decoded.", F.coalesce("_decoded", F.lit(0)), "footer_rows"
+    values = [c for c in landed.columns if c != "landed_path"]
+    return landed.groupBy(plain_path(F.col("landed_path")).alias("dataset_name")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.bit_xor(F.xxhash64(*values)).alias("row_digest")
     )
+
+
+def readability(inventory: DataFrame, decoded: DataFrame) -> DataFrame:
+    """One row per file: readable or not, never an exception.
+
+    A file fails when its footer cannot be parsed, or when fewer rows can be decoded than the footer
+    promises (damage further inside). ``decoded`` comes from :func:`decoded_files`.
+    """
+    rows = F.coalesce("row_count", F.lit(0))
+    whole = (rows >= F.col("footer_rows")) & ((rows == 0) | F.col("row_digest").isNotNull())
+    damage = F.format_string("Only %d of %d rows could be decoded.", rows, "footer_rows")
     return (
         footer_facts(inventory)
-        .join(inventory.select("path", "batch_id", "file_size_bytes", "sha256"), "path")
-        .withColumn("_file", _same_path(F.col("path")))
-        .join(decoded, "_file", "left")
+        .withColumn("dataset_name", plain_path(F.col("path")))
+        .join(decoded.select("dataset_name", "row_count", "row_digest"), "dataset_name", "left")
         .select(
-            "path",
+            "dataset_name",
             "batch_id",
             "file_size_bytes",
             "sha256",
             "columns",
-            (F.col("footer_error").isNull() & ~short).alias("readable"),
-            F.coalesce("footer_error", F.when(short, damage)).alias("read_message"),
+            (F.col("footer_error").isNull() & whole).alias("readable"),
+            F.coalesce("footer_error", F.when(~whole, damage)).alias("read_message"),
         )
     )

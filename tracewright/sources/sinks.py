@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,15 @@ from tracewright.sources.files import REPORT_TIME
 
 
 def write_canonical(events: DataFrame, path: str) -> None:
-    """One directory per year and month. Months without a readable time go to Hive's null partition.
+    """One directory per year and month. Rows without a readable time go to Hive's null partition.
 
-    Rows are spread over ``event_date`` inside the month as well, so that a month that holds most of
-    the log is written by many tasks.
+    Ranges over month, time and row number give tasks of equal size, however the log is spread over
+    time; only ranges that cross a month write more than one file.
     """
     (
-        events.repartition("event_year", "event_month", "event_date")
+        events.repartitionByRange(
+            "event_year", "event_month", "event_timestamp", "source_row_number"
+        )
         .write.mode("overwrite")
         .option("compression", "snappy")
         .partitionBy("event_year", "event_month")
@@ -44,13 +47,12 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def _laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+def _laid_out(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Range-partition by the layout, so that files hold narrow key ranges and scans skip them.
 
-    Range bounds are sampled: a partition value or key with very many rows gets many tasks as long as
-    the later layout columns tell its rows apart.
+    The last columns of ``order`` tell rows apart, so that a partition value or key with very many
+    rows is written by many tasks.
     """
-    order = [*partition_by, *cluster_by]
     if not order:
         return df
     return df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -63,28 +65,42 @@ def append_raw(
     cluster_by: Sequence[str] = ("case_id", "activity", "ingestion_batch_id"),
 ) -> None:
     """Append to the RAW table, creating it when needed."""
-    writer = _laid_out(batches, [partition_by], cluster_by).write.mode("append").format("parquet")
+    order = [partition_by, *cluster_by, "event_id", "source_row_number"]
+    writer = _laid_out(batches, order).write.mode("append").format("parquet")
     writer.partitionBy(partition_by).saveAsTable(table)
 
 
-# Table -> (partition columns, clustering columns).
-LAYOUTS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
-    "staging.events": (("event_date",), ("case_id", "activity", "vendor_id", "company_id")),
-    "staging.cases": ((), ("company_id", "vendor_id")),
-    "analytics.case_kpis": ((), ("company_id", "vendor_id", "start_activity", "end_activity")),
-    "analytics.process_variants": ((), ()),
-    "analytics.activity_performance": ((), ("activity",)),
-    "analytics.transitions": ((), ("from_activity", "to_activity")),
-    "analytics.process_overview": ((), ()),
+@dataclass(frozen=True)
+class Layout:
+    """Partition columns, clustering columns, and the columns that tell rows apart beyond them."""
+
+    partition_by: tuple[str, ...] = ()
+    cluster_by: tuple[str, ...] = ()
+    identity: tuple[str, ...] = ()
+
+
+LAYOUTS = {
+    "staging.events": Layout(
+        ("event_date",),
+        ("case_id", "activity", "vendor_id", "company_id"),
+        ("event_id", "source_row_number"),
+    ),
+    "staging.cases": Layout((), ("company_id", "vendor_id"), ("case_id",)),
+    "analytics.case_kpis": Layout(
+        (), ("company_id", "vendor_id", "start_activity", "end_activity"), ("case_id",)
+    ),
+    "analytics.activity_performance": Layout((), ("activity",)),
+    "analytics.transitions": Layout((), ("from_activity", "to_activity")),
 }
 
 
 def replace_table(df: DataFrame, table: str, layout: str | None = None) -> DataFrame:
     """Create or replace ``table`` in the layout named ``layout`` (default: its own name)."""
-    partition_by, cluster_by = LAYOUTS.get(layout or table, ((), ()))
-    writer = _laid_out(df, partition_by, cluster_by).write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    plan = LAYOUTS.get(layout or table, Layout())
+    order = [*plan.partition_by, *plan.cluster_by, *plan.identity]
+    writer = _laid_out(df, order).write.mode("overwrite").format("parquet")
+    if plan.partition_by:
+        writer = writer.partitionBy(*plan.partition_by)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
 

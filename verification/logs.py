@@ -125,8 +125,8 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_source_log(spark: SparkSession, sf_dir: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """The order log under the attribute names of an event-log file."""
-    return order_events(spark, sf_dir).selectExpr(
-        *[f"{sql} as `{name}`" for name, sql in _SOURCE_ATTRIBUTES.items()], *extra
+def order_source_log(happenings: DataFrame, *kept: str) -> DataFrame:
+    """Happenings of the order log under the attribute names of an event-log file."""
+    return happenings.selectExpr(
+        *[f"{sql} as `{name}`" for name, sql in _SOURCE_ATTRIBUTES.items()], *kept
     )

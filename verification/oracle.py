@@ -518,6 +518,8 @@ _ORACLES: dict[str, str] = {
         'user <' || user_id || '>' AS case_name, event_type AS activity, 'user_' || (user_id % 10) AS resource_id,
         NULL::VARCHAR AS vendor_id, user_id % 2 = 0 AS goods_receipt_required, ts AS event_timestamp,
         value AS net_worth FROM events""",
+    "std_file_order_numbers": """SELECT 1::BIGINT AS least, count(*) AS greatest, count(*) AS numbers
+        FROM events""",
     "src_canonical_scan": b("""SELECT event_year, event_month, count(*) AS event_count,
         count(resource_id) AS known_resources FROM canonical GROUP BY 1, 2"""),
     "snk_canonical_events": b("""SELECT event_id, case_id, activity, event_sequence, event_timestamp, event_year,

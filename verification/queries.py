@@ -75,10 +75,9 @@ class UserDays:
 
 
 def numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = logs.order_source_log(
-        spark, sf_dir, tuple(f"{c} as _{c}" for c in logs.ORDER_LOG_KEY)
-    )
-    return standardize.numbered_source(log, [F.col(f"_{c}") for c in logs.ORDER_LOG_KEY])
+    order = [F.col(c) for c in logs.ORDER_LOG_KEY]
+    numbered = standardize.numbered_source(logs.order_events(spark, sf_dir), order)
+    return logs.order_source_log(numbered, "source_row_number")
 
 
 def renamed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +86,9 @@ def renamed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned and typed order events without row numbers."""
-    log = logs.order_source_log(spark, sf_dir).withColumn("source_row_number", F.lit(None).cast("bigint"))
+    log = logs.order_source_log(
+        logs.order_events(spark, sf_dir), "cast(null as bigint) as source_row_number"
+    )
     renamed = standardize.renamed_source(log)
     return standardize.with_calendar(standardize.typed_source(standardize.cleaned_source(renamed)))
 
@@ -176,6 +177,19 @@ def src_xes_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def std_file_order_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers of the XES log are dense."""
+    path = shared_folder(spark)
+    write_xes(spark, sf_dir, path)
+    numbered = standardize.numbered_file_rows(settle(xes.read_xes(spark, path)))
+    return numbered.agg(
+        F.min("source_row_number").alias("least"),
+        F.max("source_row_number").alias("greatest"),
+        F.count_distinct("source_row_number").alias("numbers"),
+    )
+
+
 @query
 def src_canonical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark)
@@ -219,7 +233,7 @@ def snk_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def src_landed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, landed = landed_batches(spark, sf_dir)
-    return files.readability(spark, path, landed).select(
+    return files.readability(files.file_inventory(spark, path), files.decoded_files(landed)).select(
         "batch_id",
         "readable",
         "read_message",
@@ -453,12 +467,15 @@ def prf_largest_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prf_column_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.agreement_summary(logs.order_source_log(spark, sf_dir), "User", "org:resource")
+    return profile.agreement_summary(
+        logs.order_source_log(logs.order_events(spark, sf_dir)), "User", "org:resource"
+    )
 
 
 @query
 def prf_value_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = profile.pair_frequency(logs.order_source_log(spark, sf_dir), "User", "org:resource")
+    log = logs.order_source_log(logs.order_events(spark, sf_dir))
+    pairs = profile.pair_frequency(log, "User", "org:resource")
     return pairs.toDF("user_value", "resource_value", "event_count")
 
 
@@ -792,15 +809,17 @@ def delivered(spark: SparkSession, sf_dir: str, fault: str) -> DataFrame:
     return batches
 
 
-def suite_results(spark: SparkSession, sf_dir: str, fault: str) -> DataFrame:
+def suite_results(
+    spark: SparkSession, sf_dir: str, fault: str, manifest: DataFrame | None = None
+) -> DataFrame:
     """Rule results for every batch delivered with ``fault`` ("clean" for none)."""
+    manifest = manifest or manifest_of(logs.user_day_raw(spark, sf_dir))
     landed = delivered(spark, sf_dir, fault)
     columns = F.array(*[F.lit(c) for c in landed.columns])
     name = F.col("ingestion_batch_id") if fault == "clean" else F.concat_ws("/", F.lit(fault), "ingestion_batch_id")
     landed = landed.withColumn("dataset_name", name)
     if fault == "schema_drift":
         landed = landed.withColumn("activity", F.lit(None).cast("string"))
-    manifest = manifest_of(logs.user_day_raw(spark, sf_dir))
     label = F.col("batch_id") if fault == "clean" else F.concat_ws("/", F.lit(fault), "batch_id")
     unreadable = fault == "corrupted_parquet"
     expected = manifest.select(
@@ -814,11 +833,12 @@ def suite_results(spark: SparkSession, sf_dir: str, fault: str) -> DataFrame:
     processed = None
     if fault == "duplicate_batch_delivery":
         processed = expected.select("dataset_name", "batch_id")
-    return validate.rule_results(validate.facts(expected, landed, processed), RAW.names)
+    return validate.rule_results(validate.facts(expected, validate.measured(landed), processed), RAW.names)
 
 
 def fault_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [suite_results(spark, sf_dir, fault) for fault in FAULT_RULES]
+    manifest = settle(manifest_of(logs.user_day_raw(spark, sf_dir)))
+    parts = [suite_results(spark, sf_dir, fault, manifest) for fault in FAULT_RULES]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
@@ -882,7 +902,7 @@ def val_batch_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("read_message"),
         F.array(*[F.lit(c) for c in RAW.names]).alias("columns"),
     )
-    return _rules(validate.rule_results(validate.facts(expected, landed), RAW.names), "DQ_BATCH_ID")
+    return _rules(validate.rule_results(validate.facts(expected, validate.measured(landed)), RAW.names), "DQ_BATCH_ID")
 
 
 @query
