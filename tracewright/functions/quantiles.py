@@ -61,8 +61,9 @@ def ranked_values(
     ``counts`` comes from :func:`value_counts` over an integer value. Groups without any value are
     absent from the result.
     """
-    known = counts.where(F.col(value).isNotNull()).withColumn(
-        "_range", F.floor(F.col(value) / F.lit(RANGE_WIDTH))
+    # Both filters are spelled out, so that the counts below and above the join are one exchange.
+    known = counts.withColumn("_range", F.floor(F.col(value) / F.lit(RANGE_WIDTH))).where(
+        F.col(value).isNotNull() & F.col("_range").isNotNull()
     )
     by_range = W.partitionBy(*keys).orderBy("_range")
     ranges = (

@@ -137,11 +137,19 @@ def variant_statistics(variants: DataFrame, kpis: DataFrame, exact: bool = False
     )
 
 
-def with_share(df: DataFrame, count: str, share: str) -> DataFrame:
-    """Add the share of each row in the column total (a one-row cross join, not a global window)."""
-    whole = df.agg(F.sum(count).alias("_whole"))
+def with_share(
+    df: DataFrame, count: str, share: str, whole: DataFrame | None = None
+) -> DataFrame:
+    """Add the share of each row in the column total (a one-row cross join, not a global window).
+
+    ``whole`` is the total as a one-row, one-column frame where there is a cheaper way to it.
+    """
+    if whole is None:
+        whole = df.agg(F.sum(count))
     return (
-        df.crossJoin(whole).withColumn(share, ratio(F.col(count), F.col("_whole"))).drop("_whole")
+        df.crossJoin(whole.toDF("_whole"))
+        .withColumn(share, ratio(F.col(count), F.col("_whole")))
+        .drop("_whole")
     )
 
 
@@ -189,24 +197,43 @@ ACTIVITY_COLUMNS = (
 )
 
 
-def activity_performance(events: DataFrame, exact: bool = False) -> DataFrame:
-    """Counts, completeness and gaps per activity; NULL is an activity of its own.
+def _with_distinct_counts(
+    result: DataFrame, df: DataFrame, keys: Sequence[str], distinct: dict[str, str]
+) -> DataFrame:
+    """Add a distinct count per entry of ``distinct`` (new column -> counted column).
 
-    The two distinct counts are taken in separate groupings: each then runs as a distinct over
-    (activity, value) pairs that is spread over all tasks, and no row is copied per distinct count.
+    Each count is a grouping of its own over (keys, value) pairs, spread over all tasks. In one
+    grouping with other measures, Spark would first keep those measures per pair: a whole quantile
+    sketch for every activity of every case.
     """
-    gaps = ("seconds_since_previous_event", "seconds_to_next_event")
-    sketches = []
-    if not exact:
-        for gap in gaps:
-            sketches += [
-                Q.sketch(F.col(gap), 50).alias(f"median_{gap}"),
-                Q.sketch(F.col(gap), 90).alias(f"p90_{gap}"),
-            ]
+    for new, column in distinct.items():
+        counted = df.groupBy(*keys).agg(F.count_distinct(column).alias(new))
+        result = _join_null_safe(result, counted, keys)
+    return result
+
+
+def _sketches(gap: str, names: tuple[str, str]) -> list[Column]:
+    return [Q.sketch(F.col(gap), p).alias(name) for name, p in zip(names, (50, 90))]
+
+
+def _with_exact_quantiles(
+    result: DataFrame, df: DataFrame, keys: Sequence[str], gap: str, names: tuple[str, str]
+) -> DataFrame:
+    ranks = dict(zip(names, (Q.at_percent(50), Q.at_percent(90))))
+    ranked = Q.ranked_values(Q.value_counts(df, keys, gap), keys, gap, ranks)
+    return _join_null_safe(result, ranked, keys)
+
+
+def activity_performance(events: DataFrame, exact: bool = False) -> DataFrame:
+    """Counts, completeness and gaps per activity; NULL is an activity of its own."""
+    gaps = {
+        gap: (f"median_{gap}", f"p90_{gap}")
+        for gap in ("seconds_since_previous_event", "seconds_to_next_event")
+    }
     missing = count_where(F.col("is_resource_missing"))
+    sketches = [] if exact else [s for gap, names in gaps.items() for s in _sketches(gap, names)]
     result = events.groupBy("activity").agg(
         F.count(F.lit(1)).alias("event_count"),
-        F.count_distinct("case_id").alias("case_count"),
         count_where(F.col("is_case_start")).alias("case_start_count"),
         count_where(F.col("is_case_end")).alias("case_end_count"),
         missing.alias("missing_resource_event_count"),
@@ -215,19 +242,15 @@ def activity_performance(events: DataFrame, exact: bool = False) -> DataFrame:
         *[F.avg(gap).alias(f"average_{gap}") for gap in gaps],
         *sketches,
     )
-    resources = events.groupBy("activity").agg(
-        F.count_distinct("resource_id").alias("distinct_resource_count")
+    result = _with_distinct_counts(
+        result,
+        events,
+        ["activity"],
+        {"case_count": "case_id", "distinct_resource_count": "resource_id"},
     )
-    result = _join_null_safe(result, resources, ["activity"])
     if exact:
-        for gap in gaps:
-            ranked = Q.ranked_values(
-                Q.value_counts(events, ["activity"], gap),
-                ["activity"],
-                gap,
-                {f"median_{gap}": Q.at_percent(50), f"p90_{gap}": Q.at_percent(90)},
-            )
-            result = _join_null_safe(result, ranked, ["activity"])
+        for gap, names in gaps.items():
+            result = _with_exact_quantiles(result, events, ["activity"], gap, names)
     return result.select(*ACTIVITY_COLUMNS)
 
 
@@ -243,41 +266,34 @@ def transition_statistics(events: DataFrame, exact: bool = False) -> DataFrame:
         "case_id",
         F.col("seconds_to_next_event").alias("gap"),
     )
-    order_statistics = ("median_transition_seconds", "p90_transition_seconds")
-    sketches = []
-    if not exact:
-        sketches = [
-            Q.sketch(F.col("gap"), p).alias(name) for name, p in zip(order_statistics, (50, 90))
-        ]
+    names = ("median_transition_seconds", "p90_transition_seconds")
     result = pairs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("transition_count"),
-        F.count_distinct("case_id").alias("case_count"),
         F.avg("gap").alias("average_transition_seconds"),
         F.min("gap").alias("minimum_transition_seconds"),
         F.max("gap").alias("maximum_transition_seconds"),
-        *sketches,
+        *([] if exact else _sketches("gap", names)),
     )
+    result = _with_distinct_counts(result, pairs, keys, {"case_count": "case_id"})
     if exact:
-        ranked = Q.ranked_values(
-            Q.value_counts(pairs, keys, "gap"),
-            keys,
-            "gap",
-            dict(zip(order_statistics, (Q.at_percent(50), Q.at_percent(90)))),
-        )
-        result = _join_null_safe(result, ranked, keys)
+        result = _with_exact_quantiles(result, pairs, keys, "gap", names)
     return result.select(
         *keys,
         "transition_count",
         "case_count",
         "average_transition_seconds",
-        *order_statistics,
+        *names,
         "minimum_transition_seconds",
         "maximum_transition_seconds",
     )
 
 
 def transitions(events: DataFrame, exact: bool = False) -> DataFrame:
-    return with_share(transition_statistics(events, exact), "transition_count", "transition_share")
+    """The transition table: statistics and the share in all transitions."""
+    whole = events.agg(count_where(F.col("next_activity").isNotNull()))
+    return with_share(
+        transition_statistics(events, exact), "transition_count", "transition_share", whole
+    )
 
 
 # -- overview ------------------------------------------------------------------------------------

@@ -106,7 +106,7 @@ def hot_keys(df: DataFrame, key: str, plan: SkewPlan = SkewPlan()) -> HotKeys |
     sampled = df.select(F.xxhash64(key).alias("_hot"))
     if plan.sample_fraction < 1:
         sampled = sampled.sample(fraction=plan.sample_fraction, seed=plan.seed)
-    found = settle(
+    found = (
         sampled.groupBy("_hot")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > plan.max_rows * plan.sample_fraction)
@@ -115,7 +115,7 @@ def hot_keys(df: DataFrame, key: str, plan: SkewPlan = SkewPlan()) -> HotKeys |
     if sampled_rows is None:
         return None
     slices = math.ceil(sampled_rows / plan.sample_fraction / plan.max_rows)
-    return HotKeys(found.select("_hot"), max(2, 2 * slices))
+    return HotKeys(settle(found.select("_hot")), max(2, 2 * slices))
 
 
 def positions_in_group(

@@ -26,9 +26,7 @@ _DELIVERY = f"""
 
 _A = f"""
 deliveries AS (
-    SELECT *, 1 AS delivery FROM events
-    UNION ALL
-    SELECT *, 2 AS delivery FROM events WHERE event_id % 50 = 0
+    SELECT *, unnest(range(1, CASE WHEN event_id % 50 = 0 THEN 3 ELSE 2 END)) AS delivery FROM events
 ),
 raw AS (
     SELECT event_id, user_id::VARCHAR || '_' || ts::DATE::VARCHAR AS case_id, user_id::VARCHAR AS case_name,

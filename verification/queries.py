@@ -56,6 +56,11 @@ class UserDays:
         self.hot = staging.hot_cases(self.raw)
         self.events = staging.staged_events(self.raw, self.hot)
 
+    def written(self) -> UserDays:
+        """Go on from the written event table, as the analytics and monitoring layers do."""
+        self.events = settle(self.events)
+        return self
+
     @property
     def cases(self) -> DataFrame:
         return staging.case_table(self.events, self.hot)
@@ -104,10 +109,12 @@ def canonical_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def classified_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaned_orders(spark, sf_dir).withColumn(
+    """Cleaned and classified order events as a written table."""
+    classified = cleaned_orders(spark, sf_dir).withColumn(
         "timestamp_quality_status",
         standardize.timestamp_quality(F.col("event_timestamp"), ORDER_BOUNDS),
     )
+    return settle(classified)
 
 
 def user_day_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1100,7 +1107,7 @@ def stg_timestamp_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stg_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = UserDays(spark, sf_dir)
+    log = UserDays(spark, sf_dir).written()
     return staging.staging_verdict(log.raw, log.events, log.cases)
 
 
@@ -1108,7 +1115,7 @@ def stg_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monitored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = UserDays(spark, sf_dir)
+    log = UserDays(spark, sf_dir).written()
     return monitor.quality_results(
         log.raw, log.events, log.cases, load_history(spark, sf_dir), run_id=RUN_ID, run_at=RUN_AT
     )
@@ -1188,12 +1195,12 @@ def ana_conversation_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ana_variant_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return UserDays(spark, sf_dir).variant_statistics
+    return UserDays(spark, sf_dir).written().variant_statistics
 
 
 @query
 def ana_variant_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = analytics.ranked_variants(UserDays(spark, sf_dir).variant_statistics)
+    ranked = analytics.ranked_variants(UserDays(spark, sf_dir).written().variant_statistics)
     return analytics.with_share(ranked, "case_count", "case_share").select(
         "variant_rank", "process_variant", "case_count", "case_share"
     )
@@ -1207,27 +1214,27 @@ def ana_variant_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ana_process_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return UserDays(spark, sf_dir).variants
+    return UserDays(spark, sf_dir).written().variants
 
 
 @query
 def ana_activity_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.activity_performance(UserDays(spark, sf_dir).events, exact=True)
+    return analytics.activity_performance(UserDays(spark, sf_dir).written().events, exact=True)
 
 
 @query
 def ana_transition_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.transition_statistics(UserDays(spark, sf_dir).events, exact=True)
+    return analytics.transition_statistics(UserDays(spark, sf_dir).written().events, exact=True)
 
 
 @query
 def ana_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.transitions(UserDays(spark, sf_dir).events, exact=True)
+    return analytics.transitions(UserDays(spark, sf_dir).written().events, exact=True)
 
 
 @query
 def ana_process_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = UserDays(spark, sf_dir)
+    log = UserDays(spark, sf_dir).written()
     return analytics.process_overview(
         log.events, log.kpis, log.variant_statistics, calculated_at=RUN_AT, exact=True
     )
@@ -1236,8 +1243,8 @@ def ana_process_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ana_sketched_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transition quantiles by sketch, checked against the exact ranks they stand for."""
-    log = UserDays(spark, sf_dir)
-    events = settle(log.events)
+    log = UserDays(spark, sf_dir).written()
+    events = log.events
     sketched = analytics.transition_statistics(events).select(
         "from_activity", "to_activity", "transition_count", "median_transition_seconds", "p90_transition_seconds"
     )
@@ -1265,12 +1272,12 @@ def ana_case_kpi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ana_variant_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.variant_counts(UserDays(spark, sf_dir).variant_statistics)
+    return analytics.variant_counts(UserDays(spark, sf_dir).written().variant_statistics)
 
 
 @query
 def ana_activity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.activity_counts(analytics.activity_performance(UserDays(spark, sf_dir).events))
+    return analytics.activity_counts(analytics.activity_performance(UserDays(spark, sf_dir).written().events))
 
 
 @query
@@ -1280,20 +1287,20 @@ def ana_transition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ana_top_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.top_variants(UserDays(spark, sf_dir).variants)
+    return analytics.top_variants(UserDays(spark, sf_dir).written().variants)
 
 
 @query
 def ana_slow_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.slow_transitions(
-        analytics.transition_statistics(UserDays(spark, sf_dir).events, exact=True)
+        analytics.transition_statistics(UserDays(spark, sf_dir).written().events, exact=True)
     )
 
 
 @query
 def ana_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = UserDays(spark, sf_dir)
-    events = settle(log.events)
+    log = UserDays(spark, sf_dir).written()
+    events = log.events
     kpis = settle(analytics.case_kpis(events, log.hot))
     variants = analytics.variant_statistics(analytics.case_variants(events), kpis)
     return analytics.analytics_verdict(
