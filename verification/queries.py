@@ -56,9 +56,12 @@ class UserDays:
         self.hot = staging.hot_cases(self.raw)
         self.events = staging.staged_events(self.raw, self.hot)
 
-    def written(self) -> UserDays:
-        """Go on from the written event table, as the analytics and monitoring layers do."""
-        self.events = settle(self.events)
+    def written(self, *columns: str) -> UserDays:
+        """Go on from the written event table, as the analytics and monitoring layers do.
+
+        ``columns`` names the columns that are needed, when they are few.
+        """
+        self.events = settle(self.events.select(*columns) if columns else self.events)
         return self
 
     @property
@@ -1172,6 +1175,12 @@ def mon_summary_of_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- analytics -----------------------------------------------------------------------------------
 
+TRANSITION_INPUT = ("case_id", "activity", "next_activity", "seconds_to_next_event")
+ACTIVITY_INPUT = (
+    "case_id", "activity", "resource_id", "is_case_start", "is_case_end", "is_resource_missing",
+    "is_timestamp_outlier", "seconds_since_previous_event", "seconds_to_next_event",
+)
+
 
 @query
 def ana_case_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -1219,17 +1228,17 @@ def ana_process_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ana_activity_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.activity_performance(UserDays(spark, sf_dir).written().events, exact=True)
+    return analytics.activity_performance(UserDays(spark, sf_dir).written(*ACTIVITY_INPUT).events, exact=True)
 
 
 @query
 def ana_transition_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.transition_statistics(UserDays(spark, sf_dir).written().events, exact=True)
+    return analytics.transition_statistics(UserDays(spark, sf_dir).written(*TRANSITION_INPUT).events, exact=True)
 
 
 @query
 def ana_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.transitions(UserDays(spark, sf_dir).written().events, exact=True)
+    return analytics.transitions(UserDays(spark, sf_dir).written(*TRANSITION_INPUT).events, exact=True)
 
 
 @query
@@ -1243,7 +1252,7 @@ def ana_process_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ana_sketched_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transition quantiles by sketch, checked against the exact ranks they stand for."""
-    log = UserDays(spark, sf_dir).written()
+    log = UserDays(spark, sf_dir).written(*TRANSITION_INPUT)
     events = log.events
     sketched = analytics.transition_statistics(events).select(
         "from_activity", "to_activity", "transition_count", "median_transition_seconds", "p90_transition_seconds"
@@ -1277,7 +1286,7 @@ def ana_variant_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ana_activity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.activity_counts(analytics.activity_performance(UserDays(spark, sf_dir).written().events))
+    return analytics.activity_counts(analytics.activity_performance(UserDays(spark, sf_dir).written(*ACTIVITY_INPUT).events))
 
 
 @query
@@ -1293,7 +1302,7 @@ def ana_top_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ana_slow_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.slow_transitions(
-        analytics.transition_statistics(UserDays(spark, sf_dir).written().events, exact=True)
+        analytics.transition_statistics(UserDays(spark, sf_dir).written(*TRANSITION_INPUT).events, exact=True)
     )
 
 
