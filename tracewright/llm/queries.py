@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import line_dedup, quality_rules
+from tracewright.llm import bpe_automaton, line_dedup, quality_rules, token_files
 from tracewright.llm.text import sha256_hex
+from tracewright.shared_storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -33,8 +35,28 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc_id", "n_lines", "n_dropped", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
 
 
+@query
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark)
+    token_files.write_tokens(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
+    tokens = token_files.read_tokens(spark, path).withColumn(
+        "ids_crc32", token_files.ids_crc32(F.col("ids"))
+    )
+    return token_files.with_starts(tokens.drop("ids")).select(
+        "doc_id", "start", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_crc32"
+    )
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     judged = quality_rules.judged(documents(spark, sf_dir))
     return judged.select("doc_id", *[F.col("quality")[c].alias(c) for c in counts], "base_failed", "kept")
+
+
+@query
+def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe_automaton.encode(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False
+    )
+    return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
