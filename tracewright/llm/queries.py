@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe_automaton, line_dedup, quality_rules, token_files
+from tracewright.llm import bpe_automaton, decontamination, line_dedup, quality_rules, token_files
 from tracewright.llm.text import sha256_hex
 from tracewright.shared_storage import shared_folder
 
@@ -60,3 +60,17 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False
     )
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontamination.matches(documents(spark, sf_dir), items)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        sha256_hex(F.array_join("item_ids", ",")).alias("items_sha256"),
+        "contaminated",
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space of the word rules: the blank and code points 9 to 13.
@@ -64,3 +64,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     every element, as the optimizer puts expressions in place of the columns that name them.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def broadcast_if_small(settled: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """The table with a broadcast hint if its counted rows are few, otherwise as it is."""
+    return F.broadcast(settled) if settled.limit(max_rows + 1).count() <= max_rows else settled
