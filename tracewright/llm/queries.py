@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import bpe_automaton, decontamination, line_dedup, near_dedup, quality_rules, token_files
+from tracewright.llm import (
+    bpe_automaton,
+    decontamination,
+    lattice_lm,
+    line_dedup,
+    near_dedup,
+    quality_rules,
+    token_files,
+)
 from tracewright.llm.text import sha256_hex
 from tracewright.shared_storage import shared_folder
 
@@ -81,3 +89,8 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = near_dedup.NearRule(shingle_words=3, percent=85)
     groups = near_dedup.near_groups(documents(spark, sf_dir), rule)
     return groups.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+@query
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scores(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
