@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from tracewright.llm import (
     bpe_automaton,
     decontamination,
+    language_id,
     lattice_lm,
     line_dedup,
     near_dedup,
     quality_rules,
     token_files,
 )
-from tracewright.llm.text import sha256_hex
+from tracewright.llm.text import bucket_of, sha256_hex
 from tracewright.shared_storage import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,15 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", *columns)
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang")
+    held_out = bucket_of(F.col("doc_id")) == 0
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_dedup.dedup_lines(documents(spark, sf_dir))
