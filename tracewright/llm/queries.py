@@ -16,6 +16,7 @@ from tracewright.llm import (
     line_dedup,
     near_dedup,
     quality_rules,
+    substring_dedup,
     token_files,
 )
 from tracewright.llm.text import bucket_of, sha256_hex
@@ -104,3 +105,9 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.scores(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    deduped = substring_dedup.dedup_passages(documents(spark, sf_dir))
+    return deduped.select("doc_id", "n_words", "n_removed", sha256_hex(F.col("kept_text")).alias("kept_sha256"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Chunks kept per Python worker; beyond that the table is dropped and filled anew.
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 300_000
 
 #: Texts encoded together.
 GROUP = 400
@@ -53,14 +53,25 @@ class ChunkEncoder:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode new chunks, many to a text: a newline before a lone blank is a piece by itself."""
+        plain = [c for c in chunks if "\n" not in c]
+        odd = [c for c in chunks if "\n" in c]
+        groups = [plain[k : k + GROUP] for k in range(0, len(plain), GROUP)]
+        newline = self.library.encode("\n", add_special_tokens=False).ids[0]
+        for group, ids in zip(groups, self._batch(["\n".join(" " + c for c in g) for g in groups])):
+            ends = np.flatnonzero(np.frombuffer(ids, "<u4") == newline) * 4
+            starts = [0, *(ends + 4).tolist()]
+            self.known.update(zip(group, (ids[i:j] for i, j in zip(starts, [*ends.tolist(), len(ids)]))))
+        self.known.update(zip(odd, self._batch([" " + c for c in odd])))
+
     def encode(self, texts: list[str], end: bytes) -> list[np.ndarray]:
         """Ids of each text with the end id, as 32-bit integers."""
         whole = [_UNCUT.search(t) is not None for t in texts]
         cut = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
         if len(self.known) > CACHED_CHUNKS:
             self.known.clear()
-        missing = list(set().union(*(c[1:] for c in cut)).difference(self.known))
-        self.known.update(zip(missing, self._batch([" " + m for m in missing])))
+        self._learn(list(set().union(*(c[1:] for c in cut)).difference(self.known)))
         first = iter(self._batch([t if w else c[0] for t, w, c in zip(texts, whole, cut)]))
         known = self.known.__getitem__
         return [
@@ -85,11 +96,10 @@ def encoded(docs: DataFrame, definition: str, end_id: int) -> DataFrame:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         with_cache = encoder(definition)
         for batch in batches:
-            texts = [t or "" for t in batch]
-            rows: list[np.ndarray] = []
-            for k in range(0, len(texts), GROUP):
-                rows += with_cache.encode(texts[k : k + GROUP], end)
-            yield pd.Series(rows, dtype=object)
+            # Handed on in small parts, so that a batch is never held whole in both forms.
+            for k in range(0, len(batch), GROUP):
+                texts = [t or "" for t in batch.iloc[k : k + GROUP]]
+                yield pd.Series(with_cache.encode(texts, end), dtype=object)
 
     ordered = (
         docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
