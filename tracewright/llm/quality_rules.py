@@ -57,10 +57,9 @@ def repeated_window_words(tokens: Column, size: int = 3) -> Column:
         )
 
     def spread(at: Column) -> Column:
-        covered = at
-        for k in range(1, size):
-            covered = F.array_union(covered, F.transform(at, lambda i, k=k: i + k))
-        return F.size(covered)
+        window = F.sequence(F.lit(0), F.lit(size - 1))
+        words_at = F.transform(at, lambda i: F.transform(window, lambda k: i + k))
+        return F.size(F.array_distinct(F.flatten(words_at)))
 
     def count(h: Column) -> Column:
         pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
