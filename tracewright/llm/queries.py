@@ -15,6 +15,7 @@ from tracewright.llm import (
     lattice_lm,
     line_dedup,
     near_dedup,
+    pii,
     quality_rules,
     substring_dedup,
     token_files,
@@ -81,6 +82,19 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        sha256_hex(pii.joined(F.col("base"))).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
