@@ -1,8 +1,10 @@
 """Whole runs: validate, publish, load, build, monitor; and what stops them."""
 
+import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tests.test_sources import batches_on_disk
@@ -10,7 +12,7 @@ from tracewright.operators import analytics, ingest
 from tracewright.plans import load, publish
 from tracewright.plans.build import Databases, build_analytics, build_staging, run_monitoring
 from tracewright.schema import RAW, SkewPlan
-from tracewright.shared_storage import settle, shared_folder
+from tracewright.shared_storage import settle, settled, shared_folder
 from tracewright.sources import files
 from tracewright.streaming.incremental_load import stream_landed
 
@@ -80,9 +82,10 @@ def test_load_ends_at_the_first_bad_batch(spark, tmp_path, db):
     with pytest.raises(ingest.PipelineError, match="batch_0003 finished with FAILED"):
         ingest.require_loaded(first)
     second = load.load_batches(spark, landed, wrong, run_id="b", **args)
-    assert [r.status for r in second.orderBy("batch_id").collect()] == ["SKIPPED", "SKIPPED", "CONFLICT"]
+    assert [r.status for r in second.orderBy("batch_id").collect()] == ["SKIPPED", "SKIPPED", "FAILED"]
+    assert spark.table(args["raw"]).count() == 20
     third_run = load.load_batches(spark, landed, manifest, run_id="c", **args)
-    assert [r.status for r in third_run.orderBy("batch_id").collect()] == ["SKIPPED"] * 3 + ["LOADED"] * 3
+    assert [r.status for r in third_run.orderBy("batch_id").collect()] == ["SKIPPED"] * 2 + ["LOADED"] * 4
     assert spark.table(args["raw"]).count() == 60
 
 
@@ -118,3 +121,50 @@ def test_deduplication_cuts_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
     assert plan.count("Exchange hashpartitioning(event_id") == 1
     assert plan.count("Exchange") == 2
+
+
+def test_batches_without_a_manifest_row_wait(spark, tmp_path, db):
+    path = str(tmp_path / "b")
+    manifest = batches_on_disk(spark, path, n=20, size=10)
+    args = {"raw": f"{db.raw}.events", "history": f"{db.raw}.h", "checkpoint": str(tmp_path / "c"), "clock": lambda: AT}
+    first = stream_landed(spark, path, lambda: manifest.where("batch_sequence = 1"), run_id="a", **args)
+    with pytest.raises(StreamingQueryException, match="no manifest row"):
+        first.awaitTermination()
+    assert spark.table(args["raw"]).count() == 10
+    stream_landed(spark, path, lambda: manifest, run_id="b", **args).awaitTermination()
+    assert spark.table(args["raw"]).count() == 20
+    assert spark.table(args["history"]).where("status in ('LOADED', 'SKIPPED')").count() == 3
+
+
+def test_copy_tasks_are_not_merged(spark, tmp_path):
+    names = [f"batch_{i:04d}" for i in range(40)]
+    decisions = spark.createDataFrame([(n, "UPLOAD", 10, f"raw/{n}") for n in names], "batch_id string, decision string, file_size_bytes bigint, landing_key string")
+    source = spark.createDataFrame([(n, f"file:/x/{n}") for n in names], "batch_id string, path string")
+    plan = publish.copy_plan(spark, decisions, source, str(tmp_path))
+    assert plan.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert plan.first().target.startswith(f"file:///{str(tmp_path).lstrip('/')}/raw/")
+
+
+def test_publishing_is_refused_without_the_gate(spark, tmp_path):
+    gate = spark.createDataFrame([(True, False, 0, False)], "clean_validation_success boolean, failure_detection_success boolean, failed_batches bigint, may_publish boolean")
+    with pytest.raises(ingest.PipelineError, match="Publishing refused"):
+        publish.publish(spark, gate, str(tmp_path), str(tmp_path / "l"), gate)
+
+
+def test_settled_folders_go_with_their_scope(spark):
+    with settled(spark):
+        kept = settle(spark.range(3))
+        (file,) = {f.rsplit("/", 1)[0].removeprefix("file:") for f in kept.inputFiles()}
+        assert os.path.isdir(file)
+    assert not os.path.exists(file)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Unset:
+        master = "spark://host:7077"
+        get = staticmethod(lambda key, default: default)
+        getCheckpointDir = staticmethod(lambda: None)
+
+    session = type("Session", (), {"conf": Unset, "sparkContext": Unset})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session)

@@ -114,18 +114,19 @@ def with_lineage(
 
 
 def with_event_sequence(events: DataFrame, hot_cases: HotKeys | None = None) -> DataFrame:
-    """Position in the case, unreadable times last; events without a case get none."""
+    """Position in the case, unreadable times last; events without a case get none.
+
+    Those are taken out first: they would all be one group of the window.
+    """
+    without = events.where(F.col("case_id").isNull()).withColumn("event_sequence", F.lit(None).cast("int"))
     placed = positions_in_group(
-        events,
+        events.where(F.col("case_id").isNotNull()),
         "case_id",
         [F.asc_nulls_last("event_timestamp"), F.asc_nulls_last(ROW_NUMBER)],
         position="event_sequence",
         hot=hot_cases,
     )
-    return placed.withColumn(
-        "event_sequence",
-        F.when(F.col("case_id").isNotNull(), F.col("event_sequence")).cast("int"),
-    )
+    return placed.withColumn("event_sequence", F.col("event_sequence").cast("int")).unionByName(without)
 
 
 def canonical_projection(events: DataFrame) -> DataFrame:

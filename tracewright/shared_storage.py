@@ -4,23 +4,56 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("settled_folders", default=None)
+
+
+def _root(spark: SparkSession) -> str:
+    """The checkpoint folder of the session; a local session without one gets a folder of its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError(
+            f"spark.checkpoint.dir is not set: on {master} intermediate tables need a folder that all "
+            "executors share."
+        )
+    root = tempfile.mkdtemp(prefix="tracewright-")
+    spark.sparkContext.setCheckpointDir(root)
+    return root
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new, unused path below the session's checkpoint folder.
+    """A new, unused path below the session's checkpoint folder."""
+    path = f"{_root(spark).rstrip('/')}/tracewright/{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def settled(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that are settled inside the block at its end.
 
-    ``spark.checkpoint.dir`` names the shared folder of a cluster. Only a session without one (a
-    local test) gets a folder of its own.
+    The results of the block must have been written by then. Without a scope the folders stay and the
+    cluster's retention removes them.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tracewright-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/tracewright/{uuid.uuid4().hex}"
+    token = _SCOPE.set([])
+    try:
+        yield
+    finally:
+        folders = _SCOPE.get()
+        _SCOPE.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

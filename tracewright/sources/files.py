@@ -55,7 +55,7 @@ def _little_endian(content: Column, distance_from_end: int) -> Column:
 
 
 def file_inventory(
-    spark: SparkSession, path: str, *, pattern: str = "*.parquet", name_root: str | None = None
+    spark: SparkSession, path: str | list[str], *, pattern: str = "*.parquet", name_root: str | None = None
 ) -> DataFrame:
     """Path, batch, size, SHA-256 and Parquet footer bytes of every file below ``path``.
 
@@ -100,6 +100,7 @@ def _parse_footers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             except Exception as error:  # any unreadable file is a finding, not a failure
                 names.append([])
                 rows.append(None)
+                # Fixed value: error texts of reports hold at most 500 characters.
                 errors.append(f"{type(error).__name__}: {str(error)[:500]}")
         yield frame.assign(
             columns=names, footer_rows=pd.array(rows, dtype="Int64"), footer_error=errors

@@ -6,11 +6,14 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tracewright.operators import ingest
 from tracewright.plans.load import load_batches
 from tracewright.schema import RAW
+from tracewright.shared_storage import settle
+from tracewright.sources import files
 
 
 def stream_landed(
@@ -28,32 +31,48 @@ def stream_landed(
 
     The checkpoint remembers which files were read; the count check of the load makes a micro-batch
     that is repeated after a failure harmless. ``manifest`` is read again for each micro-batch. A
-    micro-batch takes all new files, so that a batch of several files is never torn apart.
+    micro-batch takes all new files, so that a batch of several files is never torn apart. Size and
+    digest of the new files are checked against the manifest first.
+
+    A batch may land before its manifest row. Batches with a row are loaded; then the micro-batch
+    fails, so that the checkpoint does not take the others for read and the next run meets them again.
     """
 
     def load(landed: DataFrame, _: int) -> None:
         session = landed.sparkSession
-        arrived = landed.select("ingestion_batch_id").distinct()
-        described = manifest().join(
-            arrived.withColumnRenamed("ingestion_batch_id", "batch_id"), "batch_id", "left_semi"
+        arrived = settle(
+            landed.select(F.col("ingestion_batch_id").alias("batch_id"), "landed_path").distinct()
         )
+        expected = settle(manifest())
+        described = expected.join(arrived, "batch_id", "left_semi")
+        # One name per new file, as many as the file source itself has listed for this micro-batch.
+        paths = [r["landed_path"] for r in arrived.select("landed_path").distinct().toLocalIterator()]
         outcomes = load_batches(
             session,
-            landed,
+            landed.drop("landed_path"),
             described,
             raw=raw,
             history=history,
             run_id=run_id,
             loaded_at=clock(),
             landing_root=landing_path,
+            inventory=files.file_inventory(session, paths),
         )
         ingest.require_loaded(outcomes)
+        early = arrived.join(expected, "batch_id", "left_anti").agg(
+            F.count_distinct("batch_id").alias("n"), F.min("batch_id").alias("first")
+        ).first()
+        if early["n"]:
+            raise ingest.PipelineError(
+                f"{early['n']} landed batches have no manifest row yet, the first is {early['first']}."
+            )
 
     return (
         spark.readStream.schema(RAW)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .parquet(landing_path)
+        .select("*", F.col("_metadata.file_path").alias("landed_path"))
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(load)

@@ -7,14 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tracewright.schema import RAW
 
 BATCH_SIZE = 1_000
-REDELIVERY = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. One with fewer splits than cores is spread over all cores first."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 _USER_DAY = {
@@ -58,7 +54,10 @@ def user_day_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def redelivered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The user-day log with every fiftieth event delivered twice, later and with another net worth."""
-    again = f"(delivery - 1) * {REDELIVERY}"
+    events = table(spark, sf_dir, "events")
+    # Second deliveries get the batch numbers that follow the real ones.
+    batches = (events.agg({"event_id": "max"}).first()[0] or 0) // BATCH_SIZE + 1
+    again = f"(delivery - 1) * {batches}"
     batch = f"event_id div {BATCH_SIZE} + 1 + {again}"
     delivered = {
         **_USER_DAY,
@@ -70,7 +69,7 @@ def redelivered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "simulated_ingestion_date": f"date_add(date'2026-01-01', cast({batch} - 1 as int))",
     }
     deliveries = "explode(sequence(1, case when event_id % 50 = 0 then 2 else 1 end)) as delivery"
-    return table(spark, sf_dir, "events").selectExpr("*", deliveries).selectExpr(
+    return events.selectExpr("*", deliveries).selectExpr(
         *_raw_columns(delivered)
     )
 

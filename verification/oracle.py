@@ -16,11 +16,11 @@ _NULL_TEXTS = [
 _NULLS = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _NULL_TEXTS)
 
 _DELIVERY = f"""
-    event_id // {SIZE} + 1 + (delivery - 1) * 1000 AS ingestion_batch_sequence,
-    'batch_' || lpad(CAST(event_id // {SIZE} + 1 + (delivery - 1) * 1000 AS VARCHAR), 4, '0') AS ingestion_batch_id,
-    TIMESTAMP '2026-01-01 08:00:00' + to_days(CAST(event_id // {SIZE} + (delivery - 1) * 1000 AS INTEGER))
+    event_id // {SIZE} + 1 + (delivery - 1) * (SELECT max(event_id) // 1000 + 1 FROM events) AS ingestion_batch_sequence,
+    'batch_' || lpad(CAST(event_id // {SIZE} + 1 + (delivery - 1) * (SELECT max(event_id) // 1000 + 1 FROM events) AS VARCHAR), 4, '0') AS ingestion_batch_id,
+    TIMESTAMP '2026-01-01 08:00:00' + to_days(CAST(event_id // {SIZE} + (delivery - 1) * (SELECT max(event_id) // 1000 + 1 FROM events) AS INTEGER))
         AS simulated_ingestion_timestamp_utc,
-    DATE '2026-01-01' + CAST(event_id // {SIZE} + (delivery - 1) * 1000 AS INTEGER) AS simulated_ingestion_date,
+    DATE '2026-01-01' + CAST(event_id // {SIZE} + (delivery - 1) * (SELECT max(event_id) // 1000 + 1 FROM events) AS INTEGER) AS simulated_ingestion_date,
     event_id % {SIZE} + 1 AS batch_row_number
 """
 
@@ -530,6 +530,9 @@ _ORACLES: dict[str, str] = {
     "src_manifest": a(f"""SELECT {_MANIFEST}, NULL::VARCHAR AS file_name, NULL::BIGINT AS file_size_bytes,
         NULL::VARCHAR AS sha256 FROM batches"""),
     "src_file_inventory": a("SELECT batch_id, true AS has_bytes, 64::BIGINT AS digest_length FROM batches"),
+    "src_given_file_digests": """SELECT 'region' AS file, (SELECT count(*) FROM region) AS footer_rows
+        UNION ALL SELECT 'nation', (SELECT count(*) FROM nation) UNION ALL SELECT 'orders', (SELECT count(*) FROM orders)
+        UNION ALL SELECT 'lineitem', (SELECT count(*) FROM lineitem) UNION ALL SELECT 'events', (SELECT count(*) FROM events)""",
     "snk_raw_append": a("""SELECT event_id, case_id, ingestion_batch_sequence + i AS ingestion_batch_sequence,
         simulated_ingestion_date FROM clean, (VALUES (0), (1)) AS t(i)"""),
     "snk_replaced_tables": a("SELECT event_id, event_date, case_id, activity, process_event_sequence FROM staged"),
@@ -565,8 +568,8 @@ _ORACLES: dict[str, str] = {
     "std_canonical_events": b(f"SELECT {_list(CANONICAL.names)} FROM canonical"),
     # profiles
     "prf_columns": _column_profile("customer", _CUSTOMER_TYPES, True),
-    "prf_canonical_schema": b(_column_profile("parsed", dict.fromkeys(
-        ["case_id", "activity", "resource_id", "company_id", "spend_area", "spend_classification"], "string"), False)),
+    "prf_canonical_schema": b(_column_profile(
+        "canonical", {f.name: f.dataType.simpleString() for f in CANONICAL}, False)),
     "prf_activities": b(f"""SELECT coalesce(nullif(activity, 'Ship OA'), '<MISSING_ACTIVITY>') AS activity,
         count(*) AS event_count, {_PERCENT.format(4)} AS event_percentage FROM order_events GROUP BY 1"""),
     "prf_cases": a(_CLEAN_PROFILE),
@@ -659,6 +662,8 @@ _ORACLES: dict[str, str] = {
         """.replace("FROM batches", "FROM (SELECT batch_id, row_count FROM batches)")),
     "ing_publish_gate": """SELECT true AS clean_validation_success, true AS failure_detection_success,
         0::BIGINT AS failed_batches, true AS may_publish""",
+    "ing_publish_gate_refused": a("""SELECT false AS clean_validation_success, true AS failure_detection_success,
+        count(*) AS failed_batches, false AS may_publish FROM batches WHERE batch_sequence % 3 = 0"""),
     "ing_validated_manifest": a("SELECT batch_id, row_count FROM batches"),
     "ing_publish_summary": a(f"""SELECT count(*) AS batch_count,
         count_if(status IN ('UPLOADED', 'SKIPPED'))::BIGINT AS successful_batches, sum(row_count)::BIGINT AS total_rows,
@@ -677,6 +682,10 @@ _ORACLES: dict[str, str] = {
         ('run-2', 'SKIPPED', 'Expected batch row count already exists in raw.events.')) AS t(run_id, status, message)"""),
     "ing_incremental_stream": a("""SELECT 'run-1' AS run_id, batch_id, row_count AS expected_rows,
         row_count AS loaded_rows, 'LOADED' AS status FROM batches"""),
+    "ing_stream_late_manifest": a("""SELECT 'run-1' AS run_id, batch_id, row_count AS loaded_rows, 'LOADED' AS status
+        FROM batches WHERE batch_sequence % 2 = 1 UNION ALL
+        SELECT 'run-2', batch_id, row_count, CASE WHEN batch_sequence % 2 = 1 THEN 'SKIPPED' ELSE 'LOADED' END
+        FROM batches"""),
     "ing_raw_reconciliation": a(f"""SELECT {_RAW_METRICS}, count(*) AS expected_rows,
         count(DISTINCT ingestion_batch_id) AS expected_batches, count(*) = count(DISTINCT event_id) AS raw_load_success
         FROM raw"""),
@@ -721,7 +730,7 @@ _ORACLES: dict[str, str] = {
         CASE WHEN batch_row_number > 5 THEN event_timestamp END AS event_timestamp FROM clean"""),
     "val_fault_renamed_column": a("SELECT event_id, activity AS activity_name FROM clean"),
     "val_fault_redelivery": a("""SELECT event_id, ingestion_batch_id FROM clean WHERE ingestion_batch_id IN
-        (SELECT batch_id FROM history WHERE status <> 'CONFLICT')"""),
+        (SELECT batch_id FROM history)"""),
     # staging
     "stg_latest_delivery": a("""SELECT event_id, ingestion_batch_id, simulated_ingestion_timestamp_utc,
         cumulative_net_worth_eur FROM newest"""),
@@ -743,6 +752,8 @@ _ORACLES: dict[str, str] = {
         maximum_cumulative_net_worth_eur, timestamp_outlier_event_count, missing_resource_event_count,
         ingestion_batch_count, first_ingestion_date, last_ingestion_date FROM cases"""),
     "stg_cases": a("SELECT * FROM cases"),
+    "stg_events_hot": a(f"SELECT {_STAGED_COLUMNS} FROM staged"),
+    "stg_cases_hot": a("SELECT * FROM cases"),
     "stg_event_counts": a("""SELECT count(*) AS staging_rows, count(DISTINCT event_id) AS unique_event_ids,
         count(DISTINCT case_id) AS unique_cases, count(DISTINCT activity) AS unique_activities FROM staged"""),
     "stg_raw_and_staged_rows": a("""SELECT (SELECT count(*) FROM raw) AS raw_rows,
@@ -787,6 +798,7 @@ _ORACLES: dict[str, str] = {
     "mon_summary_of_run": m(_RUN_SUMMARY),
     # analytics
     "ana_case_kpis": a(f"SELECT {_KPI} FROM kpis"),
+    "ana_case_kpis_hot": a(f"SELECT {_KPI} FROM kpis"),
     "ana_case_variants": a("SELECT case_id, process_variant FROM case_variants"),
     "ana_conversation_variants": """SELECT conv_id::VARCHAR AS case_id,
         string_agg(role, ' -> ' ORDER BY turn) AS process_variant FROM conversations GROUP BY conv_id""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,7 @@ from tracewright.schema import (
     MANIFEST,
     RAW,
     BatchPlan,
+    SkewPlan,
     YearBounds,
 )
 from tracewright.shared_storage import settle, shared_folder
@@ -51,9 +53,9 @@ def all_queries() -> dict[str, Query]:
 class UserDays:
     """RAW, staged events and cases of the user-day log with redelivered events."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, skew: SkewPlan = SkewPlan()):
         self.raw = logs.redelivered_raw(spark, sf_dir)
-        self.hot = staging.hot_cases(self.raw)
+        self.hot = staging.hot_cases(self.raw, skew)
         self.events = staging.staged_events(self.raw, self.hot)
 
     def written(self, *columns: str) -> UserDays:
@@ -263,6 +265,16 @@ def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_manifest(spark, path)
 
 
+@query
+def src_given_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the footers of given tables, each a folder of files or one file."""
+    names = ["region", "nation", "orders", "lineitem", "events"]
+    inventory = files.file_inventory(spark, [f"{sf_dir}/{n}.parquet" for n in names])
+    table_name = F.regexp_extract("path", "/([a-z]+)[.]parquet", 1)
+    facts = files.footer_facts(inventory)
+    return facts.groupBy(table_name.alias("file")).agg(F.sum("footer_rows").alias("footer_rows"))
+
+
 @query
 def src_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = landed_batches(spark, sf_dir)
@@ -425,8 +437,8 @@ def prf_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def prf_canonical_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = ["case_id", "activity", "resource_id", "company_id", "spend_area", "spend_classification"]
-    return profile.schema_profile(cleaned_orders(spark, sf_dir), texts)
+    """Every canonical column."""
+    return profile.schema_profile(settle(canonical_orders(spark, sf_dir)))
 
 
 @query
@@ -664,6 +676,16 @@ def ing_publish_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.publish_gate(validate.validation_summary(clean, scenarios, results), clean)
 
 
+@query
+def ing_publish_gate_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third clean batch has failed."""
+    clean, scenarios, results = validated(spark, sf_dir)
+    third = F.substring_index("dataset_name", "_", -1).cast("int") % 3 == 0
+    status = F.when(third, "FAIL").otherwise(F.col("overall_status"))
+    failing = settle(clean.withColumn("overall_status", status))
+    return ingest.publish_gate(validate.validation_summary(failing, scenarios, results), failing)
+
+
 @query
 def ing_validated_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     clean, _, _ = validated(spark, sf_dir)
@@ -778,6 +800,27 @@ def ing_incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def ing_stream_late_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the manifest comes a run later: the batches wait and no row is lost."""
+    name, folder = _databases(spark)
+    path, manifest = described_batches(spark, sf_dir)
+    early = manifest.where("batch_sequence % 2 = 1")
+    for run, known in (("run-1", early), ("run-2", manifest)):
+        started = stream_landed(
+            spark, path, lambda known=known: known, raw=f"{name}.events",
+            history=f"{name}.batch_load_history", checkpoint=f"{folder}/checkpoint",
+            run_id=run, clock=lambda: RUN_AT,
+        )
+        try:
+            started.awaitTermination()
+        except StreamingQueryException as error:
+            if run == "run-2" or "no manifest row" not in str(error):
+                raise
+    ingest.require_raw_reconciliation(ingest.raw_reconciliation(spark.table(f"{name}.events"), manifest))
+    return spark.table(f"{name}.batch_load_history").select("run_id", "batch_id", "loaded_rows", "status")
+
+
 @query
 def ing_raw_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = logs.redelivered_raw(spark, sf_dir)
@@ -976,8 +1019,7 @@ def val_fault_renamed_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 def val_fault_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch delivered again with the ids it had; its name is found in the load history."""
     landed = delivered(spark, sf_dir, "duplicate_batch_delivery")
-    history = load_history(spark, sf_dir).where(F.col("status") != "CONFLICT")
-    known = history.select(F.col("batch_id").alias("ingestion_batch_id"))
+    known = load_history(spark, sf_dir).select(F.col("batch_id").alias("ingestion_batch_id"))
     return landed.join(known, "ingestion_batch_id", "left_semi").select("event_id", "ingestion_batch_id")
 
 
@@ -1067,6 +1109,25 @@ def stg_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UserDays(spark, sf_dir).cases
 
 
+HOT = SkewPlan(max_rows=5, sample_fraction=1.0)
+
+
+@query
+def stg_events_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for hot cases, with every case of more than five events taken for one."""
+    return UserDays(spark, sf_dir, HOT).events
+
+
+@query
+def stg_cases_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return UserDays(spark, sf_dir, HOT).cases
+
+
+@query
+def ana_case_kpis_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return UserDays(spark, sf_dir, HOT).kpis
+
+
 @query
 def stg_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.event_counts(UserDays(spark, sf_dir).events)
