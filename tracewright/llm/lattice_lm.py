@@ -60,7 +60,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 (train if learns else other).update(split_words(text))
                 if len(train) + len(other) > GATHERED_WORDS:
                     yield table()
-        yield table()
+        if train or other:
+            yield table()
 
     flagged = docs.select("text", (bucket_of(F.col("doc_id")) != HELD_OUT_BUCKET).alias("learns"))
     return (

@@ -244,8 +244,8 @@ def dedup_passages(docs: DataFrame, rule: PassageRule = PassageRule()) -> DataFr
             yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
 
     starts = broadcast_if_small(settle(repeated_starts(docs, rule)), 200_000).select(
-        F.col("doc_id").alias("_id"), "starts"
+        F.col("doc_id").alias("_id"), F.col("starts").alias("_starts")
     )
     held = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     joined = docs.select(*held).join(starts, F.col("doc_id") == F.col("_id"), "left")
-    return joined.select(*held, kept(F.col("text"), F.col("starts")).alias("_kept")).select(*held, "_kept.*")
+    return joined.select(*held, kept(F.col("text"), F.col("_starts")).alias("_kept")).select(*held, "_kept.*")
