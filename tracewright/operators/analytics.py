@@ -14,10 +14,12 @@ from tracewright.functions.numbers import count_where, ratio
 from tracewright.functions.time import utc_clock
 from tracewright.operators.ordering import HotKeys, global_rank
 from tracewright.operators.staging import case_aggregates, grouped_by_case
+from tracewright.shared_storage import settle
 
 # Events whose texts are joined in one step; longer cases are joined from such pieces.
 VARIANT_PIECE = 4_096
 
+# Column names and order of the result tables.
 KPI_COLUMNS = (
     "case_id", "case_name", "case_start_timestamp", "case_end_timestamp",
     "case_duration_seconds", "case_duration_hours", "case_duration_days",
@@ -127,14 +129,17 @@ def variant_statistics(variants: DataFrame, kpis: DataFrame, exact: bool = False
         ),
         "case_id",
     )
-    return cases.groupBy("process_variant").agg(
+    # The digest is the key: texts can be long, and only one per variant has to travel on.
+    keyed = cases.withColumn("_id", variant_id(F.col("process_variant")))
+    return keyed.groupBy("_id").agg(
+        F.min("process_variant").alias("process_variant"),
         F.count(F.lit(1)).alias("case_count"),
         count_where(F.col("is_analysis_ready")).alias("analysis_ready_case_count"),
         *_hours_summary(exact),
         F.avg("event_count").alias("average_event_count"),
         count_where(F.col("has_rework")).alias("rework_case_count"),
         ratio(count_where(F.col("has_rework")), F.count(F.lit(1))).alias("rework_case_rate"),
-    )
+    ).drop("_id")
 
 
 def with_share(
@@ -187,6 +192,7 @@ def process_variants(events: DataFrame, kpis: DataFrame, exact: bool = False) ->
 
 # -- activities ----------------------------------------------------------------------------------
 
+# Column names and order.
 ACTIVITY_COLUMNS = (
     "activity", "event_count", "case_count", "distinct_resource_count",
     "case_start_count", "case_end_count", "missing_resource_event_count",
@@ -216,12 +222,77 @@ def _sketches(gap: str, names: tuple[str, str]) -> list[Column]:
     return [Q.sketch(F.col(gap), p).alias(name) for name, p in zip(names, (50, 90))]
 
 
+def _value_counts(
+    df: DataFrame, keys: Sequence[str], texts: Sequence[str], numbers: Sequence[str], flags: Sequence[str]
+) -> DataFrame:
+    """Rows per key, measure and value, in one scan and one exchange; settled, as all statistics use it.
+
+    Text and number columns are the measures. The counts of true ``flags`` stand with the first one.
+    """
+    measures = [
+        F.struct(
+            F.lit(c).alias("measure"),
+            (F.col(c) if c in texts else F.lit(None)).cast("string").alias("text"),
+            (F.col(c) if c in numbers else F.lit(None)).cast("bigint").alias("number"),
+        )
+        for c in (*texts, *numbers)
+    ]
+    rows = df.select(*keys, *flags, F.inline(F.array(*measures)))
+    first = F.col("measure") == texts[0]
+    return settle(
+        rows.groupBy(*keys, "measure", "text", "number").agg(
+            F.count(F.lit(1)).alias("n"), *[count_where(first & F.col(f)).alias(f) for f in flags]
+        )
+    )
+
+
+def _rows_of(counts_of: str) -> Column:
+    return F.sum(F.when(F.col("measure") == counts_of, F.col("n")))
+
+
+def _distinct_of(text: str) -> Column:
+    return count_where((F.col("measure") == text) & F.col("text").isNotNull())
+
+
+def _average_of(number: str) -> Column:
+    known = (F.col("measure") == number) & F.col("number").isNotNull()
+    total = F.sum(F.when(known, F.col("number") * F.col("n")))
+    return total / F.sum(F.when(known, F.col("n")))
+
+
 def _with_exact_quantiles(
-    result: DataFrame, df: DataFrame, keys: Sequence[str], gap: str, names: tuple[str, str]
+    result: DataFrame, counts: DataFrame, keys: Sequence[str], names: dict[str, tuple[str, str]]
 ) -> DataFrame:
-    ranks = dict(zip(names, (Q.at_percent(50), Q.at_percent(90))))
-    ranked = Q.ranked_values(Q.value_counts(df, keys, gap), keys, gap, ranks)
-    return _join_null_safe(result, ranked, keys)
+    """Median and P90 of every number column in ``names``, from the settled counts."""
+    numbers = counts.where(F.col("measure").isin(*names)).select(*keys, "measure", "number", "n")
+    ranks = {"_median": Q.at_percent(50), "_p90": Q.at_percent(90)}
+    ranked = Q.ranked_values(numbers, [*keys, "measure"], "number", ranks)
+    picked = ranked.groupBy(*keys).agg(
+        *[
+            F.max(F.when(F.col("measure") == measure, F.col(rank))).alias(name)
+            for measure, both in names.items()
+            for rank, name in zip(ranks, both)
+        ]
+    )
+    return _join_null_safe(result, picked, keys)
+
+
+def _exact_activity_performance(events: DataFrame, gaps: dict[str, tuple[str, str]]) -> DataFrame:
+    flags = ("is_case_start", "is_case_end", "is_resource_missing", "is_timestamp_outlier")
+    counts = _value_counts(events, ["activity"], ("case_id", "resource_id"), tuple(gaps), flags)
+    summed = lambda flag: F.sum(flag)
+    result = counts.groupBy("activity").agg(
+        _rows_of("case_id").alias("event_count"),
+        _distinct_of("case_id").alias("case_count"),
+        _distinct_of("resource_id").alias("distinct_resource_count"),
+        summed("is_case_start").alias("case_start_count"),
+        summed("is_case_end").alias("case_end_count"),
+        summed("is_resource_missing").alias("missing_resource_event_count"),
+        ratio(summed("is_resource_missing"), _rows_of("case_id")).alias("missing_resource_rate"),
+        summed("is_timestamp_outlier").alias("timestamp_outlier_event_count"),
+        *[_average_of(gap).alias(f"average_{gap}") for gap in gaps],
+    )
+    return _with_exact_quantiles(result, counts, ["activity"], gaps).select(*ACTIVITY_COLUMNS)
 
 
 def activity_performance(events: DataFrame, exact: bool = False) -> DataFrame:
@@ -230,8 +301,10 @@ def activity_performance(events: DataFrame, exact: bool = False) -> DataFrame:
         gap: (f"median_{gap}", f"p90_{gap}")
         for gap in ("seconds_since_previous_event", "seconds_to_next_event")
     }
+    if exact:
+        return _exact_activity_performance(events, gaps)
     missing = count_where(F.col("is_resource_missing"))
-    sketches = [] if exact else [s for gap, names in gaps.items() for s in _sketches(gap, names)]
+    sketches = [s for gap, names in gaps.items() for s in _sketches(gap, names)]
     result = events.groupBy("activity").agg(
         F.count(F.lit(1)).alias("event_count"),
         count_where(F.col("is_case_start")).alias("case_start_count"),
@@ -248,9 +321,6 @@ def activity_performance(events: DataFrame, exact: bool = False) -> DataFrame:
         ["activity"],
         {"case_count": "case_id", "distinct_resource_count": "resource_id"},
     )
-    if exact:
-        for gap, names in gaps.items():
-            result = _with_exact_quantiles(result, events, ["activity"], gap, names)
     return result.select(*ACTIVITY_COLUMNS)
 
 
@@ -267,16 +337,26 @@ def transition_statistics(events: DataFrame, exact: bool = False) -> DataFrame:
         F.col("seconds_to_next_event").alias("gap"),
     )
     names = ("median_transition_seconds", "p90_transition_seconds")
-    result = pairs.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("transition_count"),
-        F.avg("gap").alias("average_transition_seconds"),
-        F.min("gap").alias("minimum_transition_seconds"),
-        F.max("gap").alias("maximum_transition_seconds"),
-        *([] if exact else _sketches("gap", names)),
-    )
-    result = _with_distinct_counts(result, pairs, keys, {"case_count": "case_id"})
     if exact:
-        result = _with_exact_quantiles(result, pairs, keys, "gap", names)
+        counts = _value_counts(pairs, keys, ("case_id",), ("gap",), ())
+        number = F.when(F.col("measure") == "gap", F.col("number"))
+        result = counts.groupBy(*keys).agg(
+            _rows_of("case_id").alias("transition_count"),
+            _distinct_of("case_id").alias("case_count"),
+            _average_of("gap").alias("average_transition_seconds"),
+            F.min(number).alias("minimum_transition_seconds"),
+            F.max(number).alias("maximum_transition_seconds"),
+        )
+        result = _with_exact_quantiles(result, counts, keys, {"gap": names})
+    else:
+        result = pairs.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("transition_count"),
+            F.avg("gap").alias("average_transition_seconds"),
+            F.min("gap").alias("minimum_transition_seconds"),
+            F.max("gap").alias("maximum_transition_seconds"),
+            *_sketches("gap", names),
+        )
+        result = _with_distinct_counts(result, pairs, keys, {"case_count": "case_id"})
     return result.select(
         *keys,
         "transition_count",
@@ -290,10 +370,8 @@ def transition_statistics(events: DataFrame, exact: bool = False) -> DataFrame:
 
 def transitions(events: DataFrame, exact: bool = False) -> DataFrame:
     """The transition table: statistics and the share in all transitions."""
-    whole = events.agg(count_where(F.col("next_activity").isNotNull()))
-    return with_share(
-        transition_statistics(events, exact), "transition_count", "transition_share", whole
-    )
+    statistics = settle(transition_statistics(events, exact))
+    return with_share(statistics, "transition_count", "transition_share")
 
 
 # -- overview ------------------------------------------------------------------------------------
