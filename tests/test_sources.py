@@ -210,3 +210,10 @@ def test_json_report(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a bigint, b string")
     sinks.write_json(df, str(tmp_path / "j"))
     assert spark.read.schema("a bigint, b string").json(str(tmp_path / "j")).orderBy("a").collect() == df.collect()
+
+
+def test_the_last_of_a_repeated_xes_key_counts(spark, tmp_path):
+    event = "".join(f'<string key="concept:name" value="{v}"/>' for v in ("first", "last"))
+    (tmp_path / "log.xes").write_text(f'<log><trace><string key="concept:name" value="c"/><event>{event}</event></trace></log>')
+    (row,) = xes.read_xes(spark, str(tmp_path / "log.xes")).collect()
+    assert (row["concept:name"], row["case:concept:name"]) == ("last", "c")

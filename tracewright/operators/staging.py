@@ -146,6 +146,7 @@ def case_aggregates(distinct: Callable[[str], Column] = distinct_by_set) -> dict
     }
 
 
+# Column names and order of staging.cases.
 CASE_COLUMNS = (
     "case_id", "case_name", "case_start_timestamp", "case_end_timestamp",
     "case_duration_seconds", "case_duration_hours", "case_duration_days",

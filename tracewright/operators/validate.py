@@ -15,6 +15,7 @@ from tracewright.fixed_values import BATCH_RULES
 from tracewright.functions.numbers import count_where
 from tracewright.functions.text import grouped_digits
 
+# Rule names and the columns they check.
 NOT_NULL_RULES = {
     "DQ_NOT_NULL_CASE_ID": "case_id",
     "DQ_NOT_NULL_ACTIVITY": "activity",
@@ -91,6 +92,8 @@ def facts(expected: DataFrame, counts: DataFrame, processed: DataFrame | None =
 
 # -- rules ---------------------------------------------------------------------------------------
 
+# The message texts of all rules below; reports carry them verbatim.
+
 
 def _outcome(status: Column | str, failed: Column | int, message: Column | str) -> Column:
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)

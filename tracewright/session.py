@@ -12,6 +12,8 @@ SETTINGS = {
     # interpret; beyond this size Spark generates smaller methods per operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Small sets per case stay in the hash table; the default turns to sorting after 128 keys.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 
