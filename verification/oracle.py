@@ -92,33 +92,32 @@ cases AS (
         min(simulated_ingestion_date) AS first_ingestion_date, max(simulated_ingestion_date) AS last_ingestion_date
     FROM staged GROUP BY case_id
 ),
-statistics AS (
-    SELECT case_id, count(*) AS n, count(DISTINCT activity) AS activities,
-        count(DISTINCT resource_id) AS distinct_resource_count
-    FROM staged GROUP BY case_id
+lists AS (
+    SELECT case_id, list(activity ORDER BY process_event_sequence) AS path, list(resource_id) AS people
+    FROM staged WHERE case_id IS NOT NULL GROUP BY case_id
 ),
 kpis AS (
-    SELECT c.case_id, case_name, case_start_timestamp, case_end_timestamp, case_duration_seconds,
-        case_duration_hours, case_duration_days, n AS event_count, activities AS distinct_activity_count,
-        n - activities AS repeated_activity_event_count, n - activities > 0 AS has_rework,
-        (n - activities) / n AS rework_event_rate, distinct_resource_count, missing_resource_event_count,
-        missing_resource_event_count / n AS missing_resource_rate, timestamp_outlier_event_count,
+    SELECT case_id, case_name, case_start_timestamp, case_end_timestamp, case_duration_seconds,
+        case_duration_hours, case_duration_days, len(path) AS event_count,
+        len(list_distinct(path)) AS distinct_activity_count,
+        len(path) - len(list_distinct(path)) AS repeated_activity_event_count,
+        len(list_distinct(path)) < len(path) AS has_rework,
+        (len(path) - len(list_distinct(path))) / len(path) AS rework_event_rate,
+        len(list_distinct(people)) AS distinct_resource_count, missing_resource_event_count,
+        missing_resource_event_count / len(path) AS missing_resource_rate, timestamp_outlier_event_count,
         timestamp_outlier_event_count = 0 AS is_analysis_ready, ingestion_batch_count,
         start_activity, end_activity, company_id, vendor_id, purchasing_document_id, document_type,
         purchasing_document_category, item_type, item_category, spend_area, sub_spend_area,
         spend_classification, maximum_cumulative_net_worth_eur, first_ingestion_date, last_ingestion_date
-    FROM cases c JOIN statistics s ON c.case_id = s.case_id
-),
-case_variants AS (
-    SELECT case_id, string_agg(activity, ' -> ' ORDER BY process_event_sequence) AS process_variant
-    FROM staged GROUP BY case_id
+    FROM lists JOIN cases USING (case_id)
 ),
+case_variants AS (SELECT case_id, nullif(array_to_string(path, ' -> '), '') AS process_variant FROM lists),
 variant_statistics AS (
     SELECT process_variant, count(*) AS case_count,
         count_if(is_analysis_ready)::BIGINT AS analysis_ready_case_count,
         avg(CASE WHEN is_analysis_ready THEN case_duration_hours END) AS average_case_duration_hours,
-        quantile_disc(CASE WHEN is_analysis_ready THEN case_duration_hours END, 0.5) AS median_case_duration_hours,
-        quantile_disc(CASE WHEN is_analysis_ready THEN case_duration_hours END, 0.9) AS p90_case_duration_hours,
+        list_sort(list(CASE WHEN is_analysis_ready THEN case_duration_hours END) FILTER ((CASE WHEN is_analysis_ready THEN case_duration_hours END) IS NOT NULL))[(count(CASE WHEN is_analysis_ready THEN case_duration_hours END) * 5 + 9) // 10] AS median_case_duration_hours,
+        list_sort(list(CASE WHEN is_analysis_ready THEN case_duration_hours END) FILTER ((CASE WHEN is_analysis_ready THEN case_duration_hours END) IS NOT NULL))[(count(CASE WHEN is_analysis_ready THEN case_duration_hours END) * 9 + 9) // 10] AS p90_case_duration_hours,
         avg(event_count) AS average_event_count, count_if(has_rework)::BIGINT AS rework_case_count,
         count_if(has_rework) / count(*) AS rework_case_rate
     FROM case_variants JOIN kpis USING (case_id) GROUP BY process_variant
@@ -136,18 +135,18 @@ activities AS (
         count_if(is_resource_missing) / count(*) AS missing_resource_rate,
         count_if(is_timestamp_outlier)::BIGINT AS timestamp_outlier_event_count,
         avg(seconds_since_previous_event) AS average_seconds_since_previous_event,
-        quantile_disc(seconds_since_previous_event, 0.5) AS median_seconds_since_previous_event,
-        quantile_disc(seconds_since_previous_event, 0.9) AS p90_seconds_since_previous_event,
+        list_sort(list(seconds_since_previous_event) FILTER ((seconds_since_previous_event) IS NOT NULL))[(count(seconds_since_previous_event) * 5 + 9) // 10] AS median_seconds_since_previous_event,
+        list_sort(list(seconds_since_previous_event) FILTER ((seconds_since_previous_event) IS NOT NULL))[(count(seconds_since_previous_event) * 9 + 9) // 10] AS p90_seconds_since_previous_event,
         avg(seconds_to_next_event) AS average_seconds_to_next_event,
-        quantile_disc(seconds_to_next_event, 0.5) AS median_seconds_to_next_event,
-        quantile_disc(seconds_to_next_event, 0.9) AS p90_seconds_to_next_event
+        list_sort(list(seconds_to_next_event) FILTER ((seconds_to_next_event) IS NOT NULL))[(count(seconds_to_next_event) * 5 + 9) // 10] AS median_seconds_to_next_event,
+        list_sort(list(seconds_to_next_event) FILTER ((seconds_to_next_event) IS NOT NULL))[(count(seconds_to_next_event) * 9 + 9) // 10] AS p90_seconds_to_next_event
     FROM staged GROUP BY activity
 ),
 transition_statistics AS (
     SELECT activity AS from_activity, next_activity AS to_activity, count(*) AS transition_count,
         count(DISTINCT case_id) AS case_count, avg(seconds_to_next_event) AS average_transition_seconds,
-        quantile_disc(seconds_to_next_event, 0.5) AS median_transition_seconds,
-        quantile_disc(seconds_to_next_event, 0.9) AS p90_transition_seconds,
+        list_sort(list(seconds_to_next_event) FILTER ((seconds_to_next_event) IS NOT NULL))[(count(seconds_to_next_event) * 5 + 9) // 10] AS median_transition_seconds,
+        list_sort(list(seconds_to_next_event) FILTER ((seconds_to_next_event) IS NOT NULL))[(count(seconds_to_next_event) * 9 + 9) // 10] AS p90_transition_seconds,
         min(seconds_to_next_event) AS minimum_transition_seconds,
         max(seconds_to_next_event) AS maximum_transition_seconds
     FROM staged WHERE next_activity IS NOT NULL GROUP BY 1, 2
