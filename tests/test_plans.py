@@ -168,3 +168,23 @@ def test_a_cluster_needs_a_shared_folder():
     session = type("Session", (), {"conf": Unset, "sparkContext": Unset})
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session)
+
+
+def test_from_source_log_to_batches(spark, tmp_path):
+    from tests.test_sources import LOG
+    from tracewright.plans import prepare
+    from tracewright.schema import BatchPlan
+    from tracewright.sources import xes
+
+    (tmp_path / "log.xes").write_text(LOG)
+    made = dict(source_file="log.xes", pipeline_batch_id="b", processed_at=AT)
+    log = xes.read_xes(spark, str(tmp_path / "log.xes"))
+    plain, hot = (
+        settle(prepare.standardize_log(log, skew=skew, **made))
+        for skew in (SkewPlan(), SkewPlan(max_rows=1, sample_fraction=1.0))
+    )
+    assert sorted(map(str, plain.collect())) == sorted(map(str, hot.collect()))
+    manifest = prepare.deliver_batches(spark, plain, str(tmp_path / "batches"), BatchPlan(size=2))
+    assert [(r.batch_id, r.row_count) for r in manifest.orderBy("batch_id").collect()] == [("batch_0001", 2), ("batch_0002", 1)]
+    with pytest.raises(ingest.PipelineError, match="not unique"):
+        prepare.deliver_batches(spark, plain.union(plain), str(tmp_path / "twice"))
