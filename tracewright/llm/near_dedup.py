@@ -8,7 +8,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm.components import components
@@ -119,23 +119,71 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
     )
 
 
-def _may_link(n: str, m: str, rule: NearRule):
+def _may_link(n: str, m: str, rule: NearRule) -> Column:
     """Sets whose sizes are too far apart can't reach the similarity."""
     return 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
 
 
+def prefix_entries(open_reps: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+    """(rep, n, component, token, at): the rarest shingles of every set, as many as can decide a link.
+
+    Two similar sets share one of the rarest shingles of each. Shingles that a single set holds take
+    their places in the order, but join with nothing and are left out.
+    """
+
+    @F.pandas_udf("array<bigint>")
+    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = WordHashes()
+        for texts in batches:
+            sets = (shingle_hashes(word_hashes(t, known, lower=True), rule.shingle_words) for t in texts)
+            yield pd.Series([np.unique(x).view(np.int64) for x in sets], dtype=object)
+
+    ids = broadcast_if_small(open_reps.select(F.col("rep").alias("doc_id")))
+    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    held = settle(
+        texts.select(F.col("doc_id").alias("rep"), tokens(F.col("text")).alias("tokens"))
+    ).select("rep", F.explode("tokens").alias("token"))
+    frequent = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
+    of_set = Window.partitionBy("rep")
+    placed = (
+        held.join(frequent, "token")
+        .join(open_reps, "rep")
+        .withColumn("nth", F.row_number().over(of_set.orderBy("df", "token")))
+        .withColumn("at", F.col("n") - F.count(F.lit(1)).over(of_set) + F.col("nth"))
+    )
+    longest = F.col("n") - F.ceil(F.col("n") * rule.percent / 100) + 1
+    return placed.where(F.col("at") <= longest).select("rep", "n", "component", "token", "at")
+
+
+def prefix_pairs(entries: DataFrame, rule: NearRule) -> DataFrame:
+    """Pairs (a, b) of different components that share a prefix shingle at places that leave enough."""
+    side = lambda s: entries.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("rep", "n", "component", "at")])
+    needed = F.ceil(rule.percent * (F.col("a_n") + F.col("b_n")) / (100 + rule.percent))
+    left = 1 + F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    a, b = side("a"), side("b")
+    can_link = (
+        (a["token"] == b["token"])
+        & (F.col("a_rep") < F.col("b_rep"))
+        & (F.col("a_component") != F.col("b_component"))
+        & _may_link("a_n", "b_n", rule)
+        & (left >= needed)
+    )
+    return a.join(b, can_link).select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b")).distinct()
+
+
 def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest doc_id that links lead to, itself included.
 
     1. Documents with equal sets are one class, represented by the smallest doc_id; from here on only
        representatives are compared.
-    2. In each bucket of a band every member is compared with the smallest one. Confirmed links join
-       members into components.
-    3. What is left are buckets with more than one component: members of different components are
-       compared with each other. Members of one component need no further link.
-
-    So no pair within a group of copies is spelled out, and every candidate pair that could still join
-    two groups is verified on full sets. Texts without words, and rows without doc_id, are linked with
+    2. In each bucket of a band every member is compared with one hub: the member whose buckets are the
+       fullest, which is the most typical text of its group. Confirmed links join members into components.
+    3. What is left are buckets with more than one component. Members of different components are compared
+       if they share one of their rarest shingles at a place that can still make them similar, which
+       every similar pair does. Members of one component need no further link.
+
+    So the pairs within a group of copies are not spelled out, and every candidate pair that could still
+    join two groups is verified on full sets. Texts without words, and rows without doc_id, are linked with
     nothing; their component is their own doc_id. Rows that share a doc_id are one document. Empty input
     gives no rows.
     """
@@ -149,15 +197,20 @@ def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     )
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = settle(
-        buckets.groupBy("bucket")
-        .agg(F.min(F.struct("rep", "n")).alias("hub"), F.count(F.lit(1)).alias("members"))
-        .where(F.col("members") > 1)
-        .select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
+        buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
     )
     members = settle(buckets.join(shared, "bucket"))
-    stars = (
-        members.where((F.col("rep") != F.col("hub")) & _may_link("n", "hub_n", rule))
-        .select(F.col("hub").alias("a"), F.col("rep").alias("b"))
+    typical = members.groupBy("rep").agg(F.sum("members").alias("fullness"))
+    hubs = (
+        members.join(typical, "rep")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("fullness", (-F.col("rep")).alias("order"), "rep", "n")).alias("hub"))
+        .select("bucket", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
+    )
+    stars = settle(
+        members.join(hubs, "bucket")
+        .where((F.col("rep") != F.col("hub")) & _may_link("n", "hub_n", rule))
+        .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
         .distinct()
     )
     links = settle(confirmed(stars, docs, rule))
@@ -171,16 +224,11 @@ def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         .where(F.col("low") != F.col("high"))
         .select("bucket")
     )
-    open_members = settle(labelled.join(mixed_buckets, "bucket", "left_semi"))
-    left = open_members.select("bucket", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"))
-    right = open_members.select("bucket", F.col("rep").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c"))
-    rest = (
-        left.join(right, "bucket")
-        .where((F.col("a") < F.col("b")) & (F.col("a_c") != F.col("b_c")) & _may_link("a_n", "b_n", rule))
-        .select("a", "b")
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    open_reps = settle(
+        labelled.join(mixed_buckets, "bucket", "left_semi").select("rep", "n", "component").distinct()
     )
+    entries = settle(prefix_entries(open_reps, docs, rule))
+    rest = prefix_pairs(entries, rule).join(stars, ["a", "b"], "left_anti")
     every = links.union(confirmed(rest, docs, rule))
     final = components(every)
     reps = (
