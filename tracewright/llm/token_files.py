@@ -13,8 +13,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Chunks kept per Python worker; beyond that the table is dropped and filled anew.
-CACHED_CHUNKS = 300_000
+#: Chunks in the young table of a Python worker. When it is full it becomes the old one, and what is
+#: used again moves on from there, so that frequent chunks are never encoded anew.
+CACHED_CHUNKS = 350_000
 
 #: Texts encoded together.
 GROUP = 400
@@ -48,6 +49,7 @@ class ChunkEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -70,8 +72,10 @@ class ChunkEncoder:
         whole = [_UNCUT.search(t) is not None for t in texts]
         cut = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
         if len(self.known) > CACHED_CHUNKS:
-            self.known.clear()
-        self._learn(list(set().union(*(c[1:] for c in cut)).difference(self.known)))
+            self.known, self.old = {}, self.known
+        missing = set().union(*(c[1:] for c in cut)).difference(self.known)
+        self.known.update((c, self.old[c]) for c in missing.intersection(self.old))
+        self._learn(list(missing.difference(self.old)))
         first = iter(self._batch([t if w else c[0] for t, w, c in zip(texts, whole, cut)]))
         known = self.known.__getitem__
         return [
