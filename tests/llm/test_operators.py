@@ -210,6 +210,28 @@ def test_selected_spans_add_to_the_base(spark):
     assert "[phone]" in text and "+1 640" not in text
 
 
+EXTRA = [("email", "{w}.{k} [at] mail{d} [dot] org"), ("phone", "({a}) 555-{n}"), ("ip", "10[.]{d}[.]0[.]{d}")]
+DECOYS = ["order 4111.1111.1111.1112", "at 2021-03-04 the 10", "id 123456789012", "v [at] home", "300[.]1[.]2[.]9"]
+
+
+@pytest.mark.parametrize("n_extra", [20, 600])
+def test_personal_data_in_other_spellings_is_added(spark, n_extra):
+    data, wanted = [], {}
+    for k in range(400 + n_extra):
+        known = f"river {k % 90} stone +1 ({200 + k % 700}) 555-{1000 + k} or 10.{k % 9}.0.{k % 9} house w.{k}@mail{k % 9}.org"
+        if k < 400:
+            data.append((k, f"{known} {DECOYS[k % 5]} end"))
+            continue
+        kind, form = EXTRA[k % 3]
+        spelled = form.format(w="w", k=k, d=k % 9, a=200 + k % 700, n=1000 + k)
+        wanted[k] = (pii.KINDS.index(kind), 6, 6 + len(spelled))
+        data.append((k, f"stone {spelled} house"))
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for r in pii.find(df, pii.fit(df)).collect():
+        expected = base_spans(r.text) + ([wanted[r.doc_id]] if r.doc_id in wanted else [])
+        assert [tuple(s) for s in r.spans] == sorted(expected, key=lambda s: (s[1], s[0], s[2])), r.text
+
+
 ITEM_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
 
