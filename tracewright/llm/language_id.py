@@ -43,11 +43,17 @@ _CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class LanguageRule:
-    """``per_language`` bounds the training sample: at most so many labelled documents a language."""
+    """``per_language`` bounds the training sample: at most so many labelled documents a language.
+
+    ``slack`` is the part of the lowest score of known documents that a document must reach, and
+    ``least_calibrated`` how many of them are needed to tell that score.
+    """
 
     per_language: int = 400
     penalty: float = 4.0
     rounds: int = 30
+    slack: float = 0.8
+    least_calibrated: int = 50
 
 
 def family(lang: str) -> str:
@@ -204,11 +210,26 @@ def fit(docs: DataFrame, rule: LanguageRule = LanguageRule()) -> LanguageModel:
     return model
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def least_score(held_out: DataFrame, model: LanguageModel, rule: LanguageRule = LanguageRule()) -> float:
+    """The score below which a language is not told, from labelled documents the model was not fitted on.
+
+    It is ``slack`` times the lowest score of those (at most ``per_language`` a language) whose language was
+    found, so that documents like them stay; 0, which rejects nothing, if they are fewer than
+    ``least_calibrated``.
+    """
+    if not model.languages:
+        return 0.0
+    found = identify(training_sample(held_out, rule), model).where(F.col("lang_pred") == F.col("lang"))
+    n, lowest = found.agg(F.count(F.lit(1)), F.min("score")).first()
+    return rule.slack * lowest if n >= rule.least_calibrated else 0.0
+
+
+def identify(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataFrame:
     """Every row of ``docs`` with ``lang_pred`` and ``score`` (0 to 1), from the text alone.
 
-    ``und`` with score 0 where the text is null or has no letter, or where nothing was learned. All
-    columns stay; columns with the new names are replaced. Empty input gives no rows.
+    ``und`` with score 0 where the text is null or has no letter, or where nothing was learned; ``und``
+    with its score where that is below ``least``. All columns stay; columns with the new names are
+    replaced. Empty input gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -225,4 +246,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     held = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return docs.select(
         *held, predicted(whole(F.col("text")), has_letter(F.col("text"))).alias("_language")
-    ).select(*held, "_language.lang_pred", "_language.score")
+    ).select(
+        *held,
+        F.when(F.col("_language.score") < least, UNDETERMINED)
+        .otherwise(F.col("_language.lang_pred"))
+        .alias("lang_pred"),
+        "_language.score",
+    )
