@@ -392,6 +392,15 @@ def test_passages(docs, none):
     assert substring_dedup.dedup_passages(none).count() == 0
 
 
+def test_the_bitmap_of_anchors_grows_with_them(spark):
+    rule = substring_dedup.PassageRule(filter_bits=64, most_filter_bits=1 << 16)
+    sizes = [substring_dedup.with_filter_for(n, rule).filter_bits for n in (0, 4, 5, 1000, 10**9)]
+    assert sizes == [64, 64, 128, 1 << 14, 1 << 16]
+    anchors = spark.range(1000).select((F.col("id") * 7919 * 104729).alias("anchor"))
+    bitmap = substring_dedup.anchor_filter(anchors, substring_dedup.with_filter_for(1000, rule))
+    assert len(bitmap) * 64 == 1 << 14 and sum(int(w).bit_count() for w in bitmap) <= 1000
+
+
 def test_fm_index_counts_every_pattern():
     from tracewright.llm.fm_index import FMIndex
 

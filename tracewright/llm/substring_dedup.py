@@ -7,7 +7,7 @@ windows have equal anchors, so a shard can decide on its windows alone, and each
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from hashlib import blake2b
 
 import numpy as np
@@ -25,7 +25,8 @@ from tracewright.shared_storage import settle
 class PassageRule:
     """``window`` words in a row are a passage; the rest are sizes that results do not depend on.
 
-    ``filter_bits``: size (a power of two) of the bitmap of repeated anchors that every task holds.
+    ``filter_bits``: least size (a power of two) of the bitmap of repeated anchors that every task holds; it
+    grows to 16 bits an anchor and at most ``most_filter_bits`` (64 MB on the driver and in a task).
     A bitmap that is too full lets more segments through, it never loses one. ``shard_segments``:
     distinct segments an index holds on average; an anchor with more of them is spread by window.
     """
@@ -33,6 +34,7 @@ class PassageRule:
     window: int = 13
     anchor_words: int = 6
     filter_bits: int = 1 << 26
+    most_filter_bits: int = 1 << 29
     shard_segments: int = 20_000
 
 
@@ -69,8 +71,14 @@ def repeated_anchors(docs: DataFrame, rule: PassageRule) -> DataFrame:
     )
 
 
+def with_filter_for(n_anchors: int, rule: PassageRule) -> PassageRule:
+    """The rule with a bitmap of at least 16 bits an anchor, as far as the bound allows."""
+    wanted = 1 << (16 * n_anchors - 1).bit_length() if n_anchors else 1
+    return replace(rule, filter_bits=max(rule.filter_bits, min(wanted, rule.most_filter_bits)))
+
+
 def anchor_filter(repeated: DataFrame, rule: PassageRule) -> np.ndarray:
-    """A bitmap of fixed size with the bit of every repeated anchor set."""
+    """A bitmap of ``filter_bits`` with the bit of every repeated anchor set."""
     bit = F.pmod("anchor", F.lit(rule.filter_bits))
     words = (
         repeated.select(bit.alias("bit"))
@@ -192,6 +200,7 @@ def repeated_starts(docs: DataFrame, rule: PassageRule = PassageRule()) -> DataF
     """(doc_id, starts): first words of the windows that a document with a smaller id holds as well."""
     docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     repeated = settle(repeated_anchors(docs, rule))
+    rule = with_filter_for(repeated.count(), rule)
     bitmap = anchor_filter(repeated, rule)
     # Equal segments are one class, held by the smallest id.
     classes = settle(
