@@ -1,7 +1,10 @@
 import random
 
 import corpus_pipeline
+import numpy as np
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tests.llm import corpus
 from tracewright.llm import language_id
@@ -29,3 +32,30 @@ def test_first_stage_keeps_an_unlabelled_corpus(spark):
     lettered = [t for _, t, *_ in corpus.rows() + corpus.odd_rows() if t and any(c.isalpha() for c in t)]
     assert sorted(r.text for r in kept.collect()) == sorted(lettered)
     assert corpus_pipeline.identify_language(spark, docs.limit(0), "").count() == 0
+
+
+def test_all_stages_on_a_written_folder(spark, tmp_path):
+    rng = random.Random(8)
+    flat = lambda n: " ".join(corpus.prose(rng, "en", n).split())
+    item = " ".join(f"passage{k}" for k in range(20))
+    clean = {k: flat(80) for k in range(12)}
+    data = [(k, t, None, "s", len(t)) for k, t in clean.items()]
+    data += [(50, clean[3] + " more", None, "s", 0), (51, f"{flat(40)} {item}", None, "s", 0)]
+    data += [(52, "12 34", None, "s", 5), (53, None, None, None, None)]
+    docs = corpus.table(spark, data).withColumn("topic", F.concat(F.lit("t"), F.col("doc_id")))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for name, table in (("all", docs), ("none", docs.limit(0))):
+        table.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        items.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = {k: tokenizer.encode(t, add_special_tokens=False).ids for k, t in clean.items()}
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/all").collect()
+    assert len(rows) == 12
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == expected
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    left, lost = docs, [{52, 53}, set(), {50}, {51}]
+    for (_, stage), gone in zip(corpus_pipeline.STAGES, lost):
+        before = {r.doc_id: tuple(r) for r in left.collect()}
+        left = stage(spark, left, f"{tmp_path}/all")
+        assert left.columns == docs.columns
+        assert {r.doc_id: tuple(r) for r in left.collect()} == {k: v for k, v in before.items() if k not in gone}
