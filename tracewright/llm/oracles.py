@@ -25,5 +25,51 @@ FROM marked GROUP BY doc_id
 """
 
 
+# Exact floor of a sum divided by a number; "//" alone would cut towards zero.
+_FLOORED = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+
+
+def _assigned(centroids: str) -> str:
+    """Every kept vector with its nearest centroid, ties to the smaller number."""
+    return f"""
+  SELECT k.vec_id, k.r, k.v, min(struct_pack(d := list_sum(list_transform(list_zip(k.v, m.v),
+      lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c := m.c)) AS best
+  FROM kept k CROSS JOIN {centroids} m GROUP BY k.vec_id, k.r, k.v"""
+
+
+def _moved(assigned: str, centroids: str) -> str:
+    return f"""
+  SELECT m.c, coalesce(t.v, m.v) AS v FROM {centroids} m LEFT JOIN (
+    SELECT c, list({_FLOORED} ORDER BY j) AS v FROM (
+      SELECT best.c AS c, j, sum(v[j]) AS s, count(*) AS n FROM {assigned}, range(1, 65) t(j) GROUP BY ALL
+    ) GROUP BY c
+  ) t USING (c)"""
+
+
+CENTROID_CLUSTERS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS r,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c, v FROM kept
+  ORDER BY c LIMIT 16
+), a0 AS MATERIALIZED ({_assigned("c0")}
+), c1 AS MATERIALIZED ({_moved("a0", "c0")}
+), a1 AS MATERIALIZED ({_assigned("c1")}
+), c2 AS MATERIALIZED ({_moved("a1", "c1")}
+), a2 AS MATERIALIZED ({_assigned("c2")}
+), c3 AS MATERIALIZED ({_moved("a2", "c2")}
+), a3 AS MATERIALIZED ({_assigned("c3")}
+)
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM a3 JOIN c3 ON c3.c = a3.best.c
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP}
+    return {"op2_line_dedup": LINE_DEDUP, "op11_centroid_clusters": CENTROID_CLUSTERS}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm import (
     bpe_automaton,
+    centroid_clusters,
     decontamination,
     language_id,
     lattice_lm,
@@ -125,3 +126,9 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = substring_dedup.dedup_passages(documents(spark, sf_dir))
     return deduped.select("doc_id", "n_words", "n_removed", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
+
+
+@query
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return centroid_clusters.clustered(vectors).select("vec_id", *centroid_clusters.NEW_COLUMNS)
