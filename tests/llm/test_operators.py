@@ -416,4 +416,4 @@ def test_fm_index_counts_every_pattern():
 
 
 def test_every_operator_has_one_query():
-    assert [n.split("_")[0] for n in sorted(llm_queries(), key=lambda n: int(n[2:].split("_")[0]))] == [f"op{k}" for k in range(1, 12)]
+    assert [n.split("_")[0] for n in sorted(llm_queries(), key=lambda n: int(n[2:].split("_")[0]))] == [f"op{k}" for k in range(1, 14)]

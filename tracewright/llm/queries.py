@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tracewright.llm import (
     bpe_automaton,
     centroid_clusters,
+    chat_windows,
     decontamination,
     language_id,
     lattice_lm,
@@ -22,7 +23,7 @@ from tracewright.llm import (
     token_files,
 )
 from tracewright.llm.text import bucket_of, sha256_hex
-from tracewright.shared_storage import shared_folder
+from tracewright.shared_storage import settle, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -132,3 +133,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
     return centroid_clusters.clustered(vectors).select("vec_id", *centroid_clusters.NEW_COLUMNS)
+
+
+@query
+def op13_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    added = [(-1, 0, "user", control), (-1, 1, "assistant", control)]
+    turns = given.union(spark.createDataFrame(added, "conv_id bigint, turn bigint, role string, text string"))
+    written = settle(chat_windows.windows(turns, public_tokenizers.path("byte_bpe_50k.json")))
+    return chat_windows.digests(written)
