@@ -71,5 +71,46 @@ FROM a3 JOIN c3 ON c3.c = a3.best.c
 """
 
 
+PHRASES = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), spoken AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS p
+  FROM spoken, range(1, 5) sizes(k) WHERE len(w) >= k
+), counts AS (
+  SELECT lang, p, k AS size, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE size = 1 GROUP BY lang
+), frequent AS (
+  SELECT *, string_split(p, ' ') AS w FROM counts WHERE f >= 30
+), cuts AS (
+  SELECT lang, p, size, f AS a, k, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM frequent, range(1, 4) places(k) WHERE k < size
+), scores AS (
+  SELECT c.*, x.f AS l, y.f AS r, CAST((2000000 * c.a::HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN frequent x ON x.lang = c.lang AND x.p = c.first JOIN frequent y ON y.lang = c.lang AND y.p = c.rest
+), best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS p, f
+  FROM frequent, range(2, 4) sizes(k), range(1, 4) places(i) WHERE k < size AND i + k - 1 <= size
+), around AS (
+  SELECT lang, p, max(f) AS f FROM inside GROUP BY ALL
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY b.score DESC, b.a DESC, b.p) AS rank
+  FROM best b LEFT JOIN around o ON o.lang = b.lang AND o.p = b.p WHERE NOT coalesce(100 * o.f >= 80 * b.a, false)
+)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op2_line_dedup": LINE_DEDUP, "op11_centroid_clusters": CENTROID_CLUSTERS}
+    return {
+        "op2_line_dedup": LINE_DEDUP,
+        "op11_centroid_clusters": CENTROID_CLUSTERS,
+        "op12_phrases": PHRASES,
+    }

@@ -17,6 +17,7 @@ from tracewright.llm import (
     lattice_lm,
     line_dedup,
     near_dedup,
+    phrases,
     pii,
     quality_rules,
     substring_dedup,
@@ -143,3 +144,8 @@ def op13_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = given.union(spark.createDataFrame(added, "conv_id bigint, turn bigint, role string, text string"))
     written = settle(chat_windows.windows(turns, public_tokenizers.path("byte_bpe_50k.json")))
     return chat_windows.digests(written)
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir, "lang"))
