@@ -311,7 +311,7 @@ def test_bpe(docs, none):
     for d, t, *_ in DATA:
         ids = library.encode(t or "", add_special_tokens=False).ids
         expected[d, len(ids), np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)] += 1
-    found = bpe_automaton.encode(docs, file)
+    found = bpe_automaton.encode(docs, file, keep_decoded=True)
     untouched(found)
     assert Counter((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in found.collect()) == expected
     assert bpe_automaton.encode(none, file).count() == 0

@@ -25,16 +25,22 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 NO_TIME = 1 << 40
 
-#: Words kept per Python worker; beyond that the oldest table is dropped and filled anew.
-CACHED_WORDS = 400_000
+#: Chunks and words remembered per Python worker in a young table each. A full one becomes the old one, and
+#: what is used again moves on from there.
+CACHED = 100_000
+
+#: Arcs that are kept resolved; beyond that the table is filled anew.
+CACHED_ARCS = 400_000
+
+#: Texts encoded and handed on together.
+PART = 200
 
 # White space of the Unicode standard, as the tokenizer's normalizer sees it.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -86,6 +92,8 @@ class Automaton:
         key = state * self.size + label
         known = self.arcs.get(key)
         if known is None:
+            if len(self.arcs) >= CACHED_ARCS:
+                self.arcs.clear()
             known = self.arcs[key] = self._resolved(state, label)
         return known
 
@@ -143,6 +151,26 @@ class Automaton:
         return found
 
 
+class Memory(dict):
+    """Results of a function by text, in two generations of bounded size; long texts are not kept."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+        self.old: dict = {}
+
+    def __missing__(self, text: str):
+        found = self.old.get(text)
+        if found is None:
+            found = self.function(text)
+        if len(text) <= 64:
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
+            self[text] = found
+        return found
+
+
 class WordTokenizer:
     """Normalizer, pre-splitting and automaton of a lower-casing vocabulary with word ends."""
 
@@ -163,18 +191,13 @@ class WordTokenizer:
         self.words = regex.compile(split)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.symbols = byte_symbols()
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.known_words: dict[str, list[int]] = {}
+        self.known = Memory(self._chunk)
+        self.known_words = Memory(self._word)
 
     def _word(self, word: str) -> list[int]:
-        labels = self.known_words.get(word)
-        if labels is None:
-            symbols = [self.symbols[b] for b in word.encode("utf-8")]
-            symbols[-1] += self.end
-            if len(self.known_words) >= CACHED_WORDS:
-                self.known_words.clear()
-            labels = self.known_words[word] = self.automaton.path(symbols)
-        return labels
+        symbols = [self.symbols[b] for b in word.encode("utf-8")]
+        symbols[-1] += self.end
+        return self.automaton.path(symbols)
 
     def _pieces(self, chunk: str) -> list[int]:
         ids: list[int] = []
@@ -186,27 +209,20 @@ class WordTokenizer:
                 # Lower case goes letter by letter: the final sigma has no form of its own here.
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
             for word in self.words.findall(part.lower()):
-                ids += self._word(word)
+                ids += self.known_words[word]
         return ids
 
-    def chunk(self, chunk: str) -> tuple[bytes, str]:
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
         """(ids as little-endian 32-bit integers, arc labels joined by blanks) of a run without gaps."""
-        found = self.known.get(chunk)
-        if found is None:
-            ids = self._pieces(chunk)
-            found = (np.array(ids, "<u4").tobytes(), " ".join(map(self.label.__getitem__, ids)))
-            if len(chunk) <= 64:
-                if len(self.known) >= CACHED_WORDS:
-                    self.known.clear()
-                self.known[chunk] = found
-        return found
+        ids = self._pieces(chunk)
+        return np.array(ids, "<u4").tobytes(), " ".join(map(self.label.__getitem__, ids))
 
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids (packed) and decoded text of a whole text; null counts as empty."""
         if not text:
             return b"", ""
-        found = list(map(self.chunk, filter(None, _GAPS.split(text) if not text.isascii() or
-                                             _ODD.search(text) else text.split())))
+        found = list(map(self.known.__getitem__, filter(None, _GAPS.split(text) if not text.isascii() or
+                                                        _ODD.search(text) else text.split())))
         return b"".join([ids for ids, _ in found]), " ".join([s for ids, s in found if ids])
 
 
@@ -220,7 +236,7 @@ def tokenizer(definition: str) -> WordTokenizer:
     return WordTokenizer(definition)
 
 
-def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True, keep_decoded: bool = False) -> DataFrame:
     """Every row of ``docs`` with ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, on demand, the
     packed ``ids`` and the ``decoded`` text.
 
@@ -228,32 +244,28 @@ def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True) -> DataFr
     counts as empty: no ids and an empty decoded text. All columns of ``docs`` stay; columns with the
     names of new ones are replaced. ``definition`` must be readable on every executor.
     """
-    fields = [
-        StructField("n_tokens", LongType()),
-        StructField("ids_sha256", StringType()),
-        StructField("decoded_sha256", StringType()),
-    ]
-    schema = StructType(fields).simpleString()
-    if keep_ids:
-        schema = schema[:-1] + ",ids:binary,decoded:string>"
-
-    @F.pandas_udf(schema)
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    kinds |= {"ids": pa.binary()} if keep_ids else {}
+    kinds |= {"decoded": pa.string()} if keep_decoded else {}
+    sql = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary"}
+
+    @F.arrow_udf("struct<" + ",".join(f"{name}:{sql[kind]}" for name, kind in kinds.items()) + ">")
+    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = tokenizer(definition)
-        for texts in batches:
-            rows = []
-            for text in texts:
-                ids, decoded = tables.encode(text)
-                row = (
-                    len(ids) // 4,
-                    hashlib.sha256(ids).hexdigest(),
-                    hashlib.sha256(decoded.encode("utf-8")).hexdigest(),
-                )
-                rows.append((*row, ids, decoded) if keep_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids", "decoded"] * keep_ids
-            yield pd.DataFrame(rows, columns=names)
-
-    new = ["n_tokens", "ids_sha256", "decoded_sha256"] + (["ids", "decoded"] if keep_ids else [])
-    held = [c for c in docs.columns if c not in new]
-    out = docs.select(*held, encoded(F.col("text")).alias("_encoded"))
-    return out.select(*held, *[F.col("_encoded")[c].alias(c) for c in new])
+        for batch in batches:
+            # Handed on in small parts, so that a batch is never held whole in all forms.
+            for k in range(0, len(batch), PART):
+                made = [tables.encode(text) for text in batch[k : k + PART].to_pylist()]
+                columns = {
+                    "n_tokens": [len(ids) // 4 for ids, _ in made],
+                    "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids, _ in made],
+                    "decoded_sha256": [hashlib.sha256(text.encode("utf-8")).hexdigest() for _, text in made],
+                    "ids": [ids for ids, _ in made],
+                    "decoded": [text for _, text in made],
+                }
+                yield pa.StructArray.from_arrays([pa.array(columns[n], t) for n, t in kinds.items()], list(kinds))
+
+    held = [c for c in docs.columns if c not in kinds]
+    # The input row is one struct, so that no name of it can clash with the new one.
+    out = docs.select(F.struct(*held).alias("row"), encoded(F.col("text")).alias("encoded"))
+    return out.select("row.*", *[F.col("encoded")[c].alias(c) for c in kinds])
