@@ -59,7 +59,7 @@ def texts():
 RULES = [
     phrases.PhraseRule(),
     phrases.PhraseRule(min_count=3),
-    phrases.PhraseRule(min_count=2, top=25, salts=3, trie_entries=40, vocabulary=60),
+    phrases.PhraseRule(min_count=2, top=25, salts=3, trie_entries=40, vocabulary=60, hashes=50),
     phrases.PhraseRule(min_count=4, most_bits=64, cover_percent=50),
 ]
 
@@ -78,11 +78,11 @@ def test_long_texts_are_counted_across_steps(spark, monkeypatch):
     rule = phrases.PhraseRule(min_count=5)
     assert sorted(map(tuple, phrases.collocations(corpus.table(spark, rows), rule).collect())) == brute(rows, rule)
     known = phrases.Vocabulary()
-    words = phrases.marked_words([rows[0][1]])
+    words = phrases.marked([rows[0][1]]).split()
     monkeypatch.setattr(phrases, "STEP", 7)
     parts = [known.numbers(words[k : k + 10]) for k in range(0, len(words), 7)]
-    sequences = [s for p in parts for s in next(iter(phrases._sequences(p, "en", known, 2, _All())))]
-    assert len(sequences) == 1999
+    tables = [list(phrases._sequences(p, "en", known, _All(), _All())) for p in parts]
+    assert [sum(len(t[k]) for t in tables) for k in range(4)] == [2000, 1999, 1998, 1997]
 
 
 class _All:
@@ -96,14 +96,30 @@ def test_no_rows_and_no_words(spark):
     assert phrases.collocations(corpus.table(spark, [(1, None, None, None, None), (2, "", "en", None, None)])).count() == 0
 
 
-def test_a_hot_phrase_is_counted_once_per_run(spark):
+def test_a_hot_phrase_is_counted_once_per_task(spark):
     docs = corpus.table(spark, [(k, "again and again and", "en", "s", 0) for k in range(2000)]).repartition(8)
-    runs = phrases.counted_runs(docs.select("lang", "text"), 1, None, phrases.PhraseRule())
-    assert runs.count() <= 2 * 8
+    texts = docs.select("lang", "text")
+    counts = phrases.hash_counts(texts, None, phrases.PhraseRule())
+    assert counts.count() <= 3 * 8
+    words = phrases.frequent_table(counts.where("hash is not null").select("hash"), phrases.PhraseRule())
+    pairs = phrases.hash_counts(texts, words, phrases.PhraseRule())
+    assert sorted((r.hash, r.f) for r in pairs.groupBy("hash").sum("f").toDF("hash", "f").collect() if r.f)[0][1] in (2000, 4000)
+    table = phrases.frequent_table(pairs.where("hash is not null").select("hash"), phrases.PhraseRule())
+    assert phrases.counted_runs(texts, words, table, phrases.PhraseRule()).count() <= 7 * 8
     top = {r.phrase: r for r in phrases.collocations(docs).collect()}
     assert top["again and again and"].a == 2000 and top["again and again and"].n == 8000
 
 
+def test_hashes_are_the_same_wherever_a_word_stands():
+    known = phrases.Vocabulary()
+    text = "ein Wort, zwei  wort\tEin.é ein\n" * 5
+    words = phrases.marked([text]).split()
+    numbers = known.numbers(words)
+    found = phrases.words_of(phrases.marked([text]))
+    assert (known.hashes()[numbers] == phrases.word_hashes(found))[numbers > 0].all()
+    assert len(set(known.hashes()[1:].tolist())) == len(known.words) - 1
+
+
 def test_the_trie_counts_and_spills_whole_subtrees():
     rng = np.random.default_rng(1)
     trie, plain = HatTrie(burst=5), Counter()

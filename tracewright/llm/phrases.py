@@ -1,20 +1,19 @@
 """Phrase collocation mining: exact counts of word sequences, and phrases that hold together.
 
-Sequences are counted in rounds: words, then pairs of frequent words, then sequences of three and four
-whose pairs are all frequent. No sequence is frequent with a part that is not, so nothing is lost. A
-task counts in a trie of hash containers and spills whole subtrees as sorted runs; runs are range-
-partitioned by their words, so that equal prefixes lie together and a prefix with very many sequences is
-still dealt to several tasks, and merged there in sorted order.
-
-What is frequent is told to tasks by a bit table of bounded size. Bits that two sequences share let a rare one
-be counted in vain; none is missed.
+No sequence is frequent with a part that is not. Hashes of words, and then of pairs of frequent words, are
+counted first, which leaves few sequences to be counted exactly: words that may be frequent, and
+sequences of two to four words of which every pair may be. A hash counts for all that share it, so nothing
+frequent is left out.
+
+A task counts sequences in a trie of hash containers and spills whole subtrees as sorted runs; runs are
+range-partitioned by their words, so that equal prefixes lie together and a prefix with very many sequences
+is still dealt to several tasks, and merged there in sorted order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.hat_trie import HatTrie
 from tracewright.llm.shingles import mixed
+from tracewright.llm.word_windows import word_hashes, words_of
 from tracewright.shared_storage import settle
 
 NO_LANGUAGE = "und"
@@ -42,9 +42,9 @@ class PhraseRule:
     """Which phrases count, and sizes that results do not depend on.
 
     ``min_count``: least number of occurrences. ``cover_percent``: a phrase goes if a longer one around it
-    has at least this part of its occurrences. ``top``: phrases listed per language. ``trie_entries`` and
-    ``vocabulary``: what a task holds before it spills. ``most_bits``: bound of the bit table (32 MB);
-    it has 16 bits a sequence up to that. ``salts``: parts of a language that are ranked on their own first.
+    has at least this part of its occurrences. ``top``: phrases listed per language. ``trie_entries``,
+    ``vocabulary`` and ``hashes``: what a task holds before it spills. ``most_bits``: bound of a table of hashes
+    (32 MB); it has 16 bits a hash up to that, and lets more sequences be counted in vain beyond. ``salts``: parts of a language that are ranked on their own first.
     """
 
     min_count: int = 30
@@ -52,6 +52,7 @@ class PhraseRule:
     top: int = 2000
     trie_entries: int = 600_000
     vocabulary: int = 400_000
+    hashes: int = 1 << 21
     most_bits: int = 1 << 28
     salts: int = 64
 
@@ -71,27 +72,23 @@ class Vocabulary(dict):
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of every word, by number."""
-        new = [word_hash(w) for w in self.words[len(self._hashes) :]]
-        self._hashes = np.concatenate((self._hashes, np.array(new, np.uint64)))
+        new = self.words[len(self._hashes) :]
+        self._hashes = np.concatenate((self._hashes, word_hashes(words_of(b" ".join(new)))))
         return self._hashes
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
 
-def marked_words(texts: list[str]) -> list[bytes]:
-    """The words of texts in order, with a full stop between pieces and around every text."""
+def marked(texts: list[str]) -> bytes:
+    """Texts with a full stop of its own between pieces and around every text."""
     data = _STOP.join(t.encode("utf-8", "surrogatepass") for t in texts)
-    return (_STOP + data.translate(_TABLE) + _STOP).replace(_STOP, b" . ").split()
-
-
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    return (_STOP + data.translate(_TABLE) + _STOP).replace(_STOP, b" . ")
 
 
 def sequence_hash(language: str, words: list[np.ndarray]) -> np.ndarray:
     """Hash of a sequence from those of its words, for many sequences at once."""
-    seed = np.uint64(word_hash(language.encode("utf-8", "surrogatepass")))
+    seed = word_hashes(words_of(b"_" + language.encode("utf-8", "surrogatepass").replace(b" ", b"_")))[0]
     found = np.full(len(words[0]), seed, np.uint64)
     for w in words:
         found = mixed(found ^ w)
@@ -99,41 +96,25 @@ def sequence_hash(language: str, words: list[np.ndarray]) -> np.ndarray:
 
 
 class FrequentTable:
-    """A bit table of sequences; ``bits`` is a power of two."""
+    """A bit table of hashes; its number of bits is a power of two."""
 
     def __init__(self, table: np.ndarray):
         self.table = table
         self.mask = np.uint64(len(table) * 64 - 1)
 
-    @staticmethod
-    def places(hashes: np.ndarray, mask: np.uint64) -> tuple[np.ndarray, np.ndarray]:
-        return hashes & mask, (hashes >> np.uint64(32)) & mask
-
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         found = np.ones(len(hashes), bool)
-        for place in self.places(hashes, self.mask):
+        for place in (hashes & self.mask, (hashes >> np.uint64(32)) & self.mask):
             found &= (self.table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
-def frequent_table(sequences: DataFrame, rule: PhraseRule) -> FrequentTable:
-    """The bit table of (lang, phrase) rows: set in tasks, gathered by words of 64 bits."""
-    wanted = 1 << max(12, (16 * sequences.count()).bit_length())
-    bits = min(wanted, rule.most_bits)
-
-    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_language: dict[str, list[list[bytes]]] = {}
-            for language, phrase in zip(*(c.to_pylist() for c in batch.columns)):
-                by_language.setdefault(language, []).append(phrase.encode("utf-8", "surrogatepass").split(b" "))
-            for language, words in by_language.items():
-                columns = [np.array([word_hash(w) for w in c], np.uint64) for c in zip(*words)]
-                pairs = FrequentTable.places(sequence_hash(language, columns), np.uint64(bits - 1))
-                places = np.unique(np.concatenate(pairs)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(places)], ["place"])
-
+def frequent_table(hashes: DataFrame, rule: PhraseRule) -> FrequentTable:
+    """The bit table of the hashes in column ``hash``, of bounded size."""
+    bits = min(1 << max(12, (16 * hashes.count()).bit_length()), rule.most_bits)
+    places = F.array(*[F.expr(f"{x} & {bits - 1}L") for x in ("hash", "shiftrightunsigned(hash, 32)")])
     words = (
-        sequences.select("lang", "phrase").mapInArrow(placed, "place bigint")
+        hashes.select(F.explode(places).alias("place"))
         .groupBy(F.expr("place div 64").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(place % 64 as int))")).alias("set"))
         .toArrow()
@@ -143,37 +124,114 @@ def frequent_table(sequences: DataFrame, rule: PhraseRule) -> FrequentTable:
     return FrequentTable(table.view(np.uint64))
 
 
-def _sequences(numbers: np.ndarray, language: str, known: Vocabulary, size: int, frequent: FrequentTable | None):
-    """Tables of four word numbers (zeros at the end): sequences of ``size`` words, of 3 and 4 for 3."""
-    inside = numbers > 0
+def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
+    """Texts of one language in parts of about a million characters."""
+    texts: dict[str, list[str]] = {}
+    for language, text in zip(*(c.to_pylist() for c in batch.columns)):
+        texts.setdefault(language, []).append(text)
+    for language, of in texts.items():
+        for part in _parts(of):
+            yield language, part
+
+
+def hash_counts(texts: DataFrame, words: FrequentTable | None, rule: PhraseRule) -> DataFrame:
+    """(hash, f) of every word, or of every pair of words that ``words`` holds; f is at most the count.
+
+    Rows with a ``lang`` have no hash: they tell how many words it has. A task adds up what it has seen
+    before it hands it on.
+    """
+    shared = None if words is None else texts.sparkSession.sparkContext.broadcast(words.table)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = None if shared is None else FrequentTable(shared.value)
+        held, totals = _HashCounts(), {}
+        for batch in batches:
+            for language, part in _by_language(batch):
+                found = words_of(marked(part))
+                hashes = word_hashes(found)
+                inside = (found.ends - found.starts > 1) | (found.data[found.starts] != _STOP[0])
+                if table is None:
+                    held.add(sequence_hash(language, [hashes[inside]]))
+                    totals[language] = totals.get(language, 0) + int(inside.sum())
+                else:
+                    good = inside & table.holds(sequence_hash(language, [hashes]))
+                    first = np.flatnonzero(good[:-1] & good[1:])
+                    held.add(sequence_hash(language, [hashes[first], hashes[first + 1]]))
+                if held.size > rule.hashes:
+                    yield _counts([None] * held.merge(), held.hashes, held.counts)
+                    held = _HashCounts()
+        yield _counts([None] * held.merge(), held.hashes, held.counts)
+        yield _counts(list(totals), [None] * len(totals), list(totals.values()))
+
+    return texts.mapInArrow(counted, "lang string, hash bigint, f bigint")
+
+
+def _counts(languages: list, hashes, counts) -> pa.RecordBatch:
+    columns = [pa.array(languages, pa.string()), pa.array(hashes, pa.int64()), pa.array(counts, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "hash", "f"])
+
+
+class _HashCounts:
+    """Counts of hashes, added up whenever the new ones are as many as the known."""
+
+    def __init__(self) -> None:
+        self.hashes = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.new: list[np.ndarray] = []
+        self.n_new = 0
+
+    @property
+    def size(self) -> int:
+        """Different hashes, after adding up what is new if it might be too much."""
+        if self.n_new > max(len(self.hashes), 1 << 19):
+            self.merge()
+        return len(self.hashes)
+
+    def add(self, hashes: np.ndarray) -> None:
+        self.new.append(hashes.view(np.int64))
+        self.n_new += len(hashes)
+
+    def merge(self) -> int:
+        every = np.concatenate([self.hashes, *self.new])
+        counts = np.concatenate((self.counts, np.ones(self.n_new, np.int64)))
+        order = np.argsort(every)
+        every, counts = every[order], counts[order]
+        begins = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))[: len(every)])
+        self.hashes = every[begins]
+        self.counts = np.add.reduceat(counts, begins) if len(begins) else counts[:0]
+        self.new, self.n_new = [], 0
+        return len(self.hashes)
+
+
+def _sequences(numbers: np.ndarray, language: str, known: Vocabulary, words: FrequentTable, pairs: FrequentTable):
+    """Tables of four word numbers (zeros at the end): words and sequences that may be frequent."""
 
     def fill(keep: np.ndarray, n: int) -> np.ndarray:
         starts = np.flatnonzero(keep[:STEP])
         columns = [numbers[starts + k] if k < n else np.zeros(len(starts), np.int64) for k in range(LONGEST)]
         return np.stack(columns, axis=1)
 
-    if size == 1:
-        yield fill(inside, 1)
-        return
-    hashes = known.hashes()[numbers]
-    if size == 2:
-        good = inside & frequent.holds(sequence_hash(language, [hashes]))
-        yield fill(good[:-1] & good[1:], 2)
-        return
-    pair = np.flatnonzero(inside[:-1] & inside[1:])
+    hashes = known.hashes()
+    frequent = words.holds(sequence_hash(language, [hashes]))
+    frequent[0] = False
+    single = frequent[numbers]
+    yield fill(single, 1)
+    candidates = np.flatnonzero(single[:-1] & single[1:])
     good = np.zeros(max(len(numbers) - 1, 0), bool)
-    good[pair] = frequent.holds(sequence_hash(language, [hashes[pair], hashes[pair + 1]]))
+    both = [hashes[numbers[candidates]], hashes[numbers[candidates + 1]]]
+    good[candidates] = pairs.holds(sequence_hash(language, both))
+    yield fill(good, 2)
     triple = good[:-1] & good[1:]
     yield fill(triple, 3)
     yield fill(triple[:-1] & good[2:], 4)
 
 
-def counted_runs(texts: DataFrame, size: int, frequent: FrequentTable | None, rule: PhraseRule) -> DataFrame:
+def counted_runs(texts: DataFrame, words: FrequentTable, pairs: FrequentTable, rule: PhraseRule) -> DataFrame:
     """(lang, phrase, f) of every task: sorted runs of whole subtrees, to be merged."""
-    shared = None if frequent is None else texts.sparkSession.sparkContext.broadcast(frequent.table)
+    shared = texts.sparkSession.sparkContext.broadcast((words.table, pairs.table))
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None if shared is None else FrequentTable(shared.value)
+        words, pairs = map(FrequentTable, shared.value)
         known, trie = Vocabulary(), HatTrie()
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
@@ -187,21 +245,17 @@ def counted_runs(texts: DataFrame, size: int, frequent: FrequentTable | None, ru
             yield _run(languages, named)
 
         for batch in batches:
-            by_language: dict[str, list[str]] = {}
-            for language, text in zip(*(c.to_pylist() for c in batch.columns)):
-                by_language.setdefault(language, []).append(text)
-            for language, texts in by_language.items():
-                for part in _parts(texts):
-                    words = marked_words(part)
-                    for k in range(0, len(words), STEP):
-                        numbers = known.numbers(words[k : k + STEP + LONGEST - 1])
-                        for sequences in _sequences(numbers, language, known, size, table):
-                            trie.add(language, sequences)
-                        if len(known.words) > rule.vocabulary:
-                            yield from spilled(0)
-                            known = Vocabulary()
-                        elif trie.size > rule.trie_entries:
-                            yield from spilled(rule.trie_entries // 2)
+            for language, part in _by_language(batch):
+                found = marked(part).split()
+                for k in range(0, len(found), STEP):
+                    numbers = known.numbers(found[k : k + STEP + LONGEST - 1])
+                    for sequences in _sequences(numbers, language, known, words, pairs):
+                        trie.add(language, sequences)
+                    if len(known.words) > rule.vocabulary:
+                        yield from spilled(0)
+                        known = Vocabulary()
+                    elif trie.size > rule.trie_entries:
+                        yield from spilled(rule.trie_entries // 2)
         yield from spilled(0)
 
     return texts.mapInArrow(runs, "lang string, phrase string, f bigint")
@@ -239,15 +293,14 @@ def frequent_sequences(docs: DataFrame, rule: PhraseRule = PhraseRule()) -> tupl
     texts = docs.select(
         F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("lang"), F.coalesce("text", F.lit("")).alias("text")
     )
-    words = settle(merged(counted_runs(texts, 1, None, rule)))
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    found = [words.where(F.col("f") >= rule.min_count)]
-    for size in (2, 3):
-        table = frequent_table(found[-1], rule)
-        counts = merged(counted_runs(texts, size, table, rule))
-        found.append(settle(counts.where(F.col("f") >= rule.min_count)))
-    union = found[0].union(found[1]).union(found[2])
-    return union.withColumn("size", F.size(F.split("phrase", " "))), totals
+    counted = settle(hash_counts(texts, None, rule).groupBy("lang", "hash").agg(F.sum("f").alias("f")))
+    totals = counted.where(F.col("lang").isNotNull() & (F.col("f") > 0)).select("lang", F.col("f").alias("n"))
+    enough = F.col("f") >= rule.min_count
+    words = frequent_table(counted.where(F.col("hash").isNotNull() & enough), rule)
+    pairs = hash_counts(texts, words, rule).groupBy("hash").agg(F.sum("f").alias("f")).where(enough)
+    table = frequent_table(settle(pairs.select("hash")), rule)
+    found = settle(merged(counted_runs(texts, words, table, rule)).where(enough))
+    return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 
 
 def _exact(number: Column) -> Column:
