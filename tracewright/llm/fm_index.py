@@ -8,21 +8,21 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of the suffixes, by doubling the compared length until all ranks differ."""
+def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes by their first ``depth`` symbols at least, by doubling the compared length."""
     n = len(text)
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     length = 1
     while True:
-        after = np.full(n, -1, np.int64)
-        after[: n - length] = rank[length:] if length < n else after[: n - length]
-        order = np.lexsort((after, rank))
-        new = np.empty(n, np.int64)
-        step = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
-        new[order] = np.concatenate(([0], np.cumsum(step)))
-        rank = new
+        # Rank and the rank behind it as one number: both are below n + 1.
+        pair = rank * (n + 1)
+        pair[: n - length] += rank[length:] + 1
+        order = np.argsort(pair, kind="stable")
+        ordered = pair[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
         length *= 2
-        if n == 0 or rank.max() == n - 1 or length >= n:
+        if rank[order[-1]] == n - 1 or length >= min(depth, n):
             return order
 
 
@@ -66,13 +66,19 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Backward search over a text of word numbers; 0 ends the text and must not occur in it."""
+    """Backward search for up to ``depth`` word numbers; 0 ends the text and must not occur in it.
 
-    def __init__(self, text: np.ndarray):
+    The text is not kept, nor are the places of its suffixes: an index is the wavelet matrix of its
+    transform, and of each suffix the document that holds it.
+    """
+
+    def __init__(self, text: np.ndarray, depth: int, holders: np.ndarray):
         text = np.concatenate((text, [0])).astype(np.int64)
-        self.suffixes = suffix_array(text)
-        self.bwt = WaveletMatrix(text[self.suffixes - 1])
+        order = suffix_order(text, depth)
+        self.bwt = WaveletMatrix(text[order - 1])
         self.first = np.concatenate(([0], np.cumsum(np.bincount(text))))
+        self.size = len(text)
+        self.holders = np.append(holders, np.iinfo(np.int64).max)[order]
 
     def search(self, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per row of ``patterns``: matched length from its end, and the suffix interval of that match.
@@ -82,7 +88,7 @@ class FMIndex:
         """
         n, width = patterns.shape
         low = np.zeros(n, np.int64)
-        high = np.full(n, len(self.suffixes), np.int64)
+        high = np.full(n, self.size, np.int64)
         matched = np.zeros(n, np.int64)
         active = np.arange(n)
         for column in range(width - 1, -1, -1):
@@ -96,3 +102,8 @@ class FMIndex:
             if not len(active):
                 break
         return matched, low, high
+
+    def least_holder(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest document of each suffix interval."""
+        ends = np.append(self.holders, np.iinfo(np.int64).max)
+        return np.minimum.reduceat(ends, np.stack((low, high), axis=1).reshape(-1))[::2]

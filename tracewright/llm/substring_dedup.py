@@ -2,22 +2,25 @@
 
 A window of words is sent to the shard of its anchor, the word group of lowest hash inside it. Equal
 windows have equal anchors, so a shard can decide on its windows alone, and each window is in one shard.
+Windows in a row with one anchor travel as one segment. Anchors with very many different segments are cut
+again by wider anchors, at last by the window itself, so that no shard gets more than its part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.llm import word_windows
 from tracewright.llm.fm_index import FMIndex
-from tracewright.llm.shingles import WordHashes, shingle_hashes, word_hashes
-from tracewright.llm.text import broadcast_if_small
+from tracewright.llm.text import whole
 from tracewright.shared_storage import settle
 
 
@@ -25,45 +28,45 @@ from tracewright.shared_storage import settle
 class PassageRule:
     """``window`` words in a row are a passage; the rest are sizes that results do not depend on.
 
-    ``filter_bits``: least size (a power of two) of the bitmap of repeated anchors that every task holds; it
-    grows to 16 bits an anchor and at most ``most_filter_bits`` (64 MB on the driver and in a task).
-    A bitmap that is too full lets more segments through, it never loses one. ``shard_segments``:
-    distinct segments an index holds on average; an anchor with more of them is spread by window.
+    ``anchor_words``: words of an anchor, and of the wider ones for anchors that are too full.
+    ``filter_anchors``: up to so many repeated anchors are told to tasks by a bitmap of 16 bits each (64 MB
+    at most); beyond that the anchors of each document are joined with them. ``shard_segments``: distinct
+    segments an index holds on average; an anchor with more of them is cut again.
+    ``broadcast_bytes``: what is found is broadcast up to this size, otherwise joined by a shuffle.
     """
 
     window: int = 13
-    anchor_words: int = 6
-    filter_bits: int = 1 << 26
-    most_filter_bits: int = 1 << 29
+    anchor_words: tuple[int, ...] = (6, 10, 13)
+    filter_anchors: int = 1 << 25
     shard_segments: int = 20_000
+    broadcast_bytes: int = 32 << 20
 
 
-def window_anchors(words: np.ndarray, rule: PassageRule) -> np.ndarray:
-    """Anchor of every window: the lowest hash among its word groups."""
-    if len(words) < rule.window:
-        return np.zeros(0, np.int64)
-    groups = shingle_hashes(words, rule.anchor_words)
-    width = rule.window - rule.anchor_words + 1
-    return np.lib.stride_tricks.sliding_window_view(groups, width).min(axis=1).view(np.int64)
+def _runs(texts: pa.Array, rule: PassageRule, level: int = 0):
+    """(row of the first text, words, (first window, windows, anchor)) of every part of a column."""
+    for row, part in word_windows.parts(texts):
+        found = word_windows.words(part)
+        hashes = word_windows.word_hashes(found)
+        yield row, found, word_windows.anchored_runs(found, hashes, rule.window, rule.anchor_words[level])
 
 
-def repeated_anchors(docs: DataFrame, rule: PassageRule) -> DataFrame:
-    """Anchors that occur in more than one document. Smallest and largest id combine before the shuffle."""
+def document_anchors(docs: DataFrame, rule: PassageRule) -> DataFrame:
+    """(anchor, doc_id) of every run of windows."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for row, found, (first, _, anchors) in _runs(batch.column(1), rule):
+                of = ids[row + found.text[first]]
+                yield pa.RecordBatch.from_arrays([pa.array(anchors), pa.array(of)], ["anchor", "doc_id"])
+
+    return docs.select("doc_id", "text").mapInArrow(keys, "anchor bigint, doc_id bigint")
 
-    def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
-        for frame in frames:
-            found = [np.unique(window_anchors(word_hashes(t, known, lower=False), rule)) for t in frame["text"]]
-            sizes = list(map(len, found))
-            yield pd.DataFrame(
-                {
-                    "anchor": np.concatenate([*found, np.zeros(0, np.int64)]),
-                    "doc_id": np.repeat(frame["doc_id"].to_numpy(np.int64), sizes),
-                }
-            )
 
+def repeated_anchors(docs: DataFrame, rule: PassageRule) -> DataFrame:
+    """Anchors that occur in more than one document. Smallest and largest id combine before the shuffle."""
     return (
-        docs.mapInPandas(keys, "anchor bigint, doc_id bigint")
+        document_anchors(docs, rule)
         .groupBy("anchor")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .where(F.col("low") < F.col("high"))
@@ -71,59 +74,87 @@ def repeated_anchors(docs: DataFrame, rule: PassageRule) -> DataFrame:
     )
 
 
-def with_filter_for(n_anchors: int, rule: PassageRule) -> PassageRule:
-    """The rule with a bitmap of at least 16 bits an anchor, as far as the bound allows."""
-    wanted = 1 << (16 * n_anchors - 1).bit_length() if n_anchors else 1
-    return replace(rule, filter_bits=max(rule.filter_bits, min(wanted, rule.most_filter_bits)))
-
-
-def anchor_filter(repeated: DataFrame, rule: PassageRule) -> np.ndarray:
-    """A bitmap of ``filter_bits`` with the bit of every repeated anchor set."""
-    bit = F.pmod("anchor", F.lit(rule.filter_bits))
+def anchor_bitmap(repeated: DataFrame, n_anchors: int) -> np.ndarray:
+    """A bitmap of at least 16 bits an anchor with the bit of every repeated anchor set."""
+    bits = 1 << max(16, (16 * max(n_anchors, 1) - 1).bit_length())
     words = (
-        repeated.select(bit.alias("bit"))
+        repeated.select(F.pmod("anchor", F.lit(bits)).alias("bit"))
         .groupBy(F.expr("bit div 64").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
         .toArrow()
     )
-    bitmap = np.zeros(rule.filter_bits // 64, np.int64)
+    bitmap = np.zeros(bits // 64, np.int64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
     return bitmap.view(np.uint64)
 
 
-def segments(docs: DataFrame, bitmap: np.ndarray, rule: PassageRule, *, with_text: bool) -> DataFrame:
-    """(doc_id, at, anchor, digest, text): runs of windows with one anchor that may be repeated.
+def with_repeated(docs: DataFrame, repeated: DataFrame, rule: PassageRule) -> DataFrame:
+    """``docs`` (doc_id, row, text) with ``repeated``: the repeated anchors of the document."""
+    held = document_anchors(docs, rule).join(repeated, "anchor", "left_semi")
+    lists = held.groupBy("doc_id").agg(F.collect_set("anchor").alias("repeated"))
+    return docs.join(lists, "doc_id")
+
+
+def segments(docs: DataFrame, bitmap: np.ndarray | None, rule: PassageRule, *, with_text: bool) -> DataFrame:
+    """(doc_id, row, at, windows, anchor, digest, text): runs of windows with an anchor that may be repeated.
 
     ``at`` is the first word's position, ``text`` the words of all windows of the run, joined by blanks.
+    Which anchors may be is told by the bitmap, or by the column ``repeated`` of ``docs``.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, bits = WordHashes(), shared.value
-        for frame in frames:
-            rows = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-                anchors = window_anchors(hashes, rule)
-                if not len(anchors):
-                    continue
-                slot = anchors & (rule.filter_bits - 1)
-                hit = (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
-                starts = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
-                stops = np.append(starts[1:], len(anchors))
-                for a, b in zip(starts[hit[starts]].tolist(), stops[hit[starts]].tolist()):
-                    run = b" ".join(words[a : b + rule.window - 1])
-                    digest = blake2b(run, digest_size=16).digest()
-                    rows.append((doc_id, a, int(anchors[a]), digest, run.decode("utf-8", "replace") if with_text else None))
-            yield pd.DataFrame(rows, columns=["doc_id", "at", "anchor", "digest", "text"])
-
-    return docs.mapInPandas(cut, "doc_id bigint, at int, anchor bigint, digest binary, text string")
+    shared = None if bitmap is None else docs.sparkSession.sparkContext.broadcast(bitmap)
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.string()]
+    names = ["doc_id", "row", "at", "windows", "anchor", "digest", "text"]
+
+    def hits(batch: pa.RecordBatch, of: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+        if shared is not None:
+            bits = shared.value
+            slot = anchors & (len(bits) * 64 - 1)
+            return (bits[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1) == 1
+        known = batch.column(3)
+        found = [np.isin(anchors[of == r], known[r].values.to_numpy()) for r in np.unique(of).tolist()]
+        return np.concatenate([*found, np.zeros(0, bool)])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for row, found, (first, windows, anchors) in _runs(batch.column(2), rule):
+                of = row + found.text[first]
+                hit = np.flatnonzero(hits(batch, of, anchors))
+                first, windows, anchors, of = first[hit], windows[hit], anchors[hit], of[hit]
+                at = first - found.first_of_text[of - row]
+                texts = [
+                    found.joined(a, a + n + rule.window - 1) for a, n in zip(first.tolist(), windows.tolist())
+                ]
+                columns = [
+                    ids[of], keys[of], at, windows, anchors,
+                    [blake2b(t, digest_size=16).digest() for t in texts],
+                    pa.array(texts, pa.binary()).cast(pa.string()) if with_text else [None] * len(texts),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    columns = ["doc_id", "row", "text"] + (["repeated"] if bitmap is None else [])
+    return docs.select(*columns).mapInArrow(
+        cut, "doc_id bigint, row bigint, at int, windows int, anchor bigint, digest binary, text string"
+    )
 
 
 def first_holders(pieces: pd.DataFrame, rule: PassageRule) -> pd.DataFrame:
-    """(digest, first): per window of each segment the smallest document of the shard that holds it."""
-    pieces = pieces.sort_values(["doc_id", "digest"], kind="stable")
+    """(digest, first): per window of each segment the smallest document of the shard that holds it.
+
+    A segment that is alone with its anchor shares no window with another one.
+    """
+    alone = ~pieces["anchor"].duplicated(keep=False)
+    first: dict[bytes, np.ndarray] = {}
+    for digest, doc_id, text in pieces.loc[alone, ["digest", "doc_id", "text"]].itertuples(index=False):
+        first[digest] = np.full(text.count(" ") + 2 - rule.window, doc_id, np.int64)
+    rest = pieces[~alone].sort_values(["doc_id", "digest"], kind="stable")
+    if len(rest):
+        first |= zip(rest["digest"], _searched(rest, rule))
+    return pd.DataFrame({"digest": list(first), "first": list(first.values())})
+
+
+def _searched(pieces: pd.DataFrame, rule: PassageRule) -> list[np.ndarray]:
+    """Smallest holder of every window of each segment, by backward search in one index of all of them."""
     number: dict[str, int] = {}
     split = [[number.setdefault(w, len(number) + 2) for w in t.split(" ")] for t in pieces["text"]]
     sizes = np.fromiter(map(len, split), np.int64, len(split))
@@ -131,130 +162,169 @@ def first_holders(pieces: pd.DataFrame, rule: PassageRule) -> pd.DataFrame:
     text = np.fromiter((w for s in split for w in (*s, 1)), np.int64, int(sizes.sum()) + len(split))
     begins = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
     holders = np.repeat(pieces["doc_id"].to_numpy(np.int64), sizes + 1)
-    index = FMIndex(text)
+    index = FMIndex(text, rule.window, holders)
     n_windows = sizes - rule.window + 1
     offsets = np.arange(int(n_windows.sum())) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
     places = np.repeat(begins, n_windows) + offsets
     first = holders[places]
-    by_suffix = np.append(holders, np.iinfo(np.int64).max)[index.suffixes]
     for k in range(0, len(places), 1 << 18):
         part = places[k : k + (1 << 18)]
         matched, low, high = index.search(np.lib.stride_tricks.sliding_window_view(text, rule.window)[part])
         full = np.flatnonzero(matched >= rule.window)
         if len(full):
             spans, which = np.unique(np.stack((low[full], high[full])), axis=1, return_inverse=True)
-            ends = np.append(by_suffix, np.iinfo(np.int64).max)
-            lowest = np.minimum.reduceat(ends, spans.T.reshape(-1))[::2]
-            first[k + full] = lowest[which.reshape(-1)]
-    return pd.DataFrame(
-        {"digest": pieces["digest"].to_list(), "first": np.split(first, np.cumsum(n_windows)[:-1])}
-    )
+            first[k + full] = index.least_holder(*spans)[which.reshape(-1)]
+    return np.split(first, np.cumsum(n_windows)[:-1])
 
 
-def _holders(classes: DataFrame, shards: int, rule: PassageRule) -> DataFrame:
-    """(digest, first) of all segments, one index per shard of anchors."""
+def holders(classes: DataFrame, rule: PassageRule, level: int = 0) -> DataFrame:
+    """(digest, first) of all segments (digest, anchor, doc_id, text), one index per shard of anchors."""
+    shards = classes.count() // rule.shard_segments + 1
+    crowded = F.broadcast(
+        settle(classes.groupBy("anchor").count().where(F.col("count") > rule.shard_segments).select("anchor"))
+    )  # at most one row per shard_segments rows
+    deeper = level + 1 < len(rule.anchor_words) and not crowded.isEmpty()
 
     def indexed(pieces: pd.DataFrame) -> pd.DataFrame:
         return first_holders(pieces, rule)
 
-    shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
-    return (
-        classes.select(shard, "digest", "doc_id", "text")
+    calm = classes.join(crowded, "anchor", "left_anti") if deeper else classes
+    found = (
+        calm.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "digest", "anchor", "doc_id", "text")
         .groupBy("shard")
         .applyInPandas(indexed, "digest binary, first array<bigint>")
     )
-
-
-def _by_window(hot: DataFrame, shards: int, rule: PassageRule) -> DataFrame:
-    """The same for anchors with very many different segments: each window is a segment of its own.
-
-    Equal windows combine before the shuffle and the anchor is a hash of the window, so that no shard
-    gets more than its part.
-    """
-    offsets = F.sequence(F.lit(0), F.size("words") - rule.window)
-    windows = settle(
-        hot.select("digest", "doc_id", F.split("text", " ").alias("words"))
-        .select("digest", "doc_id", "words", F.explode(offsets).alias("offset"))
-        .select(
-            "digest",
-            "doc_id",
-            "offset",
-            F.array_join(F.slice("words", F.col("offset") + 1, rule.window), " ").alias("text"),
+    if not deeper:
+        return found
+    return found.union(_cut_again(classes.join(crowded, "anchor", "left_semi"), rule, level + 1))
+
+
+def _cut_again(crowded: DataFrame, rule: PassageRule, level: int) -> DataFrame:
+    """The same for segments of anchors that are too full: cut by wider anchors and put together again."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, found, (first, windows, anchors) in _runs(batch.column(2), rule, level):
+                of = pa.array(row + found.text[first])
+                at = first - found.first_of_text[found.text[first]]
+                texts = [
+                    found.joined(a, a + n + rule.window - 1) for a, n in zip(first.tolist(), windows.tolist())
+                ]
+                digests = [blake2b(t, digest_size=16).digest() for t in texts]
+                columns = [
+                    batch.column(0).take(of), batch.column(1).take(of), pa.array(at, pa.int32()), pa.array(anchors),
+                    pa.array(digests, pa.binary()), pa.array(texts, pa.binary()).cast(pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["parent", "doc_id", "at", "anchor", "digest", "text"])
+
+    pieces = settle(
+        crowded.select("digest", "doc_id", "text").mapInArrow(
+            cut, "parent binary, doc_id bigint, at int, anchor bigint, digest binary, text string"
         )
-        .withColumn("window", F.unhex(F.sha2("text", 256)))
-    )
-    single = windows.groupBy("window").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    found = _holders(
-        single.select(F.col("window").alias("digest"), "doc_id", "text", F.xxhash64("window").alias("anchor")),
-        shards,
-        rule,
     )
+    decided = holders(segment_classes(pieces), rule, level)
+    parts = F.array_sort(F.collect_list(F.struct("at", "first")))
     return (
-        windows.join(found.select(F.col("digest").alias("window"), F.col("first")[0].alias("one")), "window")
-        .groupBy("digest")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("offset", "one"))), lambda x: x["one"]).alias("first"))
+        pieces.select("parent", "at", "digest")
+        .join(decided, "digest")
+        .groupBy(F.col("parent").alias("digest"))
+        .agg(F.flatten(F.transform(parts, lambda x: x["first"])).alias("first"))
     )
 
 
-def repeated_starts(docs: DataFrame, rule: PassageRule = PassageRule()) -> DataFrame:
-    """(doc_id, starts): first words of the windows that a document with a smaller id holds as well."""
-    docs = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    repeated = settle(repeated_anchors(docs, rule))
-    rule = with_filter_for(repeated.count(), rule)
-    bitmap = anchor_filter(repeated, rule)
-    # Equal segments are one class, held by the smallest id.
-    classes = settle(
-        segments(docs, bitmap, rule, with_text=True)
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("anchor").alias("anchor"), F.first("text").alias("text"))
+def segment_classes(pieces: DataFrame) -> DataFrame:
+    """Equal segments are one class, held by the smallest id."""
+    return settle(
+        pieces.groupBy("digest").agg(
+            F.min("doc_id").alias("doc_id"), F.first("anchor").alias("anchor"), F.first("text").alias("text")
+        )
     )
-    shards = classes.count() // rule.shard_segments + 1
-    crowded = settle(
-        classes.groupBy("anchor").count().where(F.col("count") > rule.shard_segments).select("anchor")
+
+
+def repeated_spans(docs: DataFrame, rule: PassageRule = PassageRule()) -> DataFrame:
+    """(doc_id, row, spans): stretches of first words of windows that a document with a smaller id holds as well.
+
+    ``docs`` has doc_id, row and text; ``row`` tells the texts of one document apart. A span is (start, end)
+    with the end exclusive.
+    """
+    repeated = settle(repeated_anchors(docs, rule))
+    n_anchors = repeated.count()
+    bitmap = anchor_bitmap(repeated, n_anchors) if n_anchors <= rule.filter_anchors else None
+    given = docs if bitmap is not None else settle(with_repeated(docs, repeated, rule))
+    classes = segment_classes(segments(given, bitmap, rule, with_text=True))
+    places = segments(given, bitmap, rule, with_text=False).select("doc_id", "row", "at", "digest")
+    # A window is lost if its first holder is an earlier document; neighbours that are lost make one span.
+    lost = F.transform("first", lambda x: x < F.col("doc_id"))
+    edges = F.filter(
+        F.transform(
+            F.sequence(F.lit(0), F.size("lost") - 1),
+            lambda k: F.when(
+                F.col("lost")[k] & ((k == 0) | ~F.coalesce(F.get("lost", k - 1), F.lit(False))),
+                F.struct(
+                    (F.col("at") + k).alias("start"),
+                    (F.col("at") + k + _run_length(F.col("lost"), k)).alias("end"),
+                ),
+            ),
+        ),
+        lambda x: x.isNotNull(),
     )
-    holders = _holders(classes.join(crowded, "anchor", "left_anti"), shards, rule)
-    if not crowded.isEmpty():
-        holders = holders.union(_by_window(classes.join(crowded, "anchor", "left_semi"), shards, rule))
-    places = segments(docs, bitmap, rule, with_text=False).select("doc_id", "at", "digest")
-    earlier = lambda first, k: first < F.col("doc_id")
     return (
-        places.join(settle(holders), "digest")
-        .withColumn("starts", F.sequence(F.col("at"), F.col("at") + F.size("first") - 1))
-        .select("doc_id", F.filter(F.arrays_zip("first", "starts"), lambda x: x["first"] < F.col("doc_id")).alias("lost"))
-        .where(F.size("lost") > 0)
-        .groupBy("doc_id")
-        .agg(F.array_distinct(F.flatten(F.collect_list(F.col("lost.starts")))).alias("starts"))
+        places.join(settle(holders(classes, rule)), "digest")
+        .select("doc_id", "row", "at", lost.alias("lost"))
+        .where(F.exists("lost", lambda x: x))
+        .groupBy("doc_id", "row")
+        .agg(F.array_sort(F.flatten(F.collect_list(edges))).alias("spans"))
     )
 
 
+def _run_length(flags: Column, start: Column) -> Column:
+    """How many flags from ``start`` on hold."""
+    end = F.array_position(F.slice(flags, start + 1, F.size(flags) - start), F.lit(False)).cast("int")
+    return F.when(end == 0, F.size(flags) - start).otherwise(end - 1)
+
+
 def dedup_passages(docs: DataFrame, rule: PassageRule = PassageRule()) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (kept words, one blank between).
 
     A word goes if a window that covers it is also in a document with a smaller doc_id. Null texts have
     no words. Rows without doc_id keep all words and take none from others; rows that share a doc_id are
-    one document. All columns stay; columns with the new names are replaced. Empty input gives no rows.
+    one document, and none of them takes words from another. All columns stay; columns with the new names
+    are replaced. Empty input gives no rows.
     """
     width = rule.window
+    new = ("n_words", "n_removed", "kept_text")
 
-    @F.pandas_udf("struct<n_words:bigint,n_removed:bigint,kept_text:string>")
-    def kept(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<n_words:bigint,n_removed:bigint,kept_text:string>")
+    def kept(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, lost in batches:
-            rows = []
-            for text, starts in zip(texts, lost):
-                words = (text or "").encode("utf-8", "surrogatepass").split()
-                stays = np.ones(len(words), bool)
-                if starts is not None:
-                    change = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(change, starts, 1)
-                    np.add.at(change, starts + width, -1)
-                    stays = np.cumsum(change[:-1]) == 0
-                left = words if starts is None else [w for w, s in zip(words, stays) if s]
-                rows.append((len(words), len(words) - len(left), b" ".join(left).decode("utf-8", "replace")))
-            yield pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_text"])
-
-    starts = broadcast_if_small(settle(repeated_starts(docs, rule)), 200_000).select(
-        F.col("doc_id").alias("_id"), F.col("starts").alias("_starts")
-    )
-    held = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    joined = docs.select(*held).join(starts, F.col("doc_id") == F.col("_id"), "left")
-    return joined.select(*held, kept(F.col("text"), F.col("_starts")).alias("_kept")).select(*held, "_kept.*")
+            for k in range(0, len(texts), 500):
+                rows = []
+                for text, spans in zip(texts[k : k + 500].to_pylist(), lost[k : k + 500].to_pylist()):
+                    words = (text or "").encode("utf-8", "surrogatepass").split()
+                    left = words
+                    if spans:
+                        left, at = [], 0
+                        for span in spans:
+                            left += words[at : max(at, span["start"])]
+                            at = max(at, span["end"] + width - 1)
+                        left += words[at:]
+                    rows.append((len(words), len(words) - len(left), b" ".join(left)))
+                columns = list(zip(*rows))
+                yield pa.StructArray.from_arrays(
+                    [
+                        pa.array(columns[0], pa.int64()),
+                        pa.array(columns[1], pa.int64()),
+                        pa.array(columns[2], pa.binary()).cast(pa.string()),
+                    ],
+                    list(new),
+                )
+
+    held = [c for c in docs.columns if c not in new]
+    text = F.col("text")
+    # The input row is one struct, so that no name of it can clash with an inner one.
+    rows = docs.select(F.struct(*held).alias("given"), "doc_id", F.xxhash64(whole(text)).alias("row"), "text")
+    texts = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "row", "text")
+    spans = settle(repeated_spans(texts, rule))
+    size = spans.agg(F.coalesce(F.sum(F.size("spans") * 8 + 40), F.lit(0)).alias("bytes")).first()["bytes"]
+    joined = rows.join(F.broadcast(spans) if size <= rule.broadcast_bytes else spans, ["doc_id", "row"], "left")
+    return joined.select("given", kept("text", "spans").alias("kept")).select("given.*", "kept.*")
