@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,15 +29,21 @@ ORC_OPTIONS = {
     "orc.bloom.filter.fpp": "0.01",
 }
 
-# A blank next to other white space or at an end, or what may be a special token: such texts are not cut.
-_UNCUT = re.compile(r"\A |  |\s | \s| \Z|<\|")
+#: Marks at the end of a word that are a piece by themselves.
+_MARKS = ".,;:!?"
+
+#: Stands for a chunk whose text must not be cut around it; the ids of any other chunk are not empty.
+_UNCUT = b""
 
 
 class ChunkEncoder:
-    """The tokenizers library with a memory for text between single blanks.
+    """The tokenizers library with a memory for text between single blanks and newlines.
 
     The pre-splitting pattern of byte-level vocabularies always starts a new piece at a blank that
-    stands alone between other characters, so a text may be cut there; each chunk keeps its blank.
+    stands alone between other characters, and makes a lone newline a piece by itself, so a text may be cut
+    there. A chunk stands for itself with a blank before; one that begins with a newline has no blank. A
+    word's letters and the marks behind them are pieces of their own, so a chunk of both is put together.
+    Texts with other white space next to a blank, or with what may be a special token, are not cut.
     """
 
     def __init__(self, definition: str):
@@ -48,38 +53,88 @@ class ChunkEncoder:
         self.library = Tokenizer.from_file(definition)
         self.library.no_truncation()
         self.library.no_padding()
+        self.newline = self._batch(["\n"])[0]
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode new chunks, many to a text: a newline before a lone blank is a piece by itself."""
-        plain = [c for c in chunks if "\n" not in c]
-        odd = [c for c in chunks if "\n" in c]
-        groups = [plain[k : k + GROUP] for k in range(0, len(plain), GROUP)]
-        newline = self.library.encode("\n", add_special_tokens=False).ids[0]
-        for group, ids in zip(groups, self._batch(["\n".join(" " + c for c in g) for g in groups])):
-            ends = np.flatnonzero(np.frombuffer(ids, "<u4") == newline) * 4
-            starts = [0, *(ends + 4).tolist()]
-            self.known.update(zip(group, (ids[i:j] for i, j in zip(starts, [*ends.tolist(), len(ids)]))))
-        self.known.update(zip(odd, self._batch([" " + c for c in odd])))
-
-    def encode(self, texts: list[str], end: bytes) -> list[np.ndarray]:
-        """Ids of each text with the end id, as 32-bit integers."""
-        whole = [_UNCUT.search(t) is not None for t in texts]
-        cut = [[] if w else t.split(" ") for t, w in zip(texts, whole)]
+    def _marks(self, text: str) -> bytes:
+        found = self.marks.get(text)
+        if found is None:
+            found = self.marks[text] = self._batch([text])[0]
+        return found
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Fill the young table with chunks that it lacks."""
+        known, old, composed, new, odd = self.known, self.old, [], set(), []
+        for chunk in chunks:
+            if (ids := old.get(chunk)) is not None:
+                known[chunk] = ids
+                continue
+            body = chunk[1:] if chunk[:1] == "\n" else chunk
+            if not body or body[0].isspace() or body[-1].isspace() or "<|" in body:
+                known[chunk] = _UNCUT
+            elif "\n" in body:
+                odd.append(chunk)
+            else:
+                word = body.rstrip(_MARKS)
+                if len(word) < len(body) and word.isalpha():
+                    base = chunk[: len(chunk) - len(body) + len(word)]
+                    composed.append((chunk, base, body[len(word) :]))
+                    if base not in known and base not in chunks:
+                        if (ids := old.get(base)) is not None:
+                            known[base] = ids
+                        else:
+                            new.add(base)
+                else:
+                    new.add(chunk)
+        self._encode_words([c for c in new if c[0] != "\n"], " ", b"")
+        self._encode_words([c for c in new if c[0] == "\n"], "", self.newline)
+        known.update(zip(odd, self._batch([c if c[0] == "\n" else " " + c for c in odd])))
+        known.update((chunk, known[base] + self._marks(marks)) for chunk, base, marks in composed)
+
+    def _encode_words(self, chunks: list[str], blank: str, before: bytes) -> None:
+        """Encode chunks without a newline inside, many to a text: a lone newline is a piece by itself."""
+        groups = [chunks[k : k + GROUP] for k in range(0, len(chunks), GROUP)]
+        joined = self._batch(["\n".join(blank + c.lstrip("\n") for c in g) for g in groups])
+        newline = int.from_bytes(self.newline, "little")
+        for group, ids in zip(groups, joined):
+            ends = (np.flatnonzero(np.frombuffer(ids, "<u4") == newline) * 4).tolist()
+            self.known.update(
+                (c, before + ids[i:j]) for c, i, j in zip(group, [0, *(e + 4 for e in ends)], [*ends, len(ids)])
+            )
+
+    @staticmethod
+    def _chunks(text: str) -> list[str]:
+        """The text's first chunk and all others; an empty first one keeps a text whole."""
+        if "\n\n" not in text:
+            return text.replace("\n", " \n").split(" ")
+        # Blank lines stay inside their chunk. One that begins with a newline would be taken for a cut.
+        return [""] if " \n" in text else text.split(" ")
+
+    def encode(self, texts: list[str], end: bytes) -> list[bytes]:
+        """Ids of each text with the end id, as little-endian 32-bit integers."""
         if len(self.known) > CACHED_CHUNKS:
             self.known, self.old = {}, self.known
-        missing = set().union(*(c[1:] for c in cut)).difference(self.known)
-        self.known.update((c, self.old[c]) for c in missing.intersection(self.old))
-        self._learn(list(missing.difference(self.old)))
-        first = iter(self._batch([t if w else c[0] for t, w, c in zip(texts, whole, cut)]))
-        known = self.known.__getitem__
+        get = self.known.get
+        cut = list(map(self._chunks, texts))
+        found = [list(map(get, c[1:])) for c in cut]
+        open_texts = [k for k, f in enumerate(found) if not all(f)]
+        missing = {c for k in open_texts for c, ids in zip(cut[k][1:], found[k]) if ids is None}
+        self._learn(missing)
+        uncut = {k for k, c in enumerate(cut) if not c[0]}
+        for k in open_texts:
+            found[k] = list(map(get, cut[k][1:]))
+            if not all(found[k]):
+                uncut.add(k)
+        heads = self._batch([t if k in uncut else c[0] for k, (t, c) in enumerate(zip(texts, cut))])
         return [
-            np.frombuffer(b"".join((head, *map(known, c[1:]), end)), "<i4") for head, c in zip(first, cut)
+            b"".join((head, end)) if k in uncut else b"".join((head, *f, end))
+            for k, (head, f) in enumerate(zip(heads, found))
         ]
 
 
@@ -96,14 +151,16 @@ def encoded(docs: DataFrame, definition: str, end_id: int) -> DataFrame:
     """
     end = np.array([end_id], "<u4").tobytes()
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         with_cache = encoder(definition)
         for batch in batches:
             # Handed on in small parts, so that a batch is never held whole in both forms.
             for k in range(0, len(batch), GROUP):
-                texts = [t or "" for t in batch.iloc[k : k + GROUP]]
-                yield pd.Series(with_cache.encode(texts, end), dtype=object)
+                found = with_cache.encode([t or "" for t in batch[k : k + GROUP].to_pylist()], end)
+                offsets = np.cumsum([0, *(len(x) // 4 for x in found)])
+                values = pa.array(np.frombuffer(b"".join(found), "<i4"))
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 
     ordered = (
         docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -154,9 +211,11 @@ def with_starts(tokens: DataFrame) -> DataFrame:
 def ids_crc32(ids: Column) -> Column:
     """crc32 of ids as little-endian unsigned 32-bit integers."""
 
-    @F.pandas_udf("bigint")
-    def crc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("bigint")
+    def crc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in batch], dtype="int64")
+            data = np.ascontiguousarray(batch.values.to_numpy(), "<u4")
+            at = batch.offsets.to_pylist()
+            yield pa.array([zlib.crc32(data[i:j]) for i, j in zip(at, at[1:])], pa.int64())
 
     return crc(ids)
