@@ -34,10 +34,10 @@ NO_TIME = 1 << 40
 
 #: Chunks and words remembered per Python worker in a young table each. A full one becomes the old one, and
 #: what is used again moves on from there.
-CACHED = 100_000
+CACHED = 60_000
 
 #: Arcs that are kept resolved; beyond that the table is filled anew.
-CACHED_ARCS = 400_000
+CACHED_ARCS = 200_000
 
 #: Texts encoded and handed on together.
 PART = 200
@@ -217,6 +217,12 @@ class WordTokenizer:
         ids = self._pieces(chunk)
         return np.array(ids, "<u4").tobytes(), " ".join(map(self.label.__getitem__, ids))
 
+    def forget(self) -> None:
+        """Drop what was remembered; the tables compiled from the vocabulary stay."""
+        self.known = Memory(self._chunk)
+        self.known_words = Memory(self._word)
+        self.automaton.arcs.clear()
+
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids (packed) and decoded text of a whole text; null counts as empty."""
         if not text:
@@ -249,21 +255,27 @@ def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True, keep_deco
     kinds |= {"decoded": pa.string()} if keep_decoded else {}
     sql = {pa.int64(): "bigint", pa.string(): "string", pa.binary(): "binary"}
 
+    def described(made: list[tuple[bytes, str]]) -> pa.Array:
+        columns = {
+            "n_tokens": [len(ids) // 4 for ids, _ in made],
+            "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids, _ in made],
+            "decoded_sha256": [hashlib.sha256(text.encode("utf-8")).hexdigest() for _, text in made],
+            "ids": [ids for ids, _ in made],
+            "decoded": [text for _, text in made],
+        }
+        return pa.StructArray.from_arrays([pa.array(columns[n], t) for n, t in kinds.items()], list(kinds))
+
     @F.arrow_udf("struct<" + ",".join(f"{name}:{sql[kind]}" for name, kind in kinds.items()) + ">")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = tokenizer(definition)
-        for batch in batches:
-            # Handed on in small parts, so that a batch is never held whole in all forms.
-            for k in range(0, len(batch), PART):
-                made = [tables.encode(text) for text in batch[k : k + PART].to_pylist()]
-                columns = {
-                    "n_tokens": [len(ids) // 4 for ids, _ in made],
-                    "ids_sha256": [hashlib.sha256(ids).hexdigest() for ids, _ in made],
-                    "decoded_sha256": [hashlib.sha256(text.encode("utf-8")).hexdigest() for _, text in made],
-                    "ids": [ids for ids, _ in made],
-                    "decoded": [text for _, text in made],
-                }
-                yield pa.StructArray.from_arrays([pa.array(columns[n], t) for n, t in kinds.items()], list(kinds))
+        try:
+            for batch in batches:
+                # Handed on in small parts, so that a batch is never held whole in all forms.
+                for k in range(0, len(batch), PART):
+                    yield described([tables.encode(text) for text in batch[k : k + PART].to_pylist()])
+        finally:
+            # The worker goes on with other tasks, which need its memory.
+            tables.forget()
 
     held = [c for c in docs.columns if c not in kinds]
     # The input row is one struct, so that no name of it can clash with the new one.
