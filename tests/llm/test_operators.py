@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -30,7 +31,11 @@ from tracewright.llm.queries import llm_queries
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DATA = corpus.rows() + corpus.odd_rows()
-CLASHES = ("keep", "hash", "word", "words", "pos", "line", "key", "digest", "starts", "rank", "n", "x")
+CLASHES = (
+    "keep", "hash", "word", "words", "pos", "line", "key", "digest", "starts", "rank", "n", "x", "row", "given", "of",
+    "of_row", "found", "maybe", "repeated", "anchor", "at", "encoded", "s", "rep", "row_number", "w", "l",
+    "_id", "_w", "_l", "_keep", "_kept", "_maybe", "_v", "_starts", "_row", "_m", "_n_words", "_encoded", "_part",
+)
 
 
 @pytest.fixture(scope="module")
@@ -373,47 +378,130 @@ def test_a_chain_of_links_is_one_group(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_passages(docs, none):
-    first, expected = {}, Counter()
-    for d, t, *_ in sorted((r for r in DATA if r[0] is not None), key=lambda r: r[0]):
+PASSAGE_RULES = [
+    substring_dedup.PassageRule(),
+    substring_dedup.PassageRule(filter_anchors=0, shard_segments=1, broadcast_bytes=0),
+    substring_dedup.PassageRule(shard_segments=3, anchor_words=(2, 7, 13)),
+    substring_dedup.PassageRule(shard_segments=2, anchor_words=(1, 2)),
+]
+
+
+def without_passages(rows):
+    """(doc_id, words, removed, kept) of every row; rows of one document take nothing from each other."""
+    first, found = {}, Counter()
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        w = (t or "").encode().split()
+        for k in range(len(w) - 12):
+            first.setdefault(tuple(w[k : k + 13]), d)
+    for d, t in rows:
         w = (t or "").encode().split()
         stays = [True] * len(w)
         for k in range(len(w) - 12):
-            if first.setdefault(hashlib.md5(b" ".join(w[k : k + 13])).digest(), d) < d:
+            if first[tuple(w[k : k + 13])] < d:
                 stays[k : k + 13] = [False] * 13
-        kept = b" ".join(x for x, s in zip(w, stays) if s).decode()
-        expected[d, len(w), stays.count(False), kept] += 1
-    for rule in (substring_dedup.PassageRule(), substring_dedup.PassageRule(filter_bits=64, shard_segments=1)):
-        found = substring_dedup.dedup_passages(docs, rule)
-        untouched(found)
-        held = found.where("doc_id is not null")
-        assert results(held, "doc_id", "n_words", "n_removed", "kept_text") == expected
-    assert found.where("doc_id is null and n_removed = 0").count() == 2
-    assert substring_dedup.dedup_passages(none).count() == 0
-
+        found[d, len(w), stays.count(False), b" ".join(x for x, s in zip(w, stays) if s).decode()] += 1
+    return found
 
-def test_the_bitmap_of_anchors_grows_with_them(spark):
-    rule = substring_dedup.PassageRule(filter_bits=64, most_filter_bits=1 << 16)
-    sizes = [substring_dedup.with_filter_for(n, rule).filter_bits for n in (0, 4, 5, 1000, 10**9)]
-    assert sizes == [64, 64, 128, 1 << 14, 1 << 16]
-    anchors = spark.range(1000).select((F.col("id") * 7919 * 104729).alias("anchor"))
-    bitmap = substring_dedup.anchor_filter(anchors, substring_dedup.with_filter_for(1000, rule))
-    assert len(bitmap) * 64 == 1 << 14 and sum(int(w).bit_count() for w in bitmap) <= 1000
 
-
-def test_fm_index_counts_every_pattern():
+@pytest.mark.parametrize("rule", PASSAGE_RULES)
+def test_passages(docs, none, rule):
+    expected = without_passages([r[:2] for r in DATA if r[0] is not None])
+    found = substring_dedup.dedup_passages(docs, rule)
+    untouched(found)
+    held = found.where("doc_id is not null")
+    assert results(held, "doc_id", "n_words", "n_removed", "kept_text") == expected
+    assert found.where("doc_id is null and n_removed = 0").count() == 2
+    assert substring_dedup.dedup_passages(none, rule).count() == 0
+
+
+@pytest.mark.parametrize("rule", PASSAGE_RULES)
+def test_passages_in_several_texts_of_a_document_and_hot_anchors(spark, rule):
+    rng = random.Random(7)
+    long, other = " ".join(f"p{k}" for k in range(40)), " ".join(f"q{k}" for k in range(20))
+    rows = [(1, long), (5, " ".join(f"w{k}" for k in range(60)) + "\t" + long), (5, "three words only"), (5, long), (6, other), (6, other)]
+    rows += [(7, f"{long}  x {long}"), (8, other + "\n" + other), (9, None)]
+    # One pair of words in all windows: its anchor is in every document, with other words around it.
+    rows += [(20 + k, " ".join(rng.choice(["aa bb", "cc", "dd", f"e{k % 3}"]) for _ in range(80))) for k in range(25)]
+    rows += [(60 + k, rows[12 + k][1]) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.dedup_passages(df, rule)
+    assert results(found, "doc_id", "n_words", "n_removed", "kept_text") == without_passages(rows)
+
+
+def test_an_anchor_that_is_too_full_is_cut_by_wider_ones(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice("abc") for _ in range(13))
+    pieces = [(hashlib.md5(t.encode()).digest(), k, 7, t) for k, t in enumerate({text() for _ in range(300)})]
+    classes = spark.createDataFrame(pieces, "digest binary, doc_id long, anchor long, text string")
+    rule = substring_dedup.PassageRule(shard_segments=20)
+    found = {bytes(r.digest): r["first"] for r in substring_dedup.holders(classes, rule).collect()}
+    assert found == {d: [k] for d, k, _, _ in pieces}
+
+
+def test_the_bitmap_of_anchors_holds_all_of_them(spark):
+    anchors = spark.range(10_000).select((F.col("id") * 7919 * 104729 - 5).alias("anchor"))
+    bitmap = substring_dedup.anchor_bitmap(anchors, 10_000)
+    assert len(bitmap) * 64 == 1 << 18
+    known = np.array([r.anchor for r in anchors.collect()])
+    slot = known & (len(bitmap) * 64 - 1)
+    assert ((bitmap[slot >> 6] >> (slot & 63).astype(np.uint64)) & np.uint64(1)).all()
+
+
+def test_fm_index_finds_every_pattern_and_its_least_holder():
     from tracewright.llm.fm_index import FMIndex
 
     rng = np.random.default_rng(3)
     text = rng.integers(1, 5, 400)
-    index = FMIndex(text)
+    holders = rng.integers(0, 90, 400)
+    index = FMIndex(text, 4, holders)
     patterns = np.lib.stride_tricks.sliding_window_view(text, 4)
     matched, low, high = index.search(patterns)
-    for p, m, a, b in zip(patterns, matched, low, high):
+    least = index.least_holder(low, high)
+    for p, m, a, b, h in zip(patterns, matched, low, high, least):
         places = [k for k in range(len(text) - m + 1) if (text[k : k + m] == p[4 - m :]).all()]
-        assert sorted(index.suffixes[a:b]) == places
+        assert b - a == len(places) and (m == 0 or h == min(holders[k] for k in places))
         assert m == 4 or sum((patterns[:, 4 - m - 1 :][:, : m + 1] == p[4 - m - 1 :]).all(axis=1)) <= 1
 
 
+def test_words_of_a_batch_are_those_of_each_text():
+    import pyarrow as pa
+
+    from tracewright.llm import word_windows as ww
+
+    texts = ["a b  c\t" * 9, None, "", " x", "y" * 5 + " é\n" * 20, "a b c " * 9 + "z", "\x1c \x0b\x0c", "a b c"]
+    array = pa.concat_arrays([pa.array(["skipped", *texts[:3]])[1:], pa.array(texts[3:])])
+    flat = [(k, w) for k, t in enumerate(texts) for w in (t or "").encode().split()]
+    seen = []
+    for row, part in ww.parts(array):
+        found = ww.words(part)
+        seen += [(row + k, found.data[a:b].tobytes(), h) for k, a, b, h in zip(found.text, found.starts, found.ends, ww.word_hashes(found).tolist())]
+        for first, n, _ in zip(*ww.anchored_runs(found, ww.word_hashes(found), 13, 6)):
+            assert len(set(found.text[first : first + n + 12].tolist())) == 1
+            assert len(found.joined(first, first + n + 12).split(b" ")) == n + 12
+    assert [s[:2] for s in seen] == flat
+    assert len({(w, h) for _, w, h in seen}) == len({w for _, w, _ in seen}) == len({h for _, _, h in seen})
+
+
+def test_lines_in_several_texts_of_a_document(spark):
+    line, own = "the line that many documents hold", "a line that one row holds alone"
+    rows = [(1, line), (2, line), (3, line), (2, own), (2, f"{own}\n{line}"), (None, line), (None, own)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda d, t: "\n".join(x for x in t.split("\n") if x != line or d == 3)
+    dropped = Counter((d, t.count("\n") + 1, t.count(line) if d != 3 else 0, kept(d, t)) for d, t in rows)
+    for rule in (line_dedup.LineRule(), line_dedup.LineRule(hot_rows=2, sample_one_in=1)):
+        found = line_dedup.dedup_lines(df, rule)
+        assert results(found, "doc_id", "n_lines", "n_dropped", "kept_text") == dropped
+
+
+def test_near_duplicates_in_several_texts_of_a_document(spark):
+    rng = random.Random(4)
+    x, y, z = (corpus.prose(rng, "en", 80) for _ in range(3))
+    rows = [(1, y), (1, x), (3, y + " more"), (4, x), (5, z), (6, z + " and"), (6, x + " so"), (7, "alone"), (7, None), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r.doc_id, r.component_id) for r in near_dedup.near_groups(df).collect())
+    assert found == Counter([(1, 1)] * 2 + [(3, 1), (4, 1), (5, 1), (6, 1), (6, 1), (7, 7), (7, 7), (8, 8)])
+    assert {r.doc_id for r in near_dedup.one_of_each(df).collect()} == {1, 7, 8}
+
+
 def test_every_operator_has_one_query():
     assert [n.split("_")[0] for n in sorted(llm_queries(), key=lambda n: int(n[2:].split("_")[0]))] == [f"op{k}" for k in range(1, 14)]

@@ -69,12 +69,15 @@ def anchors(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def candidate_starts(docs: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """(doc_id, start, window_id): where a window may start, by its rarest word and the position bound."""
+    """(doc_id, row, start, window_id): where a window may start, by its rarest word and the position bound.
+
+    ``row`` tells the texts of one document apart.
+    """
     keyed = broadcast_if_small(prefixes.select("word", "offset", "window_id"))
-    words = docs.select("doc_id", F.posexplode(item_words(F.col("text"))).alias("pos", "word"))
+    words = docs.select("doc_id", "row", F.posexplode(item_words(F.col("text"))).alias("pos", "word"))
     return (
         words.join(keyed, "word")
-        .select("doc_id", (F.col("pos") - F.col("offset")).alias("start"), "window_id")
+        .select("doc_id", "row", (F.col("pos") - F.col("offset")).alias("start"), "window_id")
         .where(F.col("start") >= 0)
     )
 
@@ -88,41 +91,41 @@ def matches(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """
     windows = settle(item_windows(items.select("item_id", "text"), size))
     prefixes = settle(anchors(docs.select("doc_id", "text"), windows))
-    starts = settle(candidate_starts(docs.select("doc_id", "text"), prefixes))
-    candidates = (
-        starts.join(broadcast_if_small(prefixes.select("window_id", "words", "items")), "window_id")
-        .groupBy(F.col("doc_id").alias("_id"))
-        .agg(F.collect_set(F.struct("start", "words", "items")).alias("_maybe"))
-    )
     new = ("n_words", "n_hit", "item_ids", "contaminated")
     held = [c for c in docs.columns if c not in new]
-    joined = docs.select(*held).join(
-        candidates.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left"
+    # The input row is one struct, so that no name of it can clash with an inner one.
+    rows = docs.select(F.struct(*held).alias("given"), "doc_id", F.xxhash64(whole(F.col("text"))).alias("row"), "text")
+    starts = settle(candidate_starts(rows.select("doc_id", "row", "text"), prefixes))
+    candidates = (
+        starts.join(broadcast_if_small(prefixes.select("window_id", "words", "items")), "window_id")
+        .groupBy(F.col("doc_id").alias("of"), F.col("row").alias("of_row"))
+        .agg(F.collect_set(F.struct("start", "words", "items")).alias("maybe"))
     )
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
+    joined = rows.join(candidates.hint("shuffle_hash"), same, "left")
+
     # The slice is cut from the words of the text itself: the positions of a window are verified exactly.
     def holds(w: Column, m: Column) -> Column:
         n = F.size(m["words"])
         return (m["start"] + n <= F.size(w)) & (F.slice(w, m["start"] + 1, n) == m["words"])
 
-    maybe = F.coalesce("_maybe", F.expr("cast(array() as array<struct<start:int,words:array<string>,items:array<string>>>)"))
+    maybe = F.coalesce("maybe", F.expr("cast(array() as array<struct<start:int,words:array<string>,items:array<string>>>)"))
     verified = let(
         item_words(F.col("text")),
         lambda w: F.struct(
             F.size(w).cast("long").alias("n_words"), F.filter(maybe, lambda m: holds(w, m)).alias("held")
         ),
     )
-    checked = joined.withColumn("_v", verified).drop("_maybe", "_id")
+    checked = joined.select("given", verified.alias("found"))
+    held_windows = F.col("found")["held"]
     hit_words = F.array_distinct(
-        F.flatten(
-            F.transform(
-                F.col("_v")["held"], lambda m: F.sequence(m["start"], m["start"] + F.size(m["words"]) - 1)
-            )
-        )
+        F.flatten(F.transform(held_windows, lambda m: F.sequence(m["start"], m["start"] + F.size(m["words"]) - 1)))
     )
-    items_held = F.flatten(F.transform(F.col("_v")["held"], lambda m: m["items"]))
-    return checked.select(
-        *held,
-        F.col("_v")["n_words"].alias("n_words"),
+    counted = checked.select(
+        "given",
+        F.col("found")["n_words"].alias("n_words"),
         F.size(hit_words).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(items_held)).alias("item_ids"),
-    ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        F.array_sort(F.array_distinct(F.flatten(F.transform(held_windows, lambda m: m["items"])))).alias("item_ids"),
+    )
+    bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return counted.select("given.*", "n_words", "n_hit", "item_ids", bad.alias("contaminated"))

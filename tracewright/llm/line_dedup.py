@@ -19,7 +19,7 @@ class LineRule:
     """Which lines count as repeated, and from where on a line is treated as hot.
 
     ``hot_rows`` decides only how a line is grouped, never whether: keys that a sample of one
-    document in ``sample_one_in`` shows more often than ``hot_rows`` are aggregated before the
+    line in ``sample_one_in`` shows more often than ``hot_rows`` are aggregated before the
     shuffle, all others are sorted and streamed.
     """
 
@@ -34,15 +34,20 @@ def line_key(line: Column) -> Column:
     return ascii_lower(stripped(line))
 
 
+def row_key() -> Column:
+    """Tells the texts of one document apart; equal texts have equal keys and lose the same lines."""
+    return F.xxhash64(whole(F.col("text")))
+
+
 def line_hashes(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
-    """(hash, doc_id, pos) of every line that is long enough; 128 bits in two integers."""
+    """(hash, doc_id, row, pos) of every line that is long enough; 128 bits in two integers."""
     digest = F.md5(F.col("key").cast("binary"))
     half = lambda start: F.conv(F.substring(digest, start, 15), 16, 10).cast("long")
     return (
-        docs.select("doc_id", F.posexplode(lines(F.col("text"))).alias("pos", "line"))
-        .select("doc_id", "pos", line_key(F.col("line")).alias("key"))
+        docs.select("doc_id", row_key().alias("row"), F.posexplode(lines(F.col("text"))).alias("pos", "line"))
+        .select("doc_id", "row", "pos", line_key(F.col("line")).alias("key"))
         .where(F.char_length("key") >= rule.min_chars)
-        .select(half(1).alias("hash"), half(16).alias("hash2"), "doc_id", "pos")
+        .select(half(1).alias("hash"), half(16).alias("hash2"), "doc_id", "row", "pos")
     )
 
 
@@ -69,15 +74,16 @@ def _dropped_by_sums(hot_lines: DataFrame, rule: LineRule) -> DataFrame:
 
 
 def keep_bitmaps(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
-    """(doc_id, keep): the keep bitmap of every document that loses lines.
+    """(doc_id, row, keep): the keep bitmap of every text that loses lines.
 
-    ``keep`` maps a word number (position div 64) to the 64 keep bits of those lines. Words in which
+    ``row`` tells the texts of one document apart. ``keep`` maps a word number (position div 64) to the 64 keep bits of those lines. Words in which
     every line stays are left out, as are documents that lose nothing. A key that is found in enough
     documents loses all its lines except those in the largest doc_id holding it. Rows that share a
-    doc_id are one document; a null doc_id is the smallest. Empty input gives no rows.
+    doc_id are one document of several texts, each with its own lines; a null doc_id is the smallest.
+    Empty input gives no rows.
     """
     hashes = settle(line_hashes(docs.select("doc_id", "text"), rule))
-    sampled = hashes.where(F.pmod(F.xxhash64("doc_id"), F.lit(rule.sample_one_in)) == 0)
+    sampled = hashes.where(F.pmod(F.xxhash64("doc_id", "row", "pos"), F.lit(rule.sample_one_in)) == 0)
     hot = settle(
         sampled.groupBy("hash", "hash2")
         .count()
@@ -87,14 +93,14 @@ def keep_bitmaps(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
     key = ["hash", "hash2"]
     dropped = (
         _dropped_by_sort(hashes.join(hot, key, "left_anti"), rule)
-        .select("doc_id", "pos")
-        .union(_dropped_by_sums(hashes.join(hot, key, "left_semi"), rule).select("doc_id", "pos"))
+        .select("doc_id", "row", "pos")
+        .union(_dropped_by_sums(hashes.join(hot, key, "left_semi"), rule).select("doc_id", "row", "pos"))
     )
     bit = F.expr("shiftleft(1L, pos % 64)")
     return (
-        dropped.groupBy("doc_id", F.expr("pos div 64").cast("int").alias("word"))
+        dropped.groupBy("doc_id", "row", F.expr("pos div 64").cast("int").alias("word"))
         .agg(F.bit_or(bit).alias("lost"))
-        .groupBy("doc_id")
+        .groupBy("doc_id", "row")
         .agg(
             F.map_from_entries(F.array_sort(F.collect_list(F.struct("word", F.bitwise_not("lost"))))).alias(
                 "keep"
@@ -119,19 +125,22 @@ def dedup_lines(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
     All columns of ``docs`` stay; columns named like the three new ones are replaced. A null text
     that loses nothing has one empty line and ``kept_text`` empty.
     """
-    bitmaps = keep_bitmaps(docs, rule).select(F.col("doc_id").alias("_id"), F.col("keep").alias("_keep"))
+    new = ("kept_text", "n_lines", "n_dropped")
+    held = [c for c in docs.columns if c not in new]
+    # The input row is one struct, so that no name of it can clash with an inner one.
+    rows = docs.select(F.struct(*held).alias("given"), "doc_id", row_key().alias("row"), "text")
+    bitmaps = keep_bitmaps(docs, rule).select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), "keep")
     # The bitmaps are the small side: hashed per partition, the texts are never sorted.
-    joined = docs.join(bitmaps.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row"))
+    joined = rows.join(bitmaps.hint("shuffle_hash"), same, "left")
+    text, keep = F.col("text"), F.col("keep")
     return (
-        joined.withColumn("_kept", kept_lines(F.col("text"), F.col("_keep")))
-        .withColumns(
-            {
-                "kept_text": F.when(F.col("_keep").isNull(), whole(F.col("text"))).otherwise(
-                    F.array_join("_kept", "\n")
-                ),
-                "n_lines": F.size(lines(F.col("text"))).cast("long"),
-                "n_dropped": (F.size(lines(F.col("text"))) - F.size("_kept")).cast("long"),
-            }
+        joined.select("given", "text", "keep", kept_lines(text, keep).alias("kept"))
+        .select(
+            "given",
+            F.when(keep.isNull(), whole(text)).otherwise(F.array_join("kept", "\n")).alias("kept_text"),
+            F.size(lines(text)).cast("long").alias("n_lines"),
+            (F.size(lines(text)) - F.size("kept")).cast("long").alias("n_dropped"),
         )
-        .drop("_id", "_keep", "_kept")
+        .select("given.*", *new)
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.components import components
 from tracewright.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
-from tracewright.llm.text import broadcast_if_small
+from tracewright.llm.text import broadcast_if_small, whole
 from tracewright.shared_storage import settle
 
 
@@ -69,7 +69,7 @@ def band_hashes(signature: np.ndarray, rule: NearRule) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, rule: NearRule) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands): set size, digest of the set, one hash per band."""
+    """(doc_id, row, n_shingles, digest, bands): set size, digest of the set, one hash per band."""
 
     @F.pandas_udf("struct<n_shingles:bigint,digest:binary,bands:array<bigint>>")
     def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -85,10 +85,52 @@ def signatures(docs: DataFrame, rule: NearRule) -> DataFrame:
                     rows.append((0, None, None))
             yield pd.DataFrame(rows, columns=["n_shingles", "digest", "bands"])
 
-    return docs.select("doc_id", signed(F.col("text")).alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", "row", signed(F.col("text")).alias("s")).select("doc_id", "row", "s.*")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+def text_classes(signed: DataFrame) -> DataFrame:
+    """(rep, digest, doc_id, row, n, bands): texts with equal sets are one class, numbered by ``rep``.
+
+    Its text is that of the smallest doc_id (and ``row``). Settled, so that numbers stay.
+    """
+    usable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    classes = usable.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "row")).alias("of"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+    )
+    return settle(
+        classes.select(
+            F.monotonically_increasing_id().alias("rep"), "digest", "of.doc_id", "of.row", "n", "bands"
+        )
+    )
+
+
+def class_texts(reps: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(rep, text) of the classes ``rep``."""
+    places = settle(classes.join(reps, "rep", "left_semi").select("rep", "doc_id", "row"))
+    return docs.join(broadcast_if_small(places), ["doc_id", "row"]).select("rep", "text").dropDuplicates(["rep"])
+
+
+def links_of_documents(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): classes that one document has texts of. Most tables have no such document."""
+    usable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).select("doc_id", "digest")
+    several = settle(
+        usable.groupBy("doc_id")
+        .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
+        .where(F.col("low") < F.col("high"))
+        .select("doc_id", "low")
+    )
+    rep = lambda digest, name: classes.select(F.col("digest").alias(digest), F.col("rep").alias(name))
+    return (
+        usable.join(several, "doc_id")
+        .where(F.col("digest") != F.col("low"))
+        .join(rep("digest", "a"), "digest")
+        .join(rep("low", "b"), "low")
+        .select("a", "b")
+        .distinct()
+    )
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
 
     @F.pandas_udf("boolean")
@@ -108,9 +150,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
             yield pd.Series(verdicts, dtype=bool)
 
     pairs = settle(pairs)
-    ids = settle(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    texts = settle(docs.join(broadcast_if_small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    sided = lambda side: texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"{side}_text"))
+    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    texts = settle(class_texts(ids, classes, docs))
+    sided = lambda side: texts.select(F.col("rep").alias(side), F.col("text").alias(f"{side}_text"))
     return (
         pairs.join(sided("a"), "a")
         .join(sided("b"), "b")
@@ -124,7 +166,7 @@ def _may_link(n: str, m: str, rule: NearRule) -> Column:
     return 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
 
 
-def prefix_entries(open_reps: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
+def prefix_entries(open_reps: DataFrame, classes: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
     """(rep, n, component, token, at): the rarest shingles of every set, as many as can decide a link.
 
     Two similar sets share one of the rarest shingles of each. Shingles that a single set holds take
@@ -138,11 +180,8 @@ def prefix_entries(open_reps: DataFrame, docs: DataFrame, rule: NearRule) -> Dat
             sets = (shingle_hashes(word_hashes(t, known, lower=True), rule.shingle_words) for t in texts)
             yield pd.Series([np.unique(x).view(np.int64) for x in sets], dtype=object)
 
-    ids = broadcast_if_small(open_reps.select(F.col("rep").alias("doc_id")))
-    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    held = settle(
-        texts.select(F.col("doc_id").alias("rep"), tokens(F.col("text")).alias("tokens"))
-    ).select("rep", F.explode("tokens").alias("token"))
+    texts = class_texts(open_reps.select("rep"), classes, docs)
+    held = settle(texts.select("rep", tokens(F.col("text")).alias("tokens"))).select("rep", F.explode("tokens").alias("token"))
     frequent = held.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
     of_set = Window.partitionBy("rep")
     placed = (
@@ -174,8 +213,8 @@ def prefix_pairs(entries: DataFrame, rule: NearRule) -> DataFrame:
 def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     """(doc_id, n_shingles, component_id): the smallest doc_id that links lead to, itself included.
 
-    1. Documents with equal sets are one class, represented by the smallest doc_id; from here on only
-       representatives are compared.
+    1. Texts with equal sets are one class; from here on only classes are compared. Classes that one
+       document has texts of are linked.
     2. In each bucket of a band every member is compared with one hub: the member whose buckets are the
        fullest, which is the most typical text of its group. Confirmed links join members into components.
     3. What is left are buckets with more than one component. Members of different components are compared
@@ -184,17 +223,13 @@ def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
 
     So the pairs within a group of copies are not spelled out, and every candidate pair that could still
     join two groups is verified on full sets. Texts without words, and rows without doc_id, are linked with
-    nothing; their component is their own doc_id. Rows that share a doc_id are one document. Empty input
-    gives no rows.
+    nothing; their component is their own doc_id. Rows that share a doc_id are one document: each is
+    compared with its own text, and what is linked with one of them is linked with all. No other column
+    of ``docs`` is returned. Empty input gives no rows.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", F.xxhash64(whole(F.col("text"))).alias("row"), "text")
     signed = settle(signatures(docs, rule))
-    usable = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = settle(
-        usable.groupBy("digest").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
-        )
-    )
+    classes = text_classes(signed)
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     shared = settle(
         buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
@@ -213,11 +248,11 @@ def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
         .select(F.least("hub", "rep").alias("a"), F.greatest("hub", "rep").alias("b"))
         .distinct()
     )
-    links = settle(confirmed(stars, docs, rule))
+    links = settle(confirmed(stars, classes, docs, rule).union(links_of_documents(signed, classes)))
     grouped = components(links)
     labelled = members.join(
-        grouped.select(F.col("node").alias("rep"), F.col("component").alias("_c")), "rep", "left"
-    ).select("bucket", "rep", "n", F.coalesce("_c", "rep").alias("component"))
+        grouped.select(F.col("node").alias("rep"), F.col("component").alias("found")), "rep", "left"
+    ).select("bucket", "rep", "n", F.coalesce("found", "rep").alias("component"))
     mixed_buckets = (
         labelled.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -227,15 +262,17 @@ def near_groups(docs: DataFrame, rule: NearRule = NearRule()) -> DataFrame:
     open_reps = settle(
         labelled.join(mixed_buckets, "bucket", "left_semi").select("rep", "n", "component").distinct()
     )
-    entries = settle(prefix_entries(open_reps, docs, rule))
+    entries = settle(prefix_entries(open_reps, classes, docs, rule))
     rest = prefix_pairs(entries, rule).join(stars, ["a", "b"], "left_anti")
-    every = links.union(confirmed(rest, docs, rule))
+    every = links.union(confirmed(rest, classes, docs, rule))
     final = components(every)
-    reps = (
-        classes.select("digest", "rep")
-        .join(final.select(F.col("node").alias("rep"), "component"), "rep", "left")
-        .select("digest", F.coalesce("component", "rep").alias("component_id"))
+    grouped_classes = (
+        classes.select("digest", "rep", "doc_id")
+        .join(final.select(F.col("node").alias("rep"), F.col("component").alias("found")), "rep", "left")
+        .select("digest", "doc_id", F.coalesce("found", "rep").alias("component"))
     )
+    least = grouped_classes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    reps = grouped_classes.join(least, "component").select("digest", "component_id")
     return signed.join(reps, "digest", "left").select(
         "doc_id",
         "n_shingles",

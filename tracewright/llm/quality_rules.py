@@ -73,44 +73,48 @@ def repeated_window_words(tokens: Column, size: int = 3) -> Column:
 
 
 def with_measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with one struct column ``_m`` of counts and ratios over the whole text.
+    """(given, quality): the row as it was, and the counts and ratios over its whole text.
 
     Null and blank texts have no words: every count is 0 and every ratio is null.
     """
-    split = docs.withColumns({"_w": words(F.col("text")), "_l": lines(F.col("text"))}).withColumn(
-        "_l", F.filter("_l", lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
+    # The input row is one struct, so that no name of it can clash with an inner one.
+    split = docs.select(
+        F.struct(*docs.columns).alias("given"),
+        "text",
+        words(F.col("text")).alias("w"),
+        F.filter(lines(F.col("text")), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("l"),
     )
     long = lambda c: c.cast("long")
     counts = split.select(
-        *docs.columns,
-        long(F.size("_w")).alias("_n_words"),
-        long(F.char_length(F.array_join("_w", ""))).alias("_word_chars"),
-        long(F.regexp_count(whole(F.col("text")), F.lit("[#*$%&|<>]"))).alias("_n_symbols"),
-        F.regexp_count(whole(F.col("text")), F.lit("!")).alias("_n_exclaims"),
-        long(F.size("_l") - F.size(F.array_distinct("_l"))).alias("_n_dup_lines"),
-        long(repeated_window_words(F.col("_w"))).alias("_n_repeat_words"),
-        F.size("_l").alias("_n_lines"),
-        F.size(F.filter("_l", lambda x: x.rlike("^\\s*[-*•]\\s"))).alias("_n_bullets"),
-        F.size(F.filter("_l", lambda x: x.rlike("(\\.\\.\\.|…)\\s*$"))).alias("_n_ellipses"),
-        F.size(F.filter("_w", lambda x: F.lower(F.rtrim(x, F.lit(".,;:!?"))).isin(*STOP_WORDS))).alias("_n_stop"),
+        "given",
+        long(F.size("w")).alias("n_words"),
+        long(F.char_length(F.array_join("w", ""))).alias("word_chars"),
+        long(F.regexp_count(whole(F.col("text")), F.lit("[#*$%&|<>]"))).alias("n_symbols"),
+        F.regexp_count(whole(F.col("text")), F.lit("!")).alias("n_exclaims"),
+        long(F.size("l") - F.size(F.array_distinct("l"))).alias("n_dup_lines"),
+        long(repeated_window_words(F.col("w"))).alias("n_repeat_words"),
+        F.size("l").alias("n_lines"),
+        F.size(F.filter("l", lambda x: x.rlike("^\\s*[-*•]\\s"))).alias("n_bullets"),
+        F.size(F.filter("l", lambda x: x.rlike("(\\.\\.\\.|…)\\s*$"))).alias("n_ellipses"),
+        F.size(F.filter("w", lambda x: F.lower(F.rtrim(x, F.lit(".,;:!?"))).isin(*STOP_WORDS))).alias("n_stop"),
     )
-    n, per_line = F.col("_n_words"), lambda c: F.try_divide(F.col(c), F.col("_n_lines"))
+    n, per_line = F.col("n_words"), lambda c: F.try_divide(F.col(c), F.col("n_lines"))
     return counts.select(
-        *docs.columns,
+        "given",
         F.struct(
-            n.alias("n_words"),
-            F.col("_word_chars").alias("word_chars"),
-            F.col("_n_symbols").alias("n_symbols"),
-            F.col("_n_dup_lines").alias("n_dup_lines"),
-            F.col("_n_repeat_words").alias("n_repeat_words"),
-            F.try_divide("_word_chars", n).alias("mean_word_chars"),
-            F.try_divide("_n_symbols", n).alias("symbol_word_ratio"),
-            F.try_divide("_n_exclaims", n).alias("exclaim_word_ratio"),
-            F.try_divide("_n_stop", n).alias("stop_word_ratio"),
-            per_line("_n_dup_lines").alias("dup_line_ratio"),
-            per_line("_n_bullets").alias("bullet_line_ratio"),
-            per_line("_n_ellipses").alias("ellipsis_line_ratio"),
-        ).alias("_m"),
+            "n_words",
+            "word_chars",
+            "n_symbols",
+            "n_dup_lines",
+            "n_repeat_words",
+            F.try_divide("word_chars", n).alias("mean_word_chars"),
+            F.try_divide("n_symbols", n).alias("symbol_word_ratio"),
+            F.try_divide("n_exclaims", n).alias("exclaim_word_ratio"),
+            F.try_divide("n_stop", n).alias("stop_word_ratio"),
+            per_line("n_dup_lines").alias("dup_line_ratio"),
+            per_line("n_bullets").alias("bullet_line_ratio"),
+            per_line("n_ellipses").alias("ellipsis_line_ratio"),
+        ).alias("quality"),
     )
 
 
@@ -139,13 +143,14 @@ def judged(docs: DataFrame, table: tuple[Rule, ...] = THRESHOLDS) -> DataFrame:
     ``base_failed``: fewer than 50 words, or more than half of them in repeated windows. All other
     columns stay; columns with the new names are replaced. Empty input gives no rows.
     """
+    new = ("quality", "base_failed", "failed", "kept")
+    held = [c for c in docs.columns if c not in new]
     m = F.col("quality")
-    measured = with_measures(docs).drop("quality").withColumnRenamed("_m", "quality")
-    return measured.withColumns(
-        {
-            "base_failed": (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"]),
-            "failed": failed_rules(table, m),
-            "kept": ~((m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"]))
-            & compiled(table, m),
-        }
+    failed = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+    return with_measures(docs.select(*held)).select(
+        "given.*",
+        "quality",
+        failed.alias("base_failed"),
+        failed_rules(table, m).alias("failed"),
+        (~failed & compiled(table, m)).alias("kept"),
     )
