@@ -90,7 +90,7 @@ def batches_on_disk(spark, path, n=40, size=10):
     batches = ingest.chronological_batches(raw_events(spark, n), BatchPlan(size=size))
     batches = batches.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW])
     sinks.write_batches(batches, path)
-    inventory = settle(files.file_inventory(spark, path).drop("footer"))
+    inventory = settle(files.file_inventory(spark, path))
     return settle(ingest.batch_manifest(files.read_landed(spark, path), inventory))
 
 

@@ -248,6 +248,13 @@ def require_publish_gate(gate: DataFrame) -> None:
         raise PipelineError(f"Publishing refused: {found.asDict()}")
 
 
+def require_published(outcomes: DataFrame) -> None:
+    """Every batch was uploaded, or was there with the same content."""
+    bad = outcomes.where(~F.col("status").isin("UPLOADED", "SKIPPED")).orderBy("batch_id").first()
+    if bad is not None:
+        raise PipelineError(f"Publishing failed for {bad['batch_id']}: {bad['status']}")
+
+
 def _status_counts(outcomes: DataFrame) -> DataFrame:
     """Status counts as one map; there are at most five statuses."""
     counted = outcomes.groupBy("status").agg(_rows().alias("n"))

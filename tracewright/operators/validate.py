@@ -6,7 +6,7 @@ in one grouped aggregation; the rules are then expressions over one row of facts
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -201,8 +201,8 @@ def readable_rule() -> Column:
     ).otherwise(_outcome("FAIL", 1, F.col("read_message")))
 
 
-def rule_results(known: DataFrame, baseline: Sequence[str]) -> DataFrame:
-    """Nine rule rows per data set; an unreadable one gets the first rule only."""
+def rule_results(known: DataFrame, baseline: Sequence[str], name: str = "dataset_name") -> DataFrame:
+    """Nine rule rows per data set, named by column ``name``; an unreadable one gets the first rule only."""
     rules: dict[str, Column] = {
         "FILE_READABLE": readable_rule(),
         "DQ_SCHEMA_COLUMNS": schema_rule(baseline),
@@ -219,9 +219,9 @@ def rule_results(known: DataFrame, baseline: Sequence[str]) -> DataFrame:
         ]
     )
     return (
-        known.select("dataset_name", "batch_id", "readable", F.explode(listed).alias("r"))
+        known.select(name, "batch_id", "readable", F.explode(listed).alias("r"))
         .where(F.col("readable") | (F.col("r.rule_order") == 1))
-        .select("dataset_name", "batch_id", "r.rule_order", "r.rule_id", "r.o.*")
+        .select(name, "batch_id", "r.rule_order", "r.rule_id", "r.o.*")
     )
 
 
@@ -246,18 +246,17 @@ def clean_results(results: DataFrame) -> DataFrame:
     return dataset_results(results, "clean").drop("batch_id")
 
 
-def scenario_results(results: DataFrame, scenario: Column, rule_of: Mapping[str, str]) -> DataFrame:
+def scenario_results(results: DataFrame, rules: DataFrame) -> DataFrame:
     """Was the fault of each data set noticed by the rule meant for it? Other failures may occur too.
 
-    ``scenario`` gives the name of the injected fault of a row of ``results``.
+    ``rules``: dataset_name and the ``expected_rule`` of its scenario.
     """
-    expected = F.create_map(*[F.lit(x) for pair in rule_of.items() for x in pair])[scenario]
     per_dataset = dataset_results(results, "controlled_failure")
-    detected = results.groupBy("dataset_name").agg(
-        F.max(expected).alias("expected_rule"),
-        (count_where((F.col("status") == "FAIL") & (F.col("rule_id") == expected)) > 0).alias(
-            "expected_failure_detected"
-        ),
+    failed = results.where(F.col("status") == "FAIL").select("dataset_name", F.col("rule_id").alias("failed_rule"))
+    detected = (
+        rules.join(failed, "dataset_name", "left")
+        .groupBy("dataset_name", "expected_rule")
+        .agg((count_where(F.col("failed_rule") == F.col("expected_rule")) > 0).alias("expected_failure_detected"))
     )
     return per_dataset.join(detected, "dataset_name").select(
         "dataset_name",

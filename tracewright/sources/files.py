@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewright.operators.ingest import PipelineError
 from tracewright.schema import CANONICAL, MANIFEST, RAW
+from tracewright.sources import storage
 
 # A batch has a directory of its own, plain or as a partition value.
 BATCH_IN_PATH = r"[=/](batch_\d+)/[^/]*$"
@@ -46,24 +46,10 @@ def read_manifest(spark: SparkSession, path: str, schema: T.StructType = MANIFES
 # -- inventory -----------------------------------------------------------------------------------
 
 
-def _little_endian(content: Column, distance_from_end: int) -> Column:
-    """Four bytes before the end of ``content`` as an unsigned number."""
-    byte = lambda i: F.conv(
-        F.hex(F.substring(content, -distance_from_end + i, 1)), 16, 10
-    ).cast("bigint")
-    return byte(0) + byte(1) * 256 + byte(2) * 65_536 + byte(3) * 16_777_216
-
-
-def file_inventory(
+def listed_files(
     spark: SparkSession, path: str | list[str], *, pattern: str = "*.parquet", name_root: str | None = None
 ) -> DataFrame:
-    """Path, batch, size, SHA-256 and Parquet footer bytes of every file below ``path``.
-
-    Bytes are read and digested by the scan; only the footer leaves it. Batches are cut to a fixed
-    number of rows, which bounds the size of a file.
-    """
-    content, size = F.col("content"), F.col("length")
-    footer_bytes = F.least(_little_endian(content, 8) + 8, size).cast("int")
+    """Path, batch and size of every file below ``path``; no file is opened."""
     relative = F.col("path")
     if name_root:
         relative = F.substring_index(relative, name_root.rstrip("/") + "/", -1)
@@ -76,45 +62,22 @@ def file_inventory(
             "path",
             F.regexp_extract("path", BATCH_IN_PATH, 1).alias("batch_id"),
             relative.alias("file_name"),
-            size.alias("file_size_bytes"),
-            F.sha2(content, 256).alias("sha256"),
-            F.when(size >= 12, F.right(content, footer_bytes)).otherwise(content).alias("footer"),
+            F.col("length").alias("file_size_bytes"),
             "modificationTime",
         )
     )
 
 
-def _parse_footers(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import io
-
-    import pyarrow.parquet as pq
-
-    for frame in frames:
-        names, rows, errors = [], [], []
-        for footer in frame.pop("footer"):
-            try:
-                metadata = pq.read_metadata(io.BytesIO(footer))
-                names.append(metadata.schema.to_arrow_schema().names)
-                rows.append(metadata.num_rows)
-                errors.append(None)
-            except Exception as error:  # any unreadable file is a finding, not a failure
-                names.append([])
-                rows.append(None)
-                # Fixed value: error texts of reports hold at most 500 characters.
-                errors.append(f"{type(error).__name__}: {str(error)[:500]}")
-        yield frame.assign(
-            columns=names, footer_rows=pd.array(rows, dtype="Int64"), footer_error=errors
-        )
-
+def file_inventory(
+    spark: SparkSession, path: str | list[str], *, pattern: str = "*.parquet", name_root: str | None = None
+) -> DataFrame:
+    """Path, batch, size, SHA-256 and Parquet footer of every file below ``path``.
 
-def footer_facts(inventory: DataFrame) -> DataFrame:
-    """The inventory with column names and row count from each footer, or why it cannot be read."""
-    listed = inventory.select("path", "batch_id", "file_size_bytes", "sha256", "footer")
-    return listed.mapInPandas(
-        _parse_footers,
-        "path string, batch_id string, file_size_bytes bigint, sha256 string, "
-        "columns array<string>, footer_rows bigint, footer_error string",
-    )
+    The bytes are streamed through the digest in tasks, so that a file may have any size. A file that is no
+    readable Parquet has ``footer_error``.
+    """
+    listing = listed_files(spark, path, pattern=pattern, name_root=name_root)
+    return storage.with_footers(listing, digests=True)
 
 
 # -- landed batches ------------------------------------------------------------------------------
@@ -160,8 +123,7 @@ def readability(inventory: DataFrame, decoded: DataFrame) -> DataFrame:
     whole = (rows >= F.col("footer_rows")) & ((rows == 0) | F.col("row_digest").isNotNull())
     damage = F.format_string("Only %d of %d rows could be decoded.", rows, "footer_rows")
     return (
-        footer_facts(inventory)
-        .withColumn("dataset_name", plain_path(F.col("path")))
+        inventory.withColumn("dataset_name", plain_path(F.col("path")))
         .join(decoded.select("dataset_name", "row_count", "row_digest"), "dataset_name", "left")
         .select(
             "dataset_name",

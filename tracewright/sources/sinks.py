@@ -6,10 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.sources.files import REPORT_TIME
+from tracewright.functions.numbers import count_where
+from tracewright.sources import storage
+from tracewright.sources.files import REPORT_TIME, listed_files
 
 
 def write_canonical(events: DataFrame, path: str) -> None:
@@ -105,6 +108,30 @@ def replace_table(df: DataFrame, table: str, layout: str | None = None) -> DataF
     return df.sparkSession.table(table)
 
 
+def key_ranges(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """(partition, rows, low, high) of every file of a written table, from the footers.
+
+    ``partition`` is the file's directory; ``low`` and ``high`` are those of a text column in it.
+    """
+    listing = listed_files(spark, path).select("path", F.regexp_extract("path", "^(.*)/", 1).alias("partition"))
+    return storage.with_key_ranges(listing, column)
+
+
+def key_range_summary(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row: ``row_count``, ``file_count``, and ``crossing_files``.
+
+    A file crosses when a file of its partition with a smaller or equal least key reaches beyond that
+    key: a scan that looks for one key then has to open both.
+    """
+    before = W.partitionBy("partition").orderBy("low", "high").rowsBetween(W.unboundedPreceding, -1)
+    ranged = key_ranges(spark, path, column).withColumn("reached", F.max("high").over(before))
+    return ranged.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+        F.count(F.lit(1)).alias("file_count"),
+        count_where(F.col("reached") > F.col("low")).alias("crossing_files"),
+    )
+
+
 def ensure_audit_table(
     spark: SparkSession, table: str, schema: T.StructType, time_column: str
 ) -> None:

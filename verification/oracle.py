@@ -284,13 +284,19 @@ _FAULTS = {
 }
 FAULTS = [f for f in _FAULTS if f != "clean"]
 
+# What readers say of a file without its end, of one whose first data page is overwritten, and of none.
+_CUT = """('ArrowInvalid: Parquet magic bytes not found in footer. Either the file is corrupted or this is not a '
+    || 'parquet file.')"""
+_OVERWRITTEN = "format('Only 0 of {} rows could be decoded.', row_count)"
+_ABSENT = "'FileNotFoundError: no file with content was found for the batch.'"
+
 
 def _suite(fault: str) -> str:
     """Rule rows of all batches delivered with a fault."""
     name = "batch_id" if fault == "clean" else f"'{fault}/' || batch_id"
     if fault == "corrupted_parquet":
         return f"""SELECT {name} AS dataset_name, batch_id, 1 AS rule_order, 'FILE_READABLE' AS rule_id,
-            'FAIL' AS status, 1::BIGINT AS failed_rows, 'ArrowInvalid: not a file' AS message FROM batches"""
+            'FAIL' AS status, 1::BIGINT AS failed_rows, {_CUT} AS message FROM batches"""
     facts = f"""(SELECT ingestion_batch_id AS batch_id, count(*) AS n, count_if(case_id IS NULL)::BIGINT AS no_case,
         count_if(activity IS NULL)::BIGINT AS no_activity, count_if(event_timestamp IS NULL)::BIGINT AS no_time,
         count(*) - count(DISTINCT event_id) AS repeats FROM ({_FAULTS[fault]}) GROUP BY 1)
@@ -515,8 +521,9 @@ _ORACLES: dict[str, str] = {
         'user <' || user_id || '>' AS case_name, event_type AS activity, 'user_' || (user_id % 10) AS resource_id,
         NULL::VARCHAR AS vendor_id, user_id % 2 = 0 AS goods_receipt_required, ts AS event_timestamp,
         value AS net_worth FROM events""",
-    "std_file_order_numbers": """SELECT 1::BIGINT AS least, count(*) AS greatest, count(*) AS numbers
-        FROM events""",
+    "std_file_order_numbers": f"""SELECT row_number() OVER (ORDER BY case_id, event_id // {SIZE}, event_id)
+            AS source_row_number, case_id, event_type AS activity, ts AS event_timestamp, true AS in_several_files
+        FROM (SELECT *, user_id::VARCHAR || '_' || ts::DATE::VARCHAR AS case_id FROM events)""",
     "src_canonical_scan": b("""SELECT event_year, event_month, count(*) AS event_count,
         count(resource_id) AS known_resources FROM canonical GROUP BY 1, 2"""),
     "snk_canonical_events": b("""SELECT event_id, case_id, activity, event_sequence, event_timestamp, event_year,
@@ -524,20 +531,32 @@ _ORACLES: dict[str, str] = {
     "snk_batch_files": a("""SELECT ingestion_batch_id, 1::BIGINT AS file_count, count(*) AS row_count,
         min(batch_row_number) AS first_row, max(batch_row_number) AS last_row, min(event_id) AS least_event_id,
         max(event_id) AS greatest_event_id FROM clean GROUP BY 1"""),
-    "src_landed_batches": a(f"""SELECT batch_id, true AS readable, NULL::VARCHAR AS read_message,
-        {len(RAW)}::BIGINT AS column_count FROM batches"""),
+    "src_landed_batches": a(f"""SELECT batch_id, batch_sequence % 4 IN (0, 3) AS readable,
+        CASE batch_sequence % 4 WHEN 1 THEN {_CUT} WHEN 2 THEN {_OVERWRITTEN} END AS read_message,
+        CASE batch_sequence % 4 WHEN 1 THEN 0 ELSE {len(RAW)} END::BIGINT AS column_count FROM batches"""),
     "src_manifest": a(f"""SELECT {_MANIFEST}, NULL::VARCHAR AS file_name, NULL::BIGINT AS file_size_bytes,
         NULL::VARCHAR AS sha256 FROM batches"""),
-    "src_file_inventory": a("SELECT batch_id, true AS has_bytes, 64::BIGINT AS digest_length FROM batches"),
-    "src_given_file_digests": """SELECT 'region' AS file, (SELECT count(*) FROM region) AS footer_rows
-        UNION ALL SELECT 'nation', (SELECT count(*) FROM nation) UNION ALL SELECT 'orders', (SELECT count(*) FROM orders)
-        UNION ALL SELECT 'lineitem', (SELECT count(*) FROM lineitem) UNION ALL SELECT 'events', (SELECT count(*) FROM events)""",
+    "src_file_inventory": a("""SELECT batch_id, true AS has_bytes, 64::BIGINT AS digest_length, true AS same_as_copy
+        FROM batches"""),
+    "src_given_file_digests": """SELECT parse_filename(filename) AS file_name, size AS file_size_bytes,
+        sha256(content) AS sha256 FROM read_blob('/root/testdata/sf0.01/*.parquet')""",
     "snk_raw_append": a("""SELECT event_id, case_id, ingestion_batch_sequence + i AS ingestion_batch_sequence,
         simulated_ingestion_date FROM clean, (VALUES (0), (1)) AS t(i)"""),
     "snk_replaced_tables": a("SELECT event_id, event_date, case_id, activity, process_event_sequence FROM staged"),
     "snk_audit_tables": a("""SELECT run AS run_id, batch_id, expected_rows, loaded_rows, status, message,
         load_timestamp_utc, load_timestamp_utc::DATE AS run_date
         FROM history, (VALUES ('run-1'), ('run-2')) AS t(run)"""),
+    "snk_table_layouts": a("""SELECT table_name, row_count::BIGINT AS row_count, 0::BIGINT AS crossing_files FROM (
+        SELECT 'raw_events' AS table_name, (SELECT count(*) FROM raw) AS row_count
+        UNION ALL SELECT 'staging_events', (SELECT count(*) FROM staged)
+        UNION ALL SELECT 'staging_cases', (SELECT count(*) FROM cases)
+        UNION ALL SELECT 'analytics_case_kpis', (SELECT count(*) FROM kpis)
+        UNION ALL SELECT 'analytics_activity_performance', (SELECT count(*) FROM activities)
+        UNION ALL SELECT 'analytics_transitions', (SELECT count(*) FROM transition_statistics)
+        UNION ALL SELECT 'history', (SELECT count(*) FROM history))"""),
+    "snk_event_samples": a("""SELECT report, event_id, case_id, clean_activity AS activity, event_timestamp, resource_id
+        FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS nth FROM clean)
+        JOIN (VALUES ('events', 5000), ('canonical', 1000)) AS t(report, most) ON nth <= most"""),
     "snk_reports": a(f"SELECT * FROM ({_CLEAN_PROFILE}) ORDER BY case_id LIMIT 1000"),
     # standardisation
     "std_renamed_columns": b(f"""SELECT source_row_number, '  ' || activity || chr(9) AS activity,
@@ -607,6 +626,10 @@ _ORACLES: dict[str, str] = {
         count_if(case_id_equals_case_name)::BIGINT AS cases_where_id_equals_name FROM label_rows"""),
     "prf_top_values": "\nUNION ALL ".join(
         f"({_top_values(f, _CUSTOMER_TYPES[f])})" for f in ("c_mktsegment", "c_nationkey", "c_name")),
+    "prf_field_profile": "\nUNION ALL ".join(
+        f"""SELECT column_name, data_type, null_count, unique_count,
+            string_agg(coalesce(value, 'NULL') || '=' || event_count, ';' ORDER BY value_rank) AS top_values
+        FROM ({_top_values(f, _CUSTOMER_TYPES[f])}) GROUP BY ALL""" for f in ("c_mktsegment", "c_nationkey", "c_name")),
     "prf_standardization_summary": b("""SELECT count(*) AS row_count, count(DISTINCT case_id) AS case_count,
         count(DISTINCT activity) AS activity_count, 25::BIGINT AS column_count,
         count_if(resource_id IS NULL)::BIGINT AS resource_missing_count_after_normalization,
@@ -697,7 +720,17 @@ _ORACLES: dict[str, str] = {
         {_STATUS_COUNTS.format('history')} AS status_counts, r.* FROM history,
         (SELECT {_RAW_METRICS} FROM raw) AS r GROUP BY ALL"""),
     # batch validation
-    "val_file_readable": _rules(["corrupted_parquet"]),
+    "val_file_readable": a(f"""SELECT batch_id AS dataset_name, batch_id, 'FILE_READABLE' AS rule_id, 'FAIL' AS status,
+            1::BIGINT AS failed_rows,
+            CASE batch_sequence % 4 WHEN 1 THEN {_CUT} WHEN 2 THEN {_OVERWRITTEN} ELSE {_ABSENT} END AS message
+        FROM batches WHERE batch_sequence % 4 > 0
+        UNION ALL SELECT dataset_name, batch_id, rule_id, status, failed_rows, message FROM ({_suite("clean")})
+        WHERE batch_id IN (SELECT batch_id FROM batches WHERE batch_sequence % 4 = 0)"""),
+    "val_schema_baseline": a("""SELECT batch_id AS dataset_name, batch_id, 'DQ_SCHEMA_COLUMNS' AS rule_id,
+        CASE batch_sequence WHEN 1 THEN 'PASS' ELSE 'FAIL' END AS status,
+        CASE batch_sequence WHEN 1 THEN 0 ELSE 1 END::BIGINT AS failed_rows,
+        CASE batch_sequence WHEN 1 THEN 'Schema matches baseline.' ELSE 'Unexpected columns: spend_area' END AS message
+        FROM batches"""),
     "val_schema_columns": _rules(["schema_drift"], "'DQ_SCHEMA_COLUMNS', 'DQ_NOT_NULL_ACTIVITY'"),
     "val_not_null": _rules(["missing_case_id", "missing_timestamp"], _NOT_NULL),
     "val_unique_event_id": _rules(["duplicate_events"], "'DQ_UNIQUE_EVENT_ID'"),
@@ -855,5 +888,19 @@ _ORACLES: dict[str, str] = {
 }
 
 
+_ORACLES["snk_json_summary"] = _ORACLES["prf_standardization_summary"]
+
+# The log as its XES files tell it: every event once, all resources known, years up to 2017 and 2020 apart.
+_XES_LOG = (
+    _A.replace("CASE WHEN event_id % 50 = 0 THEN 3 ELSE 2 END", "2")
+    .replace("CASE WHEN event_id % 4 <> 0 THEN 'user_' || (user_id % 10)::VARCHAR END AS resource_id",
+             "'user_' || (user_id % 10)::VARCHAR AS resource_id")
+    .replace("""CASE day(ts) WHEN 1 THEN 'edge_period_before_main_window' WHEN 30 THEN 'edge_period_after_main_window'
+            ELSE 'expected_period' END""",
+             "CASE WHEN year(ts) <= 2017 OR year(ts) = 2020 THEN 'outside' ELSE 'expected_period' END")
+)
+_ORACLES["run_source_to_overview"] = _ORACLES["ana_process_overview"].replace(_A, _XES_LOG)
+
+
 def all_oracles() -> dict[str, str]:
     return dict(_ORACLES)

@@ -9,12 +9,13 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.fixed_values import BATCH_RULES, FAULT_RULES
+from tracewright.fixed_values import BATCH_RULES
 from tracewright.functions.text import standard_text
 from tracewright.functions.time import parse_utc
 from tracewright.operators import analytics, ingest, monitor, profile, staging, standardize, validate
 from tracewright.operators.ordering import positions_in_group
-from tracewright.plans import load, publish
+from tracewright.plans import load, prepare, publish, scenarios
+from tracewright.plans.build import Databases, build_analytics, build_staging, run_monitoring
 from tracewright.schema import (
     LOAD_HISTORY,
     MANIFEST,
@@ -24,7 +25,7 @@ from tracewright.schema import (
     YearBounds,
 )
 from tracewright.shared_storage import settle, shared_folder
-from tracewright.sources import files, sinks, xes
+from tracewright.sources import files, sinks, storage, xes
 from tracewright.streaming.incremental_load import stream_landed
 from verification import logs
 from verification.logs import BATCH_SIZE, table
@@ -162,6 +163,9 @@ def write_xes(spark: SparkSession, sf_dir: str, path: str) -> None:
         )
         .groupBy("case_id", "user_id", "piece")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "e"))), lambda x: x["e"]).alias("event"))
+        # Four files in the order of their traces, so that the place of every event is known.
+        .repartitionByRange(4, "case_id", "piece")
+        .sortWithinPartitions("case_id", "piece")
         .selectExpr(
             "array(named_struct('_key', 'concept:name', '_value', case_id), "
             "named_struct('_key', 'Name', '_value', concat('user <', cast(user_id as string), '>'))) as string",
@@ -191,14 +195,17 @@ def src_xes_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def std_file_order_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row numbers of the XES log are dense."""
+    """Row numbers of an XES log of several files, and the event that each number belongs to."""
     path = shared_folder(spark)
     write_xes(spark, sf_dir, path)
-    numbered = standardize.numbered_file_rows(settle(xes.read_xes(spark, path)))
-    return numbered.agg(
-        F.min("source_row_number").alias("least"),
-        F.max("source_row_number").alias("greatest"),
-        F.count_distinct("source_row_number").alias("numbers"),
+    log = settle(xes.read_xes(spark, path))
+    several = log.agg((F.count_distinct("_file") >= 3).alias("in_several_files"))
+    return standardize.numbered_file_rows(log).crossJoin(F.broadcast(several)).select(
+        "source_row_number",
+        F.col("`case:concept:name`").alias("case_id"),
+        F.col("`concept:name`").alias("activity"),
+        parse_utc(F.col("`time:timestamp`"), log.schema["time:timestamp"].dataType).alias("event_timestamp"),
+        "in_several_files",
     )
 
 
@@ -244,8 +251,10 @@ def snk_batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_landed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, landed = landed_batches(spark, sf_dir)
-    return files.readability(files.file_inventory(spark, path), files.decoded_files(landed)).select(
+    """Batch files of which some are cut or overwritten in storage: what can be read of them."""
+    root, _ = delivered_files(spark, sf_dir, {0: "whole", 1: "cut", 2: "overwritten", 3: "whole"})
+    landed = files.read_landed(spark, root)
+    return files.readability(files.file_inventory(spark, root), files.decoded_files(landed)).select(
         "batch_id",
         "readable",
         "read_message",
@@ -267,21 +276,21 @@ def src_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def src_given_file_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows by the footers of given tables, each a folder of files or one file."""
-    names = ["region", "nation", "orders", "lineitem", "events"]
-    inventory = files.file_inventory(spark, [f"{sf_dir}/{n}.parquet" for n in names])
-    table_name = F.regexp_extract("path", "/([a-z]+)[.]parquet", 1)
-    facts = files.footer_facts(inventory)
-    return facts.groupBy(table_name.alias("file")).agg(F.sum("footer_rows").alias("footer_rows"))
+    """Name, size and SHA-256 of every given file."""
+    return files.file_inventory(spark, sf_dir, name_root=sf_dir).select("file_name", "file_size_bytes", "sha256")
 
 
 @query
 def src_file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, _ = landed_batches(spark, sf_dir)
-    return files.file_inventory(spark, path).select(
+    """Batch files as listed, streamed and as their footers say: the digest of each equals that of a copy."""
+    path, manifest = described_batches(spark, sf_dir)
+    root, _ = delivered_files(spark, sf_dir, dict.fromkeys(range(4), "whole"))
+    copies = files.file_inventory(spark, root).select("batch_id", F.col("sha256").alias("copied"))
+    return manifest.join(copies, "batch_id").select(
         "batch_id",
         (F.col("file_size_bytes") > 0).alias("has_bytes"),
         F.length("sha256").cast("bigint").alias("digest_length"),
+        (F.col("sha256") == F.col("copied")).alias("same_as_copy"),
     )
 
 
@@ -343,6 +352,64 @@ def snk_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).csv(path)
 
 
+@query
+def snk_event_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The samples of events (JSON) and of canonical rows (CSV), written and read back."""
+    path = shared_folder(spark)
+    events = standardize_user_days(spark, sf_dir).select(
+        "event_id", "case_id", "activity", "event_timestamp", "resource_id"
+    )
+    sinks.write_json(sinks.sample_rows(events, ["event_id"], sinks.SAMPLE_ROWS["events"]), f"{path}/events")
+    sinks.write_csv(sinks.sample_rows(events, ["event_id"], sinks.SAMPLE_ROWS["canonical"]), f"{path}/canonical")
+    reader = lambda: spark.read.schema(events.schema).option("timestampNTZFormat", files.REPORT_TIME)
+    back = {
+        "events": reader().json(f"{path}/events"),
+        "canonical": reader().option("header", True).csv(f"{path}/canonical"),
+    }
+    return back["events"].withColumn("report", F.lit("events")).unionByName(
+        back["canonical"].withColumn("report", F.lit("canonical"))
+    )
+
+
+@query
+def snk_json_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The standardisation summary written as JSON and read back."""
+    path = shared_folder(spark)
+    summary = profile.standardization_summary(classified_orders(spark, sf_dir))
+    sinks.write_json(summary, path)
+    back = spark.read.schema(summary.schema).option("timestampNTZFormat", files.REPORT_TIME).json(path)
+    return _flat_quality_counts(back)
+
+
+@query
+def snk_table_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven layouts: rows by the footers, and files whose key range crosses that of the one before."""
+    name, folder = _databases(spark)
+    log = UserDays(spark, sf_dir).written()
+    sinks.append_raw(log.raw, f"{name}.raw_events")
+    tables = {
+        "staging.events": log.events,
+        "staging.cases": log.cases,
+        "analytics.case_kpis": log.kpis,
+        "analytics.activity_performance": analytics.activity_performance(log.events),
+        "analytics.transitions": analytics.transitions(log.events),
+    }
+    for layout, df in tables.items():
+        sinks.replace_table(df, f"{name}.{layout.replace('.', '_')}", layout)
+    sinks.ensure_audit_table(spark, f"{name}.history", LOAD_HISTORY, "load_timestamp_utc")
+    sinks.append_audit(load_history(spark, sf_dir), f"{name}.history", LOAD_HISTORY, "load_timestamp_utc")
+    keys = {"raw_events": "case_id", "history": "batch_id"}
+    keys |= {layout.replace(".", "_"): sinks.LAYOUTS[layout].cluster_by[0] for layout in tables}
+    parts = [
+        sinks.key_range_summary(spark, f"{folder}/{table}", key).withColumn("table_name", F.lit(table))
+        for table, key in keys.items()
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result.select("table_name", "row_count", "crossing_files")
+
+
 # -- standardisation -----------------------------------------------------------------------------
 
 
@@ -528,9 +595,21 @@ def prf_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.top_values(table(spark, sf_dir, "customer"), fields)
 
 
+@query
+def prf_field_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per field; its most frequent values as text, best first."""
+    fields = ["c_mktsegment", "c_nationkey", "c_name", "not_there"]
+    nested = profile.field_profile(table(spark, sf_dir, "customer"), fields)
+    entry = lambda e: F.concat_ws("=", F.coalesce(e["value"], F.lit("NULL")), e["event_count"].cast("string"))
+    return nested.withColumn("top_values", F.array_join(F.transform("top_values", entry), ";"))
+
+
 @query
 def prf_standardization_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = profile.standardization_summary(classified_orders(spark, sf_dir))
+    return _flat_quality_counts(profile.standardization_summary(classified_orders(spark, sf_dir)))
+
+
+def _flat_quality_counts(summary: DataFrame) -> DataFrame:
     entries = F.transform(
         F.array_sort(F.map_entries("timestamp_quality_counts")),
         lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")),
@@ -597,24 +676,34 @@ def ing_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def described_batches(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     """Batch files and their manifest with fingerprints."""
     path, landed = landed_batches(spark, sf_dir)
-    inventory = settle(files.file_inventory(spark, path, name_root=path).drop("footer"))
+    inventory = settle(files.file_inventory(spark, path, name_root=path))
     return path, settle(ingest.batch_manifest(landed, inventory))
 
 
-@query
-def ing_file_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest against the files, with sizes and digests altered and batches lost on the way."""
+def delivered_files(spark: SparkSession, sf_dir: str, kinds: dict[int, str]) -> tuple[str, DataFrame]:
+    """Copies of the batch files, each damaged by its batch's number modulo 4 (none: not copied)."""
     path, manifest = described_batches(spark, sf_dir)
-    kind = F.col("batch_sequence") % 4
-    found = files.file_inventory(spark, path).join(manifest.select("batch_id", "batch_sequence"), "batch_id")
-    found = found.withColumns(
-        {
-            "batch_id": F.when(kind == 1, F.concat(F.lit("lost_"), "batch_id")).otherwise(F.col("batch_id")),
-            "file_size_bytes": F.col("file_size_bytes") + F.when(kind == 2, 1).otherwise(0),
-            "sha256": F.when(kind == 3, F.reverse("sha256")).otherwise(F.col("sha256")),
-        }
+    root = shared_folder(spark)
+    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[(F.col("batch_sequence") % 4).cast("int")]
+    plan = (
+        files.listed_files(spark, path)
+        .join(manifest.select("batch_id", kind.alias("kind")), "batch_id")
+        .where(F.col("kind").isNotNull())
+        .select(
+            F.col("path").alias("source"),
+            F.format_string(f"{publish.qualified(spark, root)}/%s/events.parquet", "batch_id").alias("target"),
+            "kind",
+        )
     )
-    return ingest.file_integrity(manifest, found).select("batch_id", "integrity")
+    settle(storage.copied(plan, scenarios.copy_tasks(spark, plan)))
+    return root, manifest
+
+
+@query
+def ing_file_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest against landed files of which some were lost, cut or altered in storage."""
+    root, manifest = delivered_files(spark, sf_dir, {0: "whole", 2: "cut", 3: "overwritten"})
+    return ingest.file_integrity(manifest, files.file_inventory(spark, root)).select("batch_id", "integrity")
 
 
 def publish_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -845,21 +934,12 @@ def ing_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- batch validation ----------------------------------------------------------------------------
 
-FAULTY_ROWS = {"duplicate_events": 25, "missing_case_id": 10, "missing_timestamp": 5}
-
 
 def delivered(spark: SparkSession, sf_dir: str, fault: str) -> DataFrame:
-    """All batches with one fault in each of them."""
+    """All batches with one fault of rows in each of them."""
     batches = logs.user_day_raw(spark, sf_dir)
-    if fault == "duplicate_events":
-        return validate.with_repeated_rows(batches, FAULTY_ROWS[fault])
-    if fault == "missing_case_id":
-        return validate.with_missing_values(batches, "case_id", FAULTY_ROWS[fault])
-    if fault == "missing_timestamp":
-        return validate.with_missing_values(batches, "event_timestamp", FAULTY_ROWS[fault])
-    if fault == "schema_drift":
-        return validate.with_renamed_column(batches, "activity", "activity_name")
-    return batches
+    change = scenarios.FAULTS[fault].rows if fault in scenarios.FAULTS else None
+    return change(batches) if change else batches
 
 
 def suite_results(
@@ -874,13 +954,12 @@ def suite_results(
     if fault == "schema_drift":
         landed = landed.withColumn("activity", F.lit(None).cast("string"))
     label = F.col("batch_id") if fault == "clean" else F.concat_ws("/", F.lit(fault), "batch_id")
-    unreadable = fault == "corrupted_parquet"
     expected = manifest.select(
         label.alias("dataset_name"),
         "batch_id",
         F.col("row_count").alias("expected_rows"),
-        F.lit(not unreadable).alias("readable"),
-        F.lit("ArrowInvalid: not a file" if unreadable else None).cast("string").alias("read_message"),
+        F.lit(True).alias("readable"),
+        F.lit(None).cast("string").alias("read_message"),
         columns.alias("columns"),
     )
     processed = None
@@ -889,23 +968,21 @@ def suite_results(
     return validate.rule_results(validate.facts(expected, validate.measured(landed), processed), RAW.names)
 
 
-def fault_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = settle(manifest_of(logs.user_day_raw(spark, sf_dir)))
-    parts = [suite_results(spark, sf_dir, fault, manifest) for fault in FAULT_RULES]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+def fault_results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rule results of all scenario trees, and the scenario manifest; the baseline is the first clean batch."""
+    path, manifest = described_batches(spark, sf_dir)
+    root = shared_folder(spark)
+    described = settle(scenarios.deliver_scenarios(spark, path, manifest, root))
+    baseline = publish.baseline_columns(spark, path, manifest)
+    return scenarios.validate_scenarios(spark, root, described, baseline), described
 
 
 def validated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    clean = settle(suite_results(spark, sf_dir, "clean"))
-    faulty = settle(fault_results(spark, sf_dir))
-    return (
-        validate.clean_results(clean),
-        validate.scenario_results(faulty, F.substring_index("dataset_name", "/", 1), FAULT_RULES),
-        clean.unionByName(faulty),
-    )
+    path, manifest = described_batches(spark, sf_dir)
+    clean = settle(publish.validate_files(spark, path, manifest))
+    results, described = fault_results(spark, sf_dir)
+    faulty = settle(results)
+    return validate.clean_results(clean), scenarios.detected(faulty, described), clean.unionByName(faulty)
 
 
 def _rules(results: DataFrame, *rules: str) -> DataFrame:
@@ -916,7 +993,21 @@ def _rules(results: DataFrame, *rules: str) -> DataFrame:
 
 @query
 def val_file_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rules(suite_results(spark, sf_dir, "corrupted_parquet"), *BATCH_RULES)
+    """The suite over batch files that were cut, overwritten or emptied in storage."""
+    root, manifest = delivered_files(spark, sf_dir, {0: "whole", 1: "cut", 2: "overwritten", 3: "emptied"})
+    return _rules(publish.validate_files(spark, root, manifest, RAW.names), *BATCH_RULES)
+
+
+@query
+def val_schema_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first batch lacks a column, and so all others differ from it."""
+    root = shared_folder(spark)
+    batches = user_day_batches(spark, sf_dir)
+    first = F.col("ingestion_batch_sequence") == 1
+    sinks.write_batches(batches.where(first).drop("spend_area"), f"{root}/first")
+    sinks.write_batches(batches.where(~first), f"{root}/others")
+    results = publish.validate_files(spark, root, manifest_of(batches))
+    return _rules(results, "DQ_SCHEMA_COLUMNS")
 
 
 @query
@@ -985,9 +1076,7 @@ def val_clean_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def val_fault_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.scenario_results(
-        fault_results(spark, sf_dir), F.substring_index("dataset_name", "/", 1), FAULT_RULES
-    )
+    return scenarios.detected(*fault_results(spark, sf_dir))
 
 
 @query
@@ -1381,3 +1470,40 @@ def ana_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
         analytics.activity_performance(events),
         analytics.transition_statistics(events),
     )
+
+
+# -- whole run -----------------------------------------------------------------------------------
+
+
+@query
+def run_source_to_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From XES files to the process overview, through every layer and every gate on the way."""
+    name, folder = _databases(spark)
+    db = Databases(*(f"{name}_{layer}" for layer in ("raw", "staging", "analytics", "monitoring")))
+    db.create(spark, folder)
+    write_xes(spark, sf_dir, f"{folder}/source")
+    events = prepare.standardize_log(
+        xes.read_xes(spark, f"{folder}/source"), source_file="events.xes", pipeline_batch_id="run", processed_at=RUN_AT
+    )
+    sinks.write_canonical(events, f"{folder}/canonical")
+    canonical = files.read_canonical(spark, f"{folder}/canonical")
+    batches = f"{folder}/batches"
+    manifest = prepare.deliver_batches(spark, canonical, batches, PLAN)
+    clean = settle(publish.validate_files(spark, batches, manifest))
+    damaged = settle(scenarios.deliver_scenarios(spark, batches, manifest, f"{folder}/invalid"))
+    baseline = publish.baseline_columns(spark, batches, manifest)
+    faulty = settle(scenarios.validate_scenarios(spark, f"{folder}/invalid", damaged, baseline))
+    per_batch = validate.clean_results(clean)
+    summary = validate.validation_summary(per_batch, scenarios.detected(faulty, damaged), clean.unionByName(faulty))
+    gate = settle(ingest.publish_gate(summary, per_batch))
+    ingest.require_published(publish.publish(spark, manifest, batches, f"{folder}/landing", gate))
+    loaded = load.load_batches(
+        spark, files.read_landed(spark, f"{folder}/landing").drop("landed_path"), manifest, raw=f"{db.raw}.events",
+        history=f"{db.raw}.batch_load_history", run_id=RUN_ID, loaded_at=RUN_AT, landing_root=f"{folder}/landing",
+        inventory=files.file_inventory(spark, f"{folder}/landing"),
+    )
+    ingest.require_loaded(loaded)
+    build_staging(spark, db)
+    build_analytics(spark, db, exact=True, calculated_at=RUN_AT)
+    run_monitoring(spark, RUN_ID, RUN_AT, db)
+    return spark.table(f"{db.analytics}.process_overview")
