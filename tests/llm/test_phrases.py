@@ -81,7 +81,7 @@ def test_long_texts_are_counted_across_steps(spark, monkeypatch):
     words = phrases.marked([rows[0][1]]).split()
     monkeypatch.setattr(phrases, "STEP", 7)
     parts = [known.numbers(words[k : k + 10]) for k in range(0, len(words), 7)]
-    tables = [list(phrases._sequences(p, "en", known, _All(), _All())) for p in parts]
+    tables = [[*phrases._short(p, "en", known, _All(), _All()), *phrases._fours(p, "en", known, _All())] for p in parts]
     assert [sum(len(t[k]) for t in tables) for k in range(4)] == [2000, 1999, 1998, 1997]
 
 
@@ -105,7 +105,12 @@ def test_a_hot_phrase_is_counted_once_per_task(spark):
     pairs = phrases.hash_counts(texts, words, phrases.PhraseRule())
     assert sorted((r.hash, r.f) for r in pairs.groupBy("hash").sum("f").toDF("hash", "f").collect() if r.f)[0][1] in (2000, 4000)
     table = phrases.frequent_table(pairs.where("hash is not null").select("hash"), phrases.PhraseRule())
-    assert phrases.counted_runs(texts, words, table, phrases.PhraseRule()).count() <= 7 * 8
+    runs = phrases.counted_runs(texts, (words, table), phrases.PhraseRule())
+    assert runs.count() <= 6 * 8
+    threes = phrases.frequent_table(phrases.with_hash(runs.where("size(split(phrase, ' ')) = 3"), 3), phrases.PhraseRule())
+    assert {(r.phrase, r.f) for r in phrases.merged(phrases.counted_runs(texts, (threes,), phrases.PhraseRule())).collect()} == {
+        ("again and again and", 2000)
+    }
     top = {r.phrase: r for r in phrases.collocations(docs).collect()}
     assert top["again and again and"].a == 2000 and top["again and again and"].n == 8000
 

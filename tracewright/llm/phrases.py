@@ -1,9 +1,9 @@
 """Phrase collocation mining: exact counts of word sequences, and phrases that hold together.
 
 No sequence is frequent with a part that is not. Hashes of words, and then of pairs of frequent words, are
-counted first, which leaves few sequences to be counted exactly: words that may be frequent, and
-sequences of two to four words of which every pair may be. A hash counts for all that share it, so nothing
-frequent is left out.
+counted first, which leaves few sequences to be counted exactly: words that may be frequent, two and
+three words of which every pair may be, and at last four words of which both threes are. A hash counts for
+all that share it, so nothing frequent is left out.
 
 A task counts sequences in a trie of hash containers and spills whole subtrees as sorted runs; runs are
 range-partitioned by their words, so that equal prefixes lie together and a prefix with very many sequences
@@ -203,35 +203,60 @@ class _HashCounts:
         return len(self.hashes)
 
 
-def _sequences(numbers: np.ndarray, language: str, known: Vocabulary, words: FrequentTable, pairs: FrequentTable):
-    """Tables of four word numbers (zeros at the end): words and sequences that may be frequent."""
+def _filled(numbers: np.ndarray, keep: np.ndarray, n: int) -> np.ndarray:
+    """A table of four word numbers (zeros at the end) of the sequences of ``n`` words that are kept."""
+    starts = np.flatnonzero(keep[:STEP])
+    columns = [numbers[starts + k] if k < n else np.zeros(len(starts), np.int64) for k in range(LONGEST)]
+    return np.stack(columns, axis=1)
 
-    def fill(keep: np.ndarray, n: int) -> np.ndarray:
-        starts = np.flatnonzero(keep[:STEP])
-        columns = [numbers[starts + k] if k < n else np.zeros(len(starts), np.int64) for k in range(LONGEST)]
-        return np.stack(columns, axis=1)
 
+def _held(numbers: np.ndarray, language: str, known: Vocabulary, inside: np.ndarray, n: int, table: FrequentTable):
+    """Where ``n`` words in a row, all of them ``inside``, are in the table."""
+    found = np.zeros(max(len(numbers) - n + 1, 0), bool)
+    starts = np.flatnonzero(np.logical_and.reduce([inside[k : len(numbers) - n + 1 + k] for k in range(n)]))
     hashes = known.hashes()
-    frequent = words.holds(sequence_hash(language, [hashes]))
-    frequent[0] = False
-    single = frequent[numbers]
-    yield fill(single, 1)
-    candidates = np.flatnonzero(single[:-1] & single[1:])
-    good = np.zeros(max(len(numbers) - 1, 0), bool)
-    both = [hashes[numbers[candidates]], hashes[numbers[candidates + 1]]]
-    good[candidates] = pairs.holds(sequence_hash(language, both))
-    yield fill(good, 2)
-    triple = good[:-1] & good[1:]
-    yield fill(triple, 3)
-    yield fill(triple[:-1] & good[2:], 4)
-
-
-def counted_runs(texts: DataFrame, words: FrequentTable, pairs: FrequentTable, rule: PhraseRule) -> DataFrame:
-    """(lang, phrase, f) of every task: sorted runs of whole subtrees, to be merged."""
-    shared = texts.sparkSession.sparkContext.broadcast((words.table, pairs.table))
+    found[starts] = table.holds(sequence_hash(language, [hashes[numbers[starts + k]] for k in range(n)]))
+    return found
+
+
+def _short(numbers: np.ndarray, language: str, known: Vocabulary, words: FrequentTable, pairs: FrequentTable):
+    """Tables of the words, twos and threes that may be frequent."""
+    single = _held(numbers, language, known, numbers > 0, 1, words)
+    pair = _held(numbers, language, known, single, 2, pairs)
+    yield _filled(numbers, single, 1)
+    yield _filled(numbers, pair, 2)
+    yield _filled(numbers, pair[:-1] & pair[1:], 3)
+
+
+def _fours(numbers: np.ndarray, language: str, known: Vocabulary, threes: FrequentTable):
+    """The table of four words of which both threes may be frequent."""
+    three = _held(numbers, language, known, numbers > 0, 3, threes)
+    yield _filled(numbers, three[:-1] & three[1:], 4)
+
+
+def with_hash(sequences: DataFrame, n: int) -> DataFrame:
+    """(hash) of (lang, phrase) rows of ``n`` words."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for language, phrases in _by_language(batch):
+                words = word_hashes(words_of(" ".join(phrases).encode("utf-8", "surrogatepass"))).reshape(-1, n)
+                found = sequence_hash(language, list(words.T))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["hash"])
+
+    return sequences.select("lang", "phrase").mapInArrow(hashed, "hash bigint")
+
+
+def counted_runs(texts: DataFrame, tables: tuple[FrequentTable, ...], rule: PhraseRule) -> DataFrame:
+    """(lang, phrase, f) of every task: sorted runs of whole subtrees, to be merged.
+
+    ``tables``: those of words and of twos, for sequences of up to three words, or that of threes, for four.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast([t.table for t in tables])
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = map(FrequentTable, shared.value)
+        tables = list(map(FrequentTable, shared.value))
+        found_in = _short if len(tables) == 2 else _fours
         known, trie = Vocabulary(), HatTrie()
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
@@ -249,7 +274,7 @@ def counted_runs(texts: DataFrame, words: FrequentTable, pairs: FrequentTable, r
                 found = marked(part).split()
                 for k in range(0, len(found), STEP):
                     numbers = known.numbers(found[k : k + STEP + LONGEST - 1])
-                    for sequences in _sequences(numbers, language, known, words, pairs):
+                    for sequences in found_in(numbers, language, known, *tables):
                         trie.add(language, sequences)
                     if len(known.words) > rule.vocabulary:
                         yield from spilled(0)
@@ -299,8 +324,11 @@ def frequent_sequences(docs: DataFrame, rule: PhraseRule = PhraseRule()) -> tupl
     words = frequent_table(counted.where(F.col("hash").isNotNull() & enough), rule)
     pairs = hash_counts(texts, words, rule).groupBy("hash").agg(F.sum("f").alias("f")).where(enough)
     table = frequent_table(settle(pairs.select("hash")), rule)
-    found = settle(merged(counted_runs(texts, words, table, rule)).where(enough))
-    return found.withColumn("size", F.size(F.split("phrase", " "))), totals
+    size = F.size(F.split("phrase", " "))
+    short = settle(merged(counted_runs(texts, (words, table), rule)).where(enough).withColumn("size", size))
+    threes = frequent_table(settle(with_hash(short.where("size = 3"), 3)), rule)
+    fours = settle(merged(counted_runs(texts, (threes,), rule)).where(enough).withColumn("size", size))
+    return short.union(fours), totals
 
 
 def _exact(number: Column) -> Column:
