@@ -426,6 +426,9 @@ def test_passages_in_several_texts_of_a_document_and_hot_anchors(spark, rule):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = substring_dedup.dedup_passages(df, rule)
     assert results(found, "doc_id", "n_words", "n_removed", "kept_text") == without_passages(rows)
+    texts = df.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text").where("doc_id in (1, 5, 6, 7)")
+    spans = {(r.doc_id, len(r.spans)): [tuple(x) for x in r.spans] for r in substring_dedup.repeated_spans(texts, rule).collect()}
+    assert spans[5, 1] in ([(60, 88)], [(0, 28)]) and spans[7, 2] == [(0, 28), (41, 69)]
 
 
 def test_an_anchor_that_is_too_full_is_cut_by_wider_ones(spark):

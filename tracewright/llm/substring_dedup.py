@@ -268,12 +268,18 @@ def repeated_spans(docs: DataFrame, rule: PassageRule = PassageRule()) -> DataFr
         ),
         lambda x: x.isNotNull(),
     )
+    # Every window is in one segment, so the spans of a text are apart; those that meet become one.
+    spans = F.col("spans")
+    opens = F.filter(spans, lambda x, k: (k == 0) | (F.get(spans, k - 1)["end"] < x["start"]))
+    closes = F.filter(spans, lambda x, k: (k == F.size(spans) - 1) | (F.get(spans, k + 1)["start"] > x["end"]))
+    joined = F.zip_with(opens, closes, lambda a, b: F.struct(a["start"].alias("start"), b["end"].alias("end")))
     return (
         places.join(settle(holders(classes, rule)), "digest")
         .select("doc_id", "row", "at", lost.alias("lost"))
         .where(F.exists("lost", lambda x: x))
         .groupBy("doc_id", "row")
         .agg(F.array_sort(F.flatten(F.collect_list(edges))).alias("spans"))
+        .select("doc_id", "row", joined.alias("spans"))
     )
 
 
