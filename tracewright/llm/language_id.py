@@ -43,13 +43,15 @@ _CHUNK = 1 << 20
 
 @dataclass(frozen=True)
 class LanguageRule:
-    """``per_language`` bounds the training sample: at most so many labelled documents a language.
+    """``per_language`` bounds the training sample: at most so many labelled documents a language, and
+    ``most_languages`` how many labels are learned.
 
     ``slack`` is the part of the lowest score of known documents that a document must reach, and
     ``least_calibrated`` how many of them are needed to tell that score.
     """
 
     per_language: int = 400
+    most_languages: int = 100
     penalty: float = 4.0
     rounds: int = 30
     slack: float = 0.8
@@ -161,10 +163,14 @@ def has_letter(text):
 def fit(docs: DataFrame, rule: LanguageRule = LanguageRule()) -> LanguageModel:
     """A model from the labelled rows of ``docs`` (doc_id, lang, text).
 
-    Each machine is fitted in a task of its own from its bounded part of the sample; the weights of
-    all machines reach the driver.
+    Only the ``most_languages`` most frequent labels are learned, so that stray ones don't make machines
+    without number. Each machine is fitted in a task of its own from its bounded part of the sample; the
+    weights of all machines reach the driver.
     """
-    languages = sorted(r[0] for r in docs.where(F.col("lang").isNotNull()).select("lang").distinct().collect())
+    counted = docs.where(F.col("lang").isNotNull()).groupBy("lang").count()
+    common = counted.orderBy(F.desc("count"), "lang").limit(rule.most_languages).collect()
+    languages = sorted(r["lang"] for r in common)
+    docs = docs.where(F.col("lang").isin(languages))
     model = LanguageModel(languages)
     for lang in languages:
         model.families.setdefault(family(lang), []).append(lang)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.llm.text import bucket_of
@@ -164,6 +164,19 @@ def scored_words(words: DataFrame, lattice: Lattice, train_tokens: int, distinct
     )
 
 
+def most_frequent(words: DataFrame, limit: int) -> DataFrame:
+    """The words whose total is above all but about ``limit`` of them: at most ``limit`` rows.
+
+    The least total comes from how many words have each total, which is a small table, so that no task
+    sends its own best words on. Words that are equally frequent come in all or not at all.
+    """
+    totals = words.groupBy("total").agg(F.count(F.lit(1)).alias("n"))
+    most_first = Window.orderBy(F.desc("total")).rowsBetween(Window.unboundedPreceding, 0)
+    fitting = totals.withColumn("so_far", F.sum("n").over(most_first)).where(F.col("so_far") <= limit)
+    least = fitting.agg(F.min("total")).first()[0]
+    return words.where(F.col("total") >= F.lit(least).cast("bigint"))
+
+
 def scores(docs: DataFrame, model_file: str, head_words: int = HEAD_WORDS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -184,7 +197,7 @@ def scores(docs: DataFrame, model_file: str, head_words: int = HEAD_WORDS) -> Da
     table = settle(scored_words(words, lattice, train_tokens, distinct))
     head = {
         r["word"].encode("utf-8"): (r["train"] > 0, r["base"], r["marginal"])
-        for r in table.orderBy(F.desc("total"), "word").limit(head_words).collect()
+        for r in most_frequent(table, head_words).collect()
     }
     shared = spark.sparkContext.broadcast(head)
     end_known = int(train_docs > 0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tracewright.llm.quality_rules import STOP_WORDS, THRESHOLDS
+
 _WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -108,9 +110,82 @@ SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN totals USING
 """
 
 
+_PASSES = " AND ".join(
+    f"coalesce({bound}, true)"
+    for rule in THRESHOLDS
+    for bound in (
+        *([f"{rule.name} >= {rule.low}"] if rule.low is not None else []),
+        *([f"{rule.name} <= {rule.high}"] if rule.high is not None else []),
+    )
+)
+_BLANK = "[\\x20\\x09-\\x0D]"
+
+QUALITY_RULES = f"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANK}+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l
+  FROM documents
+), windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) > 3)
+), repeated AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS times FROM windows),
+    range(0, 3) places(k) WHERE times > 1 GROUP BY r
+), counts AS (
+  SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, length(t) - length(replace(t, '!', '')) AS n_exclaims,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
+    len(list_filter(l, lambda x: regexp_matches(x, '^{_BLANK}*[-*•]{_BLANK}'))) AS n_bullets,
+    len(list_filter(l, lambda x: regexp_matches(x, '([.][.][.]|…){_BLANK}*$'))) AS n_ellipses,
+    len(list_filter(w, lambda x: lower(rtrim(x, '.,;:!?')) IN ({", ".join(f"'{w}'" for w in STOP_WORDS)}))) AS n_stop
+  FROM split LEFT JOIN repeated USING (r)
+), measures AS (
+  SELECT *, word_chars / nullif(n_words, 0) AS mean_word_chars, n_symbols / nullif(n_words, 0) AS symbol_word_ratio,
+    n_exclaims / nullif(n_words, 0) AS exclaim_word_ratio, n_stop / nullif(n_words, 0) AS stop_word_ratio,
+    n_dup_lines / nullif(n_lines, 0) AS dup_line_ratio, n_bullets / nullif(n_lines, 0) AS bullet_line_ratio,
+    n_ellipses / nullif(n_lines, 0) AS ellipsis_line_ratio,
+    n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+  FROM counts
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND {_PASSES} AS kept
+FROM measures
+"""
+
+_ITEM_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATION = f"""
+WITH items AS (
+  SELECT item_id, w, least(len(w), 13) AS n FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark) WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS g
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM items)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_ITEM_WORDS} AS w FROM documents
+), held AS (
+  SELECT r, s, n, g FROM (
+    SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS g FROM (
+      SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+    )
+  ) SEMI JOIN windows USING (n, g)
+), hits AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM held) GROUP BY r
+), found AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM held JOIN windows USING (n, g)) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op2_line_dedup": LINE_DEDUP,
+        "op4_quality_rules": QUALITY_RULES,
+        "op6_decontamination": DECONTAMINATION,
         "op11_centroid_clusters": CENTROID_CLUSTERS,
         "op12_phrases": PHRASES,
     }

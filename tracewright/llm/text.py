@@ -66,6 +66,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def broadcast_if_small(settled: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """The table with a broadcast hint if its counted rows are few, otherwise as it is."""
-    return F.broadcast(settled) if settled.limit(max_rows + 1).count() <= max_rows else settled
+def broadcast_if_small(settled: DataFrame, max_rows: int = 500_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """The table with a broadcast hint if its counted rows and bytes are few, otherwise as it is."""
+    if settled.limit(max_rows + 1).count() > max_rows:
+        return settled
+    size = settled.agg(F.sum(F.octet_length(F.to_json(F.struct(*settled.columns))))).first()[0]
+    return F.broadcast(settled) if (size or 0) <= max_bytes else settled
