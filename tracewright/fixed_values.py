@@ -103,6 +103,7 @@ EDGE_BEFORE = "edge_period_before_main_window"
 EDGE_AFTER = "edge_period_after_main_window"
 INVALID_TIMESTAMP = "invalid_timestamp"
 
+# The name of an event without activity, and what parts the activities of a variant.
 MISSING_ACTIVITY_LABEL = "<MISSING_ACTIVITY>"
 VARIANT_SEPARATOR = " -> "
 

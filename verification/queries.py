@@ -643,9 +643,9 @@ def ing_key_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ing_chronological_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order events, with many equal times and unreadable ones, cut into batches."""
-    return ingest.chronological_batches(canonical_orders(spark, sf_dir), PLAN).select(
-        "event_id", "ingestion_batch_id", "batch_row_number"
-    )
+    # The columns that are wanted go in: the ranking writes what it is given.
+    events = canonical_orders(spark, sf_dir).select("event_id", "event_timestamp", "source_row_number")
+    return ingest.chronological_batches(events, PLAN).select("event_id", "ingestion_batch_id", "batch_row_number")
 
 
 @query
