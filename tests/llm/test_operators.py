@@ -133,6 +133,15 @@ def test_token_files(spark, docs, none, tmp_path):
     assert token_files.with_starts(token_files.read_tokens(spark, str(tmp_path / "e"))).count() == 0
 
 
+def test_a_look_up_reads_few_rows_of_the_token_files(spark, tmp_path):
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    token_files.write_tokens(docs.coalesce(1), str(tmp_path / "t"), public_tokenizers.path("byte_bpe_50k.json"))
+    found = token_files.read_tokens(spark, str(tmp_path / "t")).where("doc_id = 4321")
+    assert [r.doc_id for r in found.collect()] == [4321]
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert 0 < scan.metrics().apply("numOutputRows").value() <= 1_000
+
+
 def test_quality_rules(docs, none):
     expected = Counter()
     for doc_id, text, *_ in DATA:
