@@ -50,9 +50,9 @@ class PhraseRule:
     min_count: int = 30
     cover_percent: int = 80
     top: int = 2000
-    trie_entries: int = 600_000
-    vocabulary: int = 400_000
-    hashes: int = 1 << 21
+    trie_entries: int = 400_000
+    vocabulary: int = 300_000
+    hashes: int = 1 << 20
     most_bits: int = 1 << 28
     salts: int = 64
 
@@ -183,7 +183,7 @@ class _HashCounts:
     @property
     def size(self) -> int:
         """Different hashes, after adding up what is new if it might be too much."""
-        if self.n_new > max(len(self.hashes), 1 << 19):
+        if self.n_new > max(len(self.hashes), 1 << 18):
             self.merge()
         return len(self.hashes)
 
