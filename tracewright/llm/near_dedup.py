@@ -7,16 +7,21 @@ from dataclasses import dataclass
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.llm import word_windows
 from tracewright.llm.components import components
-from tracewright.llm.shingles import WordHashes, mixed, shingle_hashes, word_hashes
+from tracewright.llm.shingles import mixed, shingle_hashes
 from tracewright.llm.text import broadcast_if_small, whole
 from tracewright.shared_storage import settle
 
 
+#: Pairs of texts that are compared before their verdicts are handed on.
+PART = 200
+
+
 @dataclass(frozen=True)
 class NearRule:
     """Linked: ``100 * intersection >= percent * union`` of the sets of word shingles.
@@ -68,22 +73,32 @@ def band_hashes(signature: np.ndarray, rule: NearRule) -> np.ndarray:
     return folded.view(np.int64)
 
 
+def shingle_sets(texts: pa.Array, rule: NearRule) -> Iterator[list[np.ndarray]]:
+    """The sorted shingle hashes of texts, in parts of about a megabyte, so that a batch is never held whole."""
+    for _, part in word_windows.parts(texts):
+        found = word_windows.words(part, lower=True)
+        hashes = word_windows.word_hashes(found)
+        ends = [*found.first_of_text[1:].tolist(), len(hashes)]
+        yield [
+            np.unique(shingle_hashes(hashes[a:b], rule.shingle_words)) for a, b in zip(found.first_of_text.tolist(), ends)
+        ]
+
+
 def signatures(docs: DataFrame, rule: NearRule) -> DataFrame:
     """(doc_id, row, n_shingles, digest, bands): set size, digest of the set, one hash per band."""
 
-    @F.pandas_udf("struct<n_shingles:bigint,digest:binary,bands:array<bigint>>")
-    def signed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
-        for texts in batches:
-            rows = []
-            for text in texts:
-                found = np.unique(shingle_hashes(word_hashes(text, known, lower=True), rule.shingle_words))
-                if len(found):
-                    bands = band_hashes(circulant_minhash(found, rule.coordinates), rule)
-                    rows.append((len(found), blake2b(found.tobytes(), digest_size=16).digest(), bands))
-                else:
-                    rows.append((0, None, None))
-            yield pd.DataFrame(rows, columns=["n_shingles", "digest", "bands"])
+    kinds = {"n_shingles": pa.int64(), "digest": pa.binary(), "bands": pa.list_(pa.int64())}
+
+    @F.arrow_udf("struct<n_shingles:bigint,digest:binary,bands:array<bigint>>")
+    def signed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for sets in shingle_sets(batch, rule):
+                columns = [
+                    [len(found) for found in sets],
+                    [blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets],
+                    [band_hashes(circulant_minhash(x, rule.coordinates), rule) if len(x) else None for x in sets],
+                ]
+                yield pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], list(kinds))
 
     return docs.select("doc_id", "row", signed(F.col("text")).alias("s")).select("doc_id", "row", "s.*")
 
@@ -133,21 +148,22 @@ def links_of_documents(signed: DataFrame, classes: DataFrame) -> DataFrame:
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: NearRule) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
 
-    @F.pandas_udf("boolean")
-    def similar(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known = WordHashes()
-        shingles = lambda t: np.unique(
-            shingle_hashes(word_hashes(t, known, lower=True), rule.shingle_words)
-        )
+    def shingles(text: str | None) -> np.ndarray:
+        return next(shingle_sets(pa.array([text], pa.string()), rule))[0]
+
+    @F.arrow_udf("boolean")
+    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        last, held = None, None
         for firsts, seconds in batches:
-            verdicts, last, held = [], None, None
-            for first, second in zip(firsts, seconds):
-                if last != first:
-                    last, held = first, shingles(first)
-                other = shingles(second)
-                both = len(np.intersect1d(held, other, assume_unique=True))
-                verdicts.append(100 * both >= rule.percent * (len(held) + len(other) - both))
-            yield pd.Series(verdicts, dtype=bool)
+            for k in range(0, len(firsts), PART):
+                verdicts = []
+                for first, second in zip(firsts[k : k + PART].to_pylist(), seconds[k : k + PART].to_pylist()):
+                    if held is None or last != first:
+                        last, held = first, shingles(first)
+                    other = shingles(second)
+                    both = len(np.intersect1d(held, other, assume_unique=True))
+                    verdicts.append(100 * both >= rule.percent * (len(held) + len(other) - both))
+                yield pa.array(verdicts, pa.bool_())
 
     pairs = settle(pairs)
     ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
@@ -173,12 +189,13 @@ def prefix_entries(open_reps: DataFrame, classes: DataFrame, docs: DataFrame, ru
     their places in the order, but join with nothing and are left out.
     """
 
-    @F.pandas_udf("array<bigint>")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = WordHashes()
-        for texts in batches:
-            sets = (shingle_hashes(word_hashes(t, known, lower=True), rule.shingle_words) for t in texts)
-            yield pd.Series([np.unique(x).view(np.int64) for x in sets], dtype=object)
+    @F.arrow_udf("array<bigint>")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for sets in shingle_sets(batch, rule):
+                offsets = np.cumsum([0, *map(len, sets)])
+                values = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
     texts = class_texts(open_reps.select("rep"), classes, docs)
     held = settle(texts.select("rep", tokens(F.col("text")).alias("tokens"))).select("rep", F.explode("tokens").alias("token"))

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from tracewright.llm.shingles import mixed
 
@@ -21,6 +22,7 @@ _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWERED = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 @dataclass(frozen=True)
@@ -40,7 +42,7 @@ class Words:
 
 def parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
     """(first row, texts) of about :data:`PART_BYTES` each; a longer text is a part by itself."""
-    lengths = np.asarray(pa.compute.binary_length(texts).fill_null(0))
+    lengths = np.asarray(pc.binary_length(texts).fill_null(0))
     before = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
     row = 0
     while row < len(texts):
@@ -49,15 +51,15 @@ def parts(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
         row = stop
 
 
-def words(texts: pa.Array) -> Words:
-    """The words of a part; a null text has none."""
+def words(texts: pa.Array, *, lower: bool = False) -> Words:
+    """The words of a part, A-Z lower-cased on demand; a null text has none."""
     texts = texts.cast(pa.large_string()).fill_null("")
     # Taken together, the buffers start at the part's first byte.
     texts = pa.concat_arrays([texts])
     _, offset_buffer, data_buffer = texts.buffers()
     offsets = np.frombuffer(offset_buffer, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data_buffer or b"", np.uint8)[offsets[0] : offsets[-1]]
-    return _split(data, offsets - offsets[0])
+    return _split(_LOWERED[data] if lower else data, offsets - offsets[0])
 
 
 def words_of(data: bytes) -> Words:
