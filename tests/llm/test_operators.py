@@ -412,7 +412,7 @@ def without_passages(rows):
     return found
 
 
-@pytest.mark.parametrize("rule", PASSAGE_RULES)
+@pytest.mark.parametrize("rule", PASSAGE_RULES[:2])
 def test_passages(docs, none, rule):
     expected = without_passages([r[:2] for r in DATA if r[0] is not None])
     found = substring_dedup.dedup_passages(docs, rule)
@@ -423,7 +423,7 @@ def test_passages(docs, none, rule):
     assert substring_dedup.dedup_passages(none, rule).count() == 0
 
 
-@pytest.mark.parametrize("rule", PASSAGE_RULES)
+@pytest.mark.parametrize("rule", PASSAGE_RULES[1:])
 def test_passages_in_several_texts_of_a_document_and_hot_anchors(spark, rule):
     rng = random.Random(7)
     long, other = " ".join(f"p{k}" for k in range(40)), " ".join(f"q{k}" for k in range(20))

@@ -57,7 +57,6 @@ def texts():
 
 
 RULES = [
-    phrases.PhraseRule(),
     phrases.PhraseRule(min_count=3),
     phrases.PhraseRule(min_count=2, top=25, salts=3, trie_entries=40, vocabulary=60, hashes=50),
     phrases.PhraseRule(min_count=4, most_bits=64, cover_percent=50),
