@@ -83,7 +83,9 @@ def deliver_scenarios(
         named = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for n, k in by_bytes]))
         plan = inventory.select("path", "batch_id", named.alias("fault")).select(
             F.col("path").alias("source"),
-            F.format_string(f"{at}/scenario=%s/%s/events.parquet", "fault.name", "batch_id").alias("target"),
+            F.concat(
+                F.lit(f"{at}/scenario="), "fault.name", F.lit("/"), "batch_id", F.lit("/events.parquet")
+            ).alias("target"),
             F.col("fault.kind").alias("kind"),
         )
         settle(storage.copied(plan, copy_tasks(spark, plan)))

@@ -691,7 +691,9 @@ def delivered_files(spark: SparkSession, sf_dir: str, kinds: dict[int, str]) ->
         .where(F.col("kind").isNotNull())
         .select(
             F.col("path").alias("source"),
-            F.format_string(f"{publish.qualified(spark, root)}/%s/events.parquet", "batch_id").alias("target"),
+            F.concat(
+                F.lit(f"{publish.qualified(spark, root)}/"), "batch_id", F.lit("/events.parquet")
+            ).alias("target"),
             "kind",
         )
     )
