@@ -217,12 +217,6 @@ class WordTokenizer:
         ids = self._pieces(chunk)
         return np.array(ids, "<u4").tobytes(), " ".join(map(self.label.__getitem__, ids))
 
-    def forget(self) -> None:
-        """Drop what was remembered; the tables compiled from the vocabulary stay."""
-        self.known = Memory(self._chunk)
-        self.known_words = Memory(self._word)
-        self.automaton.arcs.clear()
-
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids (packed) and decoded text of a whole text; null counts as empty."""
         if not text:
@@ -238,7 +232,7 @@ _ODD = regex.compile("[\x1c-\x1f]")
 
 @lru_cache(maxsize=2)
 def tokenizer(definition: str) -> WordTokenizer:
-    """One automaton per Python worker and vocabulary file."""
+    """One automaton per task and vocabulary file."""
     return WordTokenizer(definition)
 
 
@@ -274,8 +268,8 @@ def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True, keep_deco
                 for k in range(0, len(batch), PART):
                     yield described([tables.encode(text) for text in batch[k : k + PART].to_pylist()])
         finally:
-            # The worker goes on with other tasks, which need its memory.
-            tables.forget()
+            # The worker goes on with tasks of other stages, which need its memory.
+            tokenizer.cache_clear()
 
     held = [c for c in docs.columns if c not in kinds]
     # The input row is one struct, so that no name of it can clash with the new one.

@@ -74,7 +74,7 @@ def band_hashes(signature: np.ndarray, rule: NearRule) -> np.ndarray:
 
 
 def shingle_sets(texts: pa.Array, rule: NearRule) -> Iterator[list[np.ndarray]]:
-    """The sorted shingle hashes of texts, in parts of about a megabyte, so that a batch is never held whole."""
+    """The sorted shingle hashes of texts, in small parts, so that a batch is never held whole."""
     for _, part in word_windows.parts(texts):
         found = word_windows.words(part, lower=True)
         hashes = word_windows.word_hashes(found)
