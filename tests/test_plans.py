@@ -15,6 +15,7 @@ from tracewright.schema import RAW, SkewPlan
 from tracewright.shared_storage import settle, settled, shared_folder
 from tracewright.sources import files, storage
 from tracewright.streaming.incremental_load import stream_landed
+from verification.queries import all_queries
 
 AT = datetime(2026, 2, 1)
 
@@ -193,3 +194,13 @@ def test_from_source_log_to_batches(spark, tmp_path):
     assert [(r.batch_id, r.row_count) for r in manifest.orderBy("batch_id").collect()] == [("batch_0001", 2), ("batch_0002", 1)]
     with pytest.raises(ingest.PipelineError, match="not unique"):
         prepare.deliver_batches(spark, plain.union(plain), str(tmp_path / "twice"))
+
+
+def test_missing_values_in_the_first_rows_of_every_batch(spark, tmp_path):
+    events = [(i, datetime(2024, 1, 1 + i % 3), i % 5, "view", 1.0) for i in range(1_020)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.event_id: r for r in all_queries()["val_fault_missing_values"](spark, str(tmp_path)).collect()}
+    assert len(got) == 1_020
+    assert {i for i, r in got.items() if r.case_id is None} == {*range(10), *range(1_000, 1_010)}
+    assert {i for i, r in got.items() if r.event_timestamp is None} == {*range(5), *range(1_000, 1_005)}
