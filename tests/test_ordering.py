@@ -80,6 +80,16 @@ def test_cold_keys_flagged_as_hot_change_nothing(spark):
     assert placed(df, hot) == expected(data)
 
 
+@pytest.mark.parametrize("buckets", [16, 1 << 20])
+def test_very_many_hot_keys_need_few_slices_and_hashes(spark, buckets):
+    data = [(i, f"k{i % 300}" if i % 4 else "hot", i % 17, f"a{i % 5}") for i in range(3000)]
+    df = spark.createDataFrame(data, ROWS).repartition(3)
+    hot = hot_keys(df, "key", SkewPlan(max_rows=5, sample_fraction=1.0), buckets)
+    assert hot.slices <= 2 * spark.sparkContext.defaultParallelism
+    assert hot.keys.count() <= buckets
+    assert placed(df, hot) == expected(data)
+
+
 def test_no_hot_keys(spark):
     df = spark.createDataFrame(rows(50), ROWS)
     assert hot_keys(df, "key", SkewPlan()) is None
