@@ -224,6 +224,15 @@ def test_selected_spans_add_to_the_base(spark):
     assert "[phone]" in text and "+1 640" not in text
 
 
+def test_every_candidate_counts_for_the_trees(spark):
+    texts = "concat('call +1 640 555 ', cast(1000 + id % 9000 as string), ' or 640 555 ', cast(1000 + id % 9000 as string))"
+    df = spark.range(22_000).selectExpr("id as doc_id", f"{texts} as text")
+    counted = pii.counted_candidates(df)
+    assert counted.agg(F.sum("n")).first()[0] == pii.labelled_candidates(df).count() >= 44_000
+    assert counted.count() < 100
+    assert pii.fit(df).trees
+
+
 EXTRA = [("email", "{w}.{k} [at] mail{d} [dot] org"), ("phone", "({a}) 555-{n}"), ("ip", "10[.]{d}[.]0[.]{d}")]
 DECOYS = ["order 4111.1111.1111.1112", "at 2021-03-04 the 10", "id 123456789012", "v [at] home", "300[.]1[.]2[.]9"]
 

@@ -61,10 +61,9 @@ _CONTEXT = 24
 
 @dataclass(frozen=True)
 class PiiRule:
-    """``sample_rows`` bounds the candidates the trees are fitted on; ``precision`` is what the threshold of each
-    kind must reach on the held-out part, as estimated from base spans and unlabelled candidates."""
+    """``precision`` is what the threshold of each kind must reach on the held-out part, as estimated from base
+    spans and unlabelled candidates."""
 
-    sample_rows: int = 20_000
     precision: float = 0.9
     trees: int = 8
     depth: int = 3
@@ -288,30 +287,43 @@ def labelled_candidates(docs: DataFrame) -> DataFrame:
     )
 
 
+def counted_candidates(docs: DataFrame) -> DataFrame:
+    """How many candidates of ``docs`` share kind, label, features and part (column ``n``).
+
+    All are counted. Features are flags and small counts, so the rows stay few however many texts there are.
+    """
+    found = labelled_candidates(docs)
+    keys = [c for c in found.columns if c != "order"]
+    held_out = F.pmod(F.xxhash64("order"), F.lit(4)) == 0
+    return found.groupBy(*keys, held_out.alias("held_out")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def fit(docs: DataFrame, rule: PiiRule = PiiRule()) -> SpanSelector:
-    """Trees and thresholds from a bounded sample of the candidates of ``docs``.
+    """Trees and thresholds from all candidates of ``docs``.
 
-    The candidates of lowest hash are taken: three quarters fit the trees, the rest calibrates.
-    Without examples of both sides nothing is learned.
+    By a hash, three quarters fit the trees, the rest calibrates. Without examples of both sides nothing is
+    learned.
     """
     nothing = SpanSelector((), (None,) * len(KINDS))
-    sample = settle(labelled_candidates(docs).orderBy("order").limit(rule.sample_rows))
-    columns = [c for c in sample.columns if re.fullmatch("f[0-9]+", c)]
-    held_out = F.pmod(F.xxhash64("order"), F.lit(4)) == 0
-    train = sample.where(~held_out)
+    counted = settle(counted_candidates(docs))
+    columns = [c for c in counted.columns if re.fullmatch("f[0-9]+", c)]
+    # Rows in a fixed order, so that the trees do not depend on how the counts were spread.
+    train = counted.where(~F.col("held_out")).orderBy("label", *columns)
     if train.select("label").distinct().count() < 2:
         return nothing
-    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(train)
-    model: GBTClassificationModel = GBTClassifier(maxIter=rule.trees, maxDepth=rule.depth, seed=1).fit(assembled)
+    weighted = train.withColumn("weight", F.col("n").cast("double"))
+    assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(weighted)
+    trainer = GBTClassifier(maxIter=rule.trees, maxDepth=rule.depth, weightCol="weight", seed=1)
+    model: GBTClassificationModel = trainer.fit(assembled)
     trees = tuple(
         (float(w), t.toDebugString) for w, t in zip(model.treeWeights, model.trees)
     )
     learned = SpanSelector(trees, (None,) * len(KINDS))
     scored = (
-        sample.where(held_out & (F.col("possible") | (F.col("label") == 1)))
-        .select("kind", "label", F.floor(learned.probability([F.col(c) for c in columns]) * 100).alias("bin"))
+        counted.where(F.col("held_out") & (F.col("possible") | (F.col("label") == 1)))
+        .select("kind", "label", "n", F.floor(learned.probability([F.col(c) for c in columns]) * 100).alias("bin"))
         .groupBy("kind", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right"))
+        .agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("right"))
         .collect()
     )
     return SpanSelector(trees, tuple(_threshold(k, scored, rule.precision) for k in range(len(KINDS))))
