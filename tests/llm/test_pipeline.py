@@ -26,6 +26,18 @@ def test_first_stage_rejects_by_score_and_keeps_clean_documents(spark):
     assert language_id.least_score(docs.where("doc_id < 40"), model) == 0
 
 
+def test_least_score_is_that_of_all_known_documents(spark):
+    rng = random.Random(4)
+    prose = [(k, corpus.prose(rng, lang := "en de fr es".split()[k % 4], 5 + k % 30), lang, "s", k) for k in range(400)]
+    docs = corpus.table(spark, prose + [(900, "...", "en", "s", 3), (901, None, "und", "s", 3), (902, "!", "und", "s", 1)])
+    rule = language_id.LanguageRule(per_language=20)
+    model = language_id.fit(docs.where("doc_id % 2 = 0"), rule)
+    found = language_id.identify(docs.where("doc_id < 400"), model).where("lang_pred = lang")
+    assert found.count() > 4 * rule.per_language
+    lowest = found.agg(F.min("score")).first()[0]
+    assert language_id.least_score(docs, model, rule) == rule.slack * lowest > 0
+
+
 def test_first_stage_keeps_an_unlabelled_corpus(spark):
     docs = corpus.table(spark).withColumn("lang", F.lit(None).cast("string"))
     kept = corpus_pipeline.identify_language(spark, docs, "")

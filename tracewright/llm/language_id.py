@@ -219,13 +219,13 @@ def fit(docs: DataFrame, rule: LanguageRule = LanguageRule()) -> LanguageModel:
 def least_score(held_out: DataFrame, model: LanguageModel, rule: LanguageRule = LanguageRule()) -> float:
     """The score below which a language is not told, from labelled documents the model was not fitted on.
 
-    It is ``slack`` times the lowest score of those (at most ``per_language`` a language) whose language was
-    found, so that documents like them stay; 0, which rejects nothing, if they are fewer than
-    ``least_calibrated``.
+    It is ``slack`` times the lowest score of all those whose language was found, so that documents like them
+    stay; 0, which rejects nothing, if they are fewer than ``least_calibrated``.
     """
     if not model.languages:
         return 0.0
-    found = identify(training_sample(held_out, rule), model).where(F.col("lang_pred") == F.col("lang"))
+    known = held_out.where(F.col("lang").isNotNull() & has_letter(F.col("text"))).select("lang", "text")
+    found = identify(known, model).where(F.col("lang_pred") == F.col("lang"))
     n, lowest = found.agg(F.count(F.lit(1)), F.min("score")).first()
     return rule.slack * lowest if n >= rule.least_calibrated else 0.0
 
