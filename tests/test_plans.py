@@ -15,6 +15,7 @@ from tracewright.schema import RAW, SkewPlan
 from tracewright.shared_storage import settle, settled, shared_folder
 from tracewright.sources import files, storage
 from tracewright.streaming.incremental_load import stream_landed
+from verification import queries
 from verification.queries import all_queries
 
 AT = datetime(2026, 2, 1)
@@ -204,3 +205,17 @@ def test_missing_values_in_the_first_rows_of_every_batch(spark, tmp_path):
     assert len(got) == 1_020
     assert {i for i, r in got.items() if r.case_id is None} == {*range(10), *range(1_000, 1_010)}
     assert {i for i, r in got.items() if r.event_timestamp is None} == {*range(5), *range(1_000, 1_005)}
+
+
+def test_xes_files_grow_in_number_with_the_events(spark, tmp_path, monkeypatch):
+    events = [(i, datetime(2024, 1, 1 + i % 9, i % 24, i % 60), i % 50, "view", 1.0) for i in range(900)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    spark.createDataFrame(events, schema).write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    for size, least in ((100_000, 3), (50, 12)):
+        monkeypatch.setattr(queries, "XES_FILE_EVENTS", size)
+        queries.write_xes(spark, str(tmp_path), f"{tmp_path}/xes{size}")
+        assert len(list((tmp_path / f"xes{size}").glob("part-*"))) >= least
+        numbered = all_queries()["std_file_order_numbers"](spark, str(tmp_path)).collect()
+        seen.append(sorted(map(tuple, numbered)))
+    assert seen[0] == seen[1] and len(seen[0]) == 900
