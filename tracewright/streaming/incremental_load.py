@@ -13,7 +13,7 @@ from tracewright.operators import ingest
 from tracewright.plans.load import load_batches
 from tracewright.schema import RAW
 from tracewright.shared_storage import settle
-from tracewright.sources import files
+from tracewright.sources import files, storage
 
 
 def stream_landed(
@@ -45,8 +45,10 @@ def stream_landed(
         )
         expected = settle(manifest())
         described = expected.join(arrived, "batch_id", "left_semi")
-        # One name per new file, as many as the file source itself has listed for this micro-batch.
-        paths = [r["landed_path"] for r in arrived.select("landed_path").distinct().toLocalIterator()]
+        # All files are listed, as the file source does; only the new ones are opened.
+        new = arrived.select(files.plain_path(F.col("landed_path")).alias("plain")).distinct()
+        listing = files.listed_files(session, landing_path)
+        listing = listing.join(new, files.plain_path(F.col("path")) == new["plain"], "left_semi")
         outcomes = load_batches(
             session,
             landed.drop("landed_path"),
@@ -56,7 +58,7 @@ def stream_landed(
             run_id=run_id,
             loaded_at=clock(),
             landing_root=landing_path,
-            inventory=files.file_inventory(session, paths),
+            inventory=storage.with_footers(listing, digests=True),
         )
         ingest.require_loaded(outcomes)
         early = arrived.join(expected, "batch_id", "left_anti").agg(
@@ -67,14 +69,16 @@ def stream_landed(
                 f"{early['n']} landed batches have no manifest row yet, the first is {early['first']}."
             )
 
-    return (
-        spark.readStream.schema(RAW)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(landing_path)
-        .select("*", F.col("_metadata.file_path").alias("landed_path"))
-        .writeStream.trigger(availableNow=True)
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(load)
-        .start()
-    )
+    # The query takes over the settings that hold when it starts.
+    with files.few_listing_tasks(spark):
+        return (
+            spark.readStream.schema(RAW)
+            .option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet")
+            .parquet(landing_path)
+            .select("*", F.col("_metadata.file_path").alias("landed_path"))
+            .writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(load)
+            .start()
+        )
