@@ -1,5 +1,6 @@
 """Column expressions on literal values."""
 
+import re
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -94,3 +95,19 @@ def test_sketch_is_close(spark):
     df = spark.range(100_000).selectExpr("(id * 7919) % 100000 as v")
     got = df.agg(Q.sketch(F.col("v"), 90)).first()[0]
     assert abs(got - 90_000) < 100
+
+
+def test_standard_text_strips_where_it_must_and_stays_small_in_generated_code(spark, capsys):
+    given = ["a", "a b", "é", "~", "!", "\x7f", " a", "a\t", "a\u3000", "\x1ca", "\xa0", "", None, "\u2003é\x1f"]
+    kept = ["a", "a b", "é", "~", "!", "\x7f", "a", "a", "a", "a", None, None, None, "é"]
+    df = spark.createDataFrame([(t,) for t in given], "s string").coalesce(1)
+    assert values(df.select(standard_text(F.col("s")))) == kept
+    wide = spark.range(1).select(*[F.concat(F.lit(" "), F.col("id").cast("string")).alias(f"c{k}") for k in range(60)])
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wide.select(*[standard_text(F.col(c)).alias(c) for c in wide.columns]).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:\s*(\d+)", capsys.readouterr().out)]
+    assert max(sizes, default=0) < 8000
