@@ -22,7 +22,6 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.llm.text import worker_table
+
 NO_TIME = 1 << 40
 
 #: Chunks and words remembered per Python worker in a young table each. A full one becomes the old one, and
@@ -230,10 +231,9 @@ class WordTokenizer:
 _ODD = regex.compile("[\x1c-\x1f]")
 
 
-@lru_cache(maxsize=2)
 def tokenizer(definition: str) -> WordTokenizer:
-    """One automaton per task and vocabulary file."""
-    return WordTokenizer(definition)
+    """One automaton per worker, kept from task to task until other work drops it."""
+    return worker_table(("bpe_automaton", definition), lambda: WordTokenizer(definition))
 
 
 def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True, keep_decoded: bool = False) -> DataFrame:
@@ -262,14 +262,10 @@ def encode(docs: DataFrame, definition: str, *, keep_ids: bool = True, keep_deco
     @F.arrow_udf("struct<" + ",".join(f"{name}:{sql[kind]}" for name, kind in kinds.items()) + ">")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tables = tokenizer(definition)
-        try:
-            for batch in batches:
-                # Handed on in small parts, so that a batch is never held whole in all forms.
-                for k in range(0, len(batch), PART):
-                    yield described([tables.encode(text) for text in batch[k : k + PART].to_pylist()])
-        finally:
-            # The worker goes on with tasks of other stages, which need its memory.
-            tokenizer.cache_clear()
+        for batch in batches:
+            # Handed on in small parts, so that a batch is never held whole in all forms.
+            for k in range(0, len(batch), PART):
+                yield described([tables.encode(text) for text in batch[k : k + PART].to_pylist()])
 
     held = [c for c in docs.columns if c not in kinds]
     # The input row is one struct, so that no name of it can clash with the new one.

@@ -72,3 +72,19 @@ def broadcast_if_small(settled: DataFrame, max_rows: int = 500_000, max_bytes: i
         return settled
     size = settled.agg(F.sum(F.octet_length(F.to_json(F.struct(*settled.columns))))).first()[0]
     return F.broadcast(settled) if (size or 0) <= max_bytes else settled
+
+
+_TABLE: dict = {}
+
+
+def worker_table(key: tuple, build: Callable[[], object]) -> object:
+    """The one large table that a Python worker keeps from task to task; another one takes its place."""
+    if key not in _TABLE:
+        _TABLE.clear()
+        _TABLE[key] = build()
+    return _TABLE[key]
+
+
+def drop_worker_table() -> None:
+    """For work that needs the memory of a worker that had other tasks before."""
+    _TABLE.clear()
