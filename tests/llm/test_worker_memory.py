@@ -1,6 +1,11 @@
 """What Python workers hold from task to task, and how much is handed to them at once."""
 
-from tracewright.llm import near_dedup
+import gc
+import weakref
+
+from pyspark.sql import functions as F
+
+from tracewright.llm import language_id, near_dedup
 from tracewright.llm.text import drop_worker_table, worker_table
 
 
@@ -27,3 +32,34 @@ def test_near_dedup_hands_small_batches_to_python_and_restores_the_limit(spark,
     assert seen == [near_dedup.BATCH_ROWS] and spark.conf.get(limit) == before
     with near_dedup.small_batches(spark, 10), near_dedup.small_batches(spark):
         assert spark.conf.get(limit) == "10"
+
+
+def test_a_dropped_table_is_freed_at_once_though_its_parts_know_each_other():
+    class Table:
+        def __init__(self):
+            self.function = self.__init__
+
+    gc.disable()
+    try:
+        for drop in (drop_worker_table, lambda: worker_table(("b",), list)):
+            held = weakref.ref(worker_table(("a",), Table))
+            assert held() is not None
+            drop()
+            assert held() is None
+    finally:
+        gc.enable()
+        drop_worker_table()
+
+
+def test_language_identification_drops_the_table_of_another_stage(spark, monkeypatch):
+    rows = [(1, "ein Wort", "de"), (2, "one word", "en"), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, made, udf = language_id.fit(docs), [], F.pandas_udf
+    monkeypatch.setattr(F, "pandas_udf", lambda kind: lambda f: made.append(f) or udf(kind)(f))
+    found = language_id.identify(docs, model).select("doc_id", "lang_pred")
+    assert sorted(map(tuple, found.collect())) == [(1, "de"), (2, "en"), (3, "und")]
+    drop_worker_table()
+    worker_table(("a",), lambda: "old")
+    assert list(made[0](iter([]))) == []
+    assert worker_table(("a",), lambda: "new") == "new"
+    drop_worker_table()

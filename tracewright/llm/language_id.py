@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.llm.text import whole
+from tracewright.llm.text import drop_worker_table, whole
 
 UNDETERMINED = "und"
 
@@ -188,6 +188,7 @@ def fit(docs: DataFrame, rule: LanguageRule = LanguageRule()) -> LanguageModel:
                 sides[lang].append((k, 1.0 if name == a else -1.0))
 
     def machine_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drop_worker_table()
         for frame in frames:
             rows = [
                 (k, side, x)
@@ -198,6 +199,7 @@ def fit(docs: DataFrame, rule: LanguageRule = LanguageRule()) -> LanguageModel:
             yield pd.DataFrame(rows, columns=["machine", "side", "x"])
 
     def fitted(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        drop_worker_table()
         frame = frame.sort_values("side", kind="stable")
         weights, bias = fit_svm(np.stack(frame["x"].to_list()), frame["side"].to_numpy(), rule)
         return pd.DataFrame([(key[0], weights, bias)], columns=["machine", "weights", "bias"])
@@ -241,6 +243,7 @@ def identify(docs: DataFrame, model: LanguageModel, least: float = 0.0) -> DataF
 
     @F.pandas_udf("struct<lang_pred:string,score:double>")
     def predicted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        drop_worker_table()
         learned = shared.value
         for texts, lettered in batches:
             rows = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -80,11 +81,14 @@ _TABLE: dict = {}
 def worker_table(key: tuple, build: Callable[[], object]) -> object:
     """The one large table that a Python worker keeps from task to task; another one takes its place."""
     if key not in _TABLE:
-        _TABLE.clear()
+        drop_worker_table()
         _TABLE[key] = build()
     return _TABLE[key]
 
 
 def drop_worker_table() -> None:
     """For work that needs the memory of a worker that had other tasks before."""
-    _TABLE.clear()
+    if _TABLE:
+        _TABLE.clear()
+        # A table whose parts know each other is not freed by counting references.
+        gc.collect()
