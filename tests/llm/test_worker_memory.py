@@ -3,9 +3,11 @@
 import gc
 import weakref
 
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tracewright.llm import language_id, near_dedup
+from tracewright.llm import bpe_automaton, language_id, near_dedup
 from tracewright.llm.text import drop_worker_table, worker_table
 
 
@@ -63,3 +65,18 @@ def test_language_identification_drops_the_table_of_another_stage(spark, monkeyp
     assert list(made[0](iter([]))) == []
     assert worker_table(("a",), lambda: "new") == "new"
     drop_worker_table()
+
+
+def test_a_word_is_remembered_once_whatever_stands_beside_it():
+    file = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(file)
+    table = bpe_automaton.WordTokenizer(file)
+    texts = [f"{a}{w}{b}" for w in ("Überfahrt", "tide", "TIDE", "don't") for a in ("", "(", '"') for b in ("", ",", "..", "!)", "7")]
+    texts += ["a\x1cb\x85c\u2003d\xa0e ΑΣ ΣΑΣ e\u0301 \u0301x", "x<|endoftext|>y <| z<|ENDOFTEXT|>", "<|startoftext|>", " \n", "ab" * 500, "1234.5"]
+    for text in [" ".join(texts), *texts]:
+        ids, decoded = table.encode(text)
+        expected = library.encode(text, add_special_tokens=False).ids
+        assert [int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)] == expected, text
+        assert decoded == library.decode(expected, skip_special_tokens=False)
+    remembered = sum(len(x) for x in vars(table).values() if isinstance(x, bpe_automaton.Memory))
+    assert remembered <= 45

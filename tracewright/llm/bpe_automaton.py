@@ -21,9 +21,9 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,9 +33,9 @@ from tracewright.llm.text import worker_table
 
 NO_TIME = 1 << 40
 
-#: Chunks and words remembered per Python worker in a young table each. A full one becomes the old one, and
-#: what is used again moves on from there.
-CACHED = 60_000
+#: Words remembered per Python worker in a young table. A full one becomes the old one, and what is used
+#: again moves on from there.
+CACHED = 100_000
 
 #: Arcs that are kept resolved; beyond that the table is filled anew.
 CACHED_ARCS = 200_000
@@ -43,12 +43,6 @@ CACHED_ARCS = 200_000
 #: Texts encoded and handed on together.
 PART = 200
 
-# White space of the Unicode standard, as the tokenizer's normalizer sees it.
-_WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-
-#: Words are split here first: normalization and pre-splitting never join across white space.
-_GAPS = regex.compile(f"[{_WHITE}]+")
-
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
@@ -72,7 +66,8 @@ class Automaton:
             self.spelled[i] = (token,)
         for time, (a, b) in enumerate(merges):
             self._gadget(vocabulary[a], vocabulary[b], vocabulary[a + b], time)
-        # Labels by their symbols: all labels that start at a place are found in one walk.
+        # Labels by their symbols: all labels that start at a place are found in one walk. Each node holds the
+        # (length, label) of those on the way to it, longest first.
         self.spelling: dict = {}
         for label, symbols in self.spelled.items():
             node = self.spelling
@@ -80,6 +75,13 @@ class Automaton:
                 node = node.setdefault(symbol, {})
             node[None] = label
         del self.spelled
+        nodes = [(self.spelling, 0, ())]
+        while nodes:
+            node, length, found = nodes.pop()
+            if None in node:
+                found = ((length, node[None]), *found)
+            nodes += [(child, length + 1, found) for symbol, child in node.items() if symbol is not None]
+            node[None] = found
         self.arcs: dict[int, bool] = {}
 
     def _gadget(self, a: int, b: int, t: int, time: int) -> None:
@@ -118,39 +120,31 @@ class Automaton:
         Longest label first. At most one path reaches a place, so a place that leads nowhere is
         never entered again and the search takes time in proportion to the word.
         """
-        n, arcs, size = len(symbols), self.arcs, self.size
-        labels, untried, ends = [], [self._starting(symbols, 0)], [0]
-        dead = set()
-        while ends[-1] < n:
-            if not untried[-1]:
+        n, arcs, size, spelling = len(symbols), self.arcs, self.size, self.spelling
+        labels, ends, untried, dead = [], [0], [], set()
+        symbols = [*symbols, ""]
+        while (at := ends[-1]) < n:
+            if len(untried) < len(ends):
+                node, k = spelling, at
+                while (longer := node.get(symbols[k])) is not None:
+                    node, k = longer, k + 1
+                untried.append(iter(node[None]))
+            for length, label in untried[-1]:
+                if at + length in dead:
+                    continue
+                if labels:
+                    arc = arcs.get(labels[-1] * size + label)
+                    if not (self.has_arc(labels[-1], label) if arc is None else arc):
+                        continue
+                labels.append(label)
+                ends.append(at + length)
+                break
+            else:
                 dead.add(ends.pop())
                 untried.pop()
                 labels.pop()
-                continue
-            end, label = untried[-1].pop()
-            if end in dead:
-                continue
-            if labels:
-                arc = arcs.get(labels[-1] * size + label)
-                if not (self.has_arc(labels[-1], label) if arc is None else arc):
-                    continue
-            labels.append(label)
-            ends.append(end)
-            untried.append(self._starting(symbols, end) if end < n else None)
         return labels
 
-    def _starting(self, symbols: list[str], at: int) -> list[tuple[int, int]]:
-        """(end, label) of every label that starts at a place, longest last."""
-        node, found, n = self.spelling, [], len(symbols)
-        while at < n:
-            node = node.get(symbols[at])
-            if node is None:
-                break
-            at += 1
-            if None in node:
-                found.append((at, node[None]))
-        return found
-
 
 class Memory(dict):
     """Results of a function by text, in two generations of bounded size; long texts are not kept."""
@@ -191,44 +185,35 @@ class WordTokenizer:
         )
         self.words = regex.compile(split)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        self.symbols = byte_symbols()
-        self.known = Memory(self._chunk)
+        self.symbols = dict(enumerate(byte_symbols()))
         self.known_words = Memory(self._word)
 
-    def _word(self, word: str) -> list[int]:
-        symbols = [self.symbols[b] for b in word.encode("utf-8")]
+    def _word(self, word: str) -> tuple[bytes, str]:
+        """(ids as little-endian 32-bit integers, arc labels joined by blanks) of a pre-split word."""
+        symbols = list(word.encode("utf-8").decode("latin-1").translate(self.symbols))
         symbols[-1] += self.end
-        return self.automaton.path(symbols)
-
-    def _pieces(self, chunk: str) -> list[int]:
-        ids: list[int] = []
-        for part in self.specials.split(chunk) if "<|" in chunk else (chunk,):
-            if part in self.special:
-                ids.append(self.special[part])
-                continue
-            if not part.isascii():
-                # Lower case goes letter by letter: the final sigma has no form of its own here.
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            for word in self.words.findall(part.lower()):
-                ids += self.known_words[word]
-        return ids
-
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        """(ids as little-endian 32-bit integers, arc labels joined by blanks) of a run without gaps."""
-        ids = self._pieces(chunk)
-        return np.array(ids, "<u4").tobytes(), " ".join(map(self.label.__getitem__, ids))
+        ids = self.automaton.path(symbols)
+        return array("I", ids).tobytes(), " ".join([self.label[i] for i in ids])
+
+    def _pieces(self, text: str) -> list[tuple[bytes, str]]:
+        """:meth:`_word` of every word of a text without special tokens."""
+        if not text.isascii():
+            # Lower case goes letter by letter: the final sigma has no form of its own here.
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return list(map(self.known_words.__getitem__, self.words.findall(text.lower())))
 
     def encode(self, text: str | None) -> tuple[bytes, str]:
         """Ids (packed) and decoded text of a whole text; null counts as empty."""
         if not text:
             return b"", ""
-        found = list(map(self.known.__getitem__, filter(None, _GAPS.split(text) if not text.isascii() or
-                                                        _ODD.search(text) else text.split())))
-        return b"".join([ids for ids, _ in found]), " ".join([s for ids, s in found if ids])
-
-
-#: Separators that Python's own splitting takes for white space and the tokenizer does not.
-_ODD = regex.compile("[\x1c-\x1f]")
+        if "<|" not in text:
+            found = self._pieces(text)
+        else:
+            found = []
+            for part in self.specials.split(text):
+                special = self.special.get(part)
+                found += self._pieces(part) if special is None else [(array("I", [special]).tobytes(), part)]
+        return b"".join([ids for ids, _ in found]), " ".join([s for _, s in found])
 
 
 def tokenizer(definition: str) -> WordTokenizer:
