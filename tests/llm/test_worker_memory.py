@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tracewright.llm import bpe_automaton, language_id, near_dedup
+from tracewright.llm import bpe_automaton, language_id, near_dedup, token_files
 from tracewright.llm.text import drop_worker_table, worker_table
 
 
@@ -80,3 +80,28 @@ def test_a_word_is_remembered_once_whatever_stands_beside_it():
         assert decoded == library.decode(expected, skip_special_tokens=False)
     remembered = sum(len(x) for x in vars(table).values() if isinstance(x, bpe_automaton.Memory))
     assert remembered <= 45
+
+
+def test_a_chunk_of_many_texts_is_looked_up_once_a_group():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(file)
+    encoder = token_files.ChunkEncoder(file)
+    encoder.known = Counted()
+    odd = ["", " ", "\n", "one", " one", "one  two", "a\n\nb c", "a \n\n b", "<|endoftext|> x", "x <|y", "Ü, é.\nz\n", "one two"]
+    texts = ["one two, three.\nfour one two" * 3] * 200 + odd
+    found = encoder.encode(texts, b"\2\0\0\0")
+    expected = [[*library.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [[int.from_bytes(x[k : k + 4], "little") for k in range(0, len(x), 4)] for x in found] == expected
+    assert encoder.encode([], b"") == [] and encoder.encode(["one"], b"") == [found[odd.index("one") + 200][:-4]]
+    assert Counted.asked < 200

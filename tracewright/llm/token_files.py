@@ -6,6 +6,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -117,24 +118,31 @@ class ChunkEncoder:
         return [""] if " \n" in text else text.split(" ")
 
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
-        """Ids of each text with the end id, as little-endian 32-bit integers."""
+        """Ids of each text with the end id, as little-endian 32-bit integers.
+
+        Each different chunk of the texts is looked up once.
+        """
         if len(self.known) > CACHED_CHUNKS:
             self.known, self.old = {}, self.known
-        get = self.known.get
         cut = list(map(self._chunks, texts))
-        found = [list(map(get, c[1:])) for c in cut]
-        open_texts = [k for k, f in enumerate(found) if not all(f)]
-        missing = {c for k in open_texts for c, ids in zip(cut[k][1:], found[k]) if ids is None}
-        self._learn(missing)
-        uncut = {k for k, c in enumerate(cut) if not c[0]}
-        for k in open_texts:
-            found[k] = list(map(get, cut[k][1:]))
-            if not all(found[k]):
-                uncut.add(k)
+        first = np.cumsum([0, *(len(c) - 1 for c in cut)])
+        every = list(chain.from_iterable(c[1:] for c in cut))
+        # Both name the different chunks in the order of their first places.
+        chunks, places = list(dict.fromkeys(every)), pa.array(every, pa.large_string()).dictionary_encode().indices
+        self._learn({c for c in chunks if c not in self.known})
+        ids = pa.array(list(map(self.known.__getitem__, chunks)), pa.large_binary()).take(places)
+        _, offset_buffer, data_buffer = ids.buffers()
+        offsets = np.frombuffer(offset_buffer or bytes(8), np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        data = memoryview(data_buffer or b"")
+        # A chunk that must not be cut has no ids, nor has a text's first one if the text is kept whole.
+        open_chunks = np.flatnonzero(offsets[1:] == offsets[:-1])
+        uncut = set((np.searchsorted(first, open_chunks, side="right") - 1).tolist())
+        uncut |= {k for k, c in enumerate(cut) if not c[0]}
         heads = self._batch([t if k in uncut else c[0] for k, (t, c) in enumerate(zip(texts, cut))])
+        at = offsets[first].tolist()
         return [
-            b"".join((head, end)) if k in uncut else b"".join((head, *f, end))
-            for k, (head, f) in enumerate(zip(heads, found))
+            b"".join((head, end)) if k in uncut else b"".join((head, data[at[k] : at[k + 1]], end))
+            for k, head in enumerate(heads)
         ]
 
 
