@@ -3,8 +3,10 @@
 import random
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,3 +160,37 @@ def test_the_query_reads_a_written_folder(spark, tmp_path):
     corpus.table(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     found = llm_queries()["op12_phrases"](spark, str(tmp_path)).collect()
     assert sorted(map(tuple, found)) == brute(rows, phrases.PhraseRule())
+
+
+class _OneTask:
+    """A table whose task runs here."""
+
+    def __init__(self, batch):
+        self.batch = batch
+        self.sparkSession = self.sparkContext = self
+
+    def broadcast(self, value):
+        return SimpleNamespace(value=value)
+
+    def mapInArrow(self, function, schema):
+        return [row for part in function(iter([self.batch])) for row in part.to_pylist()]
+
+
+def test_a_task_hands_a_sequence_on_once_though_its_trie_is_full_many_times(monkeypatch):
+    monkeypatch.setattr(phrases, "STEP", 1000)
+    words = [f"w{k}" for k in range(40)]
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(words, 60)) for _ in range(400)]
+    task = _OneTask(pa.RecordBatch.from_arrays([pa.array(["en", "de"] * 200), pa.array(texts)], ["lang", "text"]))
+    full = phrases.FrequentTable(np.full(64, -1, np.int64).view(np.uint64))
+    plain = Counter()
+    for k, text in enumerate(texts):
+        w = text.split()
+        plain.update((("en", "de")[k % 2], " ".join(w[i : i + n])) for n in (1, 2, 3) for i in range(len(w) - n + 1))
+    runs = phrases.counted_runs(task, (full, full), phrases.PhraseRule(trie_entries=500))
+    assert len(runs) == len(plain) and {(r["lang"], r["phrase"]): r["f"] for r in runs} == plain
+    few = phrases.counted_runs(task, (full, full), phrases.PhraseRule(trie_entries=500, packed_entries=2000))
+    added = Counter()
+    for r in few:
+        added[r["lang"], r["phrase"]] += r["f"]
+    assert added == plain and len(few) > len(plain)

@@ -2,7 +2,8 @@
 
 The first word of a sequence is an arc of the trie, the rest a key in the hash container below it; what
 has one word only is counted at the arc itself. A container that grows too large bursts into one container per second word. When the trie holds too many
-entries, whole subtrees leave it as runs, largest first.
+entries, whole subtrees leave it, largest first: they are packed into sorted tables of 24 bytes an entry, where
+what comes again is added up, or handed on as runs.
 """
 
 from __future__ import annotations
@@ -56,6 +57,20 @@ class Subtree:
             for rest, n in child.items():
                 yield second << _SECOND | rest, n
 
+    def packed(self, word: int) -> np.ndarray:
+        """Three rows: the first word, the keys and their counts."""
+        table = np.fromiter((x for item in self.items() for x in item), np.int64, 2 * self.size).reshape(-1, 2)
+        return np.stack((np.full(self.size, word), table[:, 0], table[:, 1]))
+
+
+def _added_up(tables: list[np.ndarray]) -> np.ndarray:
+    """Packed tables as one, sorted by first word and key, with one entry for each sequence."""
+    first, keys, counts = np.concatenate(tables, axis=1)
+    order = np.lexsort((keys, first))
+    first, keys, counts = first[order], keys[order], counts[order]
+    new = np.flatnonzero(np.concatenate(([True], (first[1:] != first[:-1]) | (keys[1:] != keys[:-1]))))
+    return np.stack((first[new], keys[new], np.add.reduceat(counts, new)))
+
 
 class HatTrie:
     """Counts of sequences, apart for every group (a language, say)."""
@@ -65,6 +80,11 @@ class HatTrie:
         self.subtrees: dict[tuple[str, int], Subtree] = {}
         self.arcs: dict[str, np.ndarray] = {}
         self.size = 0
+        self.tables: dict[str, np.ndarray] = {}
+
+    @property
+    def packed_size(self) -> int:
+        return sum(table.shape[1] for table in self.tables.values())
 
     def add(self, group: str, sequences: np.ndarray) -> None:
         """Count the rows of a table of word numbers, filled up with zeros to four columns."""
@@ -99,18 +119,34 @@ class HatTrie:
         self.arcs[group] = held
 
     def spill(self, keep: int) -> Iterator[tuple[str, list[tuple[tuple[int, ...], int]]]]:
-        """Take out the largest subtrees until at most ``keep`` entries are left; single words at the end."""
+        """Take out what is packed and the largest subtrees until at most ``keep`` entries are left; single words
+        at the end."""
         if not keep:
             for group, counts in self.arcs.items():
                 yield group, [((word,), int(counts[word])) for word in np.flatnonzero(counts).tolist()]
             self.arcs = {}
+        self.pack(keep)
+        while self.tables:
+            group, table = self.tables.popitem()
+            ends = np.flatnonzero(np.diff(table[0])) + 1
+            for start, stop in zip([0, *ends.tolist()], [*ends.tolist(), table.shape[1]]):
+                word = int(table[0, start])
+                keys, counts = table[1:, start:stop].tolist()
+                yield group, [((word, *_words(key)), n) for key, n in zip(keys, counts)]
+
+    def pack(self, keep: int) -> None:
+        """Move the largest subtrees into the packed tables until at most ``keep`` entries are left."""
+        leaving: dict[str, list[np.ndarray]] = {}
         for place in sorted(self.subtrees, key=lambda p: -self.subtrees[p].size):
             if self.size <= keep:
-                return
+                break
             subtree = self.subtrees.pop(place)
             self.size -= subtree.size
             group, word = place
-            yield group, [((word, *_words(key)), n) for key, n in subtree.items()]
+            leaving.setdefault(group, []).append(subtree.packed(word))
+        for group, tables in leaving.items():
+            held = [self.tables.pop(group)] if group in self.tables else []
+            self.tables[group] = _added_up(held + tables)
 
 
 def _words(key: int) -> Iterator[int]:

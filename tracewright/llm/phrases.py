@@ -5,7 +5,8 @@ counted first, which leaves few sequences to be counted exactly: words that may
 three words of which every pair may be, and at last four words of which both threes are. A hash counts for
 all that share it, so nothing frequent is left out.
 
-A task counts sequences in a trie of hash containers and spills whole subtrees as sorted runs; runs are
+A task counts sequences in a trie of hash containers, packs what is too much for it into tables that are added up
+as they meet, and spills whole subtrees as sorted runs; runs are
 range-partitioned by their words, so that equal prefixes lie together and a prefix with very many sequences
 is still dealt to several tasks, and merged there in sorted order.
 """
@@ -43,7 +44,7 @@ class PhraseRule:
 
     ``min_count``: least number of occurrences. ``cover_percent``: a phrase goes if a longer one around it
     has at least this part of its occurrences. ``top``: phrases listed per language. ``trie_entries``,
-    ``vocabulary`` and ``hashes``: what a task holds before it spills. ``most_bits``: bound of a table of hashes
+    ``packed_entries``, ``vocabulary`` and ``hashes``: what a task holds before it packs or spills. ``most_bits``: bound of a table of hashes
     (32 MB); it has 16 bits a hash up to that, and lets more sequences be counted in vain beyond. ``salts``: parts of a language that are ranked on their own first.
     """
 
@@ -51,6 +52,7 @@ class PhraseRule:
     cover_percent: int = 80
     top: int = 2000
     trie_entries: int = 400_000
+    packed_entries: int = 1_500_000
     vocabulary: int = 300_000
     hashes: int = 1 << 20
     most_bits: int = 1 << 28
@@ -280,7 +282,9 @@ def counted_runs(texts: DataFrame, tables: tuple[FrequentTable, ...], rule: Phra
                         yield from spilled(0)
                         known = Vocabulary()
                     elif trie.size > rule.trie_entries:
-                        yield from spilled(rule.trie_entries // 2)
+                        trie.pack(rule.trie_entries // 2)
+                        if trie.packed_size > rule.packed_entries:
+                            yield from spilled(rule.trie_entries // 2)
         yield from spilled(0)
 
     return texts.mapInArrow(runs, "lang string, phrase string, f bigint")
