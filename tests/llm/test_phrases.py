@@ -194,3 +194,17 @@ def test_a_task_hands_a_sequence_on_once_though_its_trie_is_full_many_times(monk
     for r in few:
         added[r["lang"], r["phrase"]] += r["f"]
     assert added == plain and len(few) > len(plain)
+
+
+def test_rare_words_fill_no_vocabulary(monkeypatch):
+    rare = iter(range(10**6))
+    texts = [" ".join(f"often now x{next(rare)}" for _ in range(50)) + " é." for _ in range(20)]
+    task = _OneTask(pa.RecordBatch.from_arrays([pa.array(["en"] * 20), pa.array(texts)], ["lang", "text"]))
+    hashes = [phrases.sequence_hash("en", [phrases.word_hashes(phrases.words_of(w))])[0] for w in (b"often", b"now", "é".encode())]
+    table = np.zeros(1 << 14, np.uint64)
+    for h in hashes:
+        for place in (int(h), int(h) >> 32):
+            table[place % (1 << 20) >> 6] |= np.uint64(1 << (place & 63))
+    full = phrases.FrequentTable(np.full(64, -1, np.int64).view(np.uint64))
+    runs = phrases.counted_runs(task, (phrases.FrequentTable(table), full), phrases.PhraseRule(vocabulary=10))
+    assert sorted((r["phrase"], r["f"]) for r in runs) == [("now", 1000), ("often", 1000), ("often now", 1000), ("é", 20)]

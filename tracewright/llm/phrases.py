@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -78,8 +79,14 @@ class Vocabulary(dict):
         self._hashes = np.concatenate((self._hashes, word_hashes(words_of(b" ".join(new)))))
         return self._hashes
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+    def numbers(self, words: list[bytes], kept: np.ndarray | None = None, at: int = 0) -> np.ndarray:
+        """Numbers of the words; 0 for those that ``kept``, from place ``at``, leaves out."""
+        if kept is None:
+            return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        kept = kept[at : at + len(words)]
+        found = np.zeros(len(words), np.int64)
+        found[kept] = np.fromiter(map(self.__getitem__, compress(words, kept.tolist())), np.int64, int(kept.sum()))
+        return found
 
 
 def marked(texts: list[str]) -> bytes:
@@ -273,9 +280,14 @@ def counted_runs(texts: DataFrame, tables: tuple[FrequentTable, ...], rule: Phra
 
         for batch in batches:
             for language, part in _by_language(batch):
-                found = marked(part).split()
+                data = marked(part)
+                found = data.split()
+                # A word that is not frequent is in no sequence that counts, so it parts them and needs no number.
+                kept = None
+                if len(tables) == 2:
+                    kept = tables[0].holds(sequence_hash(language, [word_hashes(words_of(data))]))
                 for k in range(0, len(found), STEP):
-                    numbers = known.numbers(found[k : k + STEP + LONGEST - 1])
+                    numbers = known.numbers(found[k : k + STEP + LONGEST - 1], kept, k)
                     for sequences in found_in(numbers, language, known, *tables):
                         trie.add(language, sequences)
                     if len(known.words) > rule.vocabulary:
