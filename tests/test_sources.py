@@ -206,6 +206,39 @@ def test_canonical_partitions_and_unreadable_times(spark, tmp_path):
     assert pruned and back.where("event_month = 1").count() == 40
 
 
+def test_canonical_events_are_written_in_rounds(spark, tmp_path, monkeypatch):
+    """Shares of the cases, then ranges of time: every row once, in the month of its time."""
+    odd = {0: None, 1: "+12000-01-01 00:00:00", 2: "0001-02-03 04:05:06.000007"}
+    time = F.coalesce(*[F.when(F.col("event_id") % 10 == k, F.lit(v)).cast("timestamp_ntz") for k, v in odd.items()],
+                      F.when(F.col("event_id") % 10 > 0, F.col("event_timestamp")))
+    times = raw_events(spark, 100).withColumn("event_timestamp", time)
+    times = times.withColumn("case_id", F.when(F.col("event_id") % 7 > 0, F.col("case_id")))
+    events = standardize.canonical_projection(standardize.with_calendar(times))
+    path, count = str(tmp_path / "canonical"), events.count()
+    wanted = sorted(events.selectExpr("to_json(struct(*))").collect())
+    rounds = []
+    of = sinks._time_rounds
+    monkeypatch.setattr(sinks, "_time_rounds", lambda rows, size: rounds.append(of(rows, size)) or rounds[-1])
+    for size in (count, 30):
+        monkeypatch.setattr(sinks, "ROUND_ROWS", size)
+        sinks.write_canonical(events, path)
+        back = files.read_canonical(spark, path).select(*CANONICAL.names)
+        assert sorted(back.selectExpr("to_json(struct(*))").collect()) == wanted
+    assert [len(r) for r in rounds] == [1, 4]
+    assert [p.name for p in tmp_path.iterdir()] == ["canonical"]
+    nowhen = events.withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz"))
+    sinks.write_canonical(nowhen, path)
+    assert files.read_canonical(spark, path).count() == count
+
+
+def test_a_failed_write_leaves_the_canonical_events_as_they_were(spark, tmp_path):
+    path, events = str(tmp_path / "canonical"), standardize.canonical_projection(raw_events(spark, 20))
+    sinks.write_canonical(events, path)
+    with pytest.raises(Exception, match="no such row"):
+        sinks.write_canonical(events.withColumn("activity", F.raise_error(F.lit("no such row")).cast("string")), path)
+    assert files.read_canonical(spark, path).count() == 20
+
+
 def test_json_report(spark, tmp_path):
     df = spark.createDataFrame([(1, "x"), (2, None)], "a bigint, b string")
     sinks.write_json(df, str(tmp_path / "j"))

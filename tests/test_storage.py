@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import random
+import time
 from pathlib import Path
 
 import pytest
@@ -179,3 +180,17 @@ def test_the_fault_of_a_scenario_is_matched_by_its_own_rule(spark):
     rules = spark.createDataFrame([("a/b1", "Y"), ("c/b1", "X")], "dataset_name string, expected_rule string")
     found = {r.dataset_name: r.expected_failure_detected for r in validate.scenario_results(results, rules).collect()}
     assert found == {"a/b1": False, "c/b1": True}
+
+
+def test_shuffle_files_of_a_settled_table_go_when_it_is_written(spark):
+    store = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    before = store.getAllFiles().size()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name)
+    settled_rows = settle(spark.range(1000).repartition(7, "id"))
+    for _ in range(50):
+        if store.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert store.getAllFiles().size() <= before
+    assert settled_rows.count() == 1000 and spark.conf.get(name) == setting
