@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from tests.test_sources import batches_on_disk
 from tracewright.operators import analytics, ingest
-from tracewright.plans import load, publish
+from tracewright.plans import load, publish, scenarios
 from tracewright.plans.build import Databases, build_analytics, build_staging, run_monitoring
 from tracewright.schema import RAW, SkewPlan
 from tracewright.shared_storage import settle, settled, shared_folder
-from tracewright.sources import files, storage
+from tracewright.sources import files, sinks, storage
 from tracewright.streaming.incremental_load import stream_landed
 from verification import queries
 from verification.queries import all_queries
@@ -91,6 +91,33 @@ def test_load_ends_at_the_first_bad_batch(spark, tmp_path, db):
     assert spark.table(args["raw"]).count() == 60
 
 
+def test_small_files_are_listed_in_few_tasks_and_read_once(spark, tmp_path, db, monkeypatch):
+    """Loading lists in few tasks and appends settled rows; faults are made from settled rows; digests once."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    path, usual = str(tmp_path / "b"), spark.conf.get(name)
+    manifest = batches_on_disk(spark, path, n=20, size=10)
+    plan = lambda df: df._jdf.queryExecution().toString()
+    seen = []
+    append, write = sinks.append_raw, sinks.write_batches
+    monkeypatch.setattr(sinks, "append_raw", lambda df, *a: (seen.append((plan(df), spark.conf.get(name))), append(df, *a)))
+    landed = files.read_landed(spark, path).drop("landed_path")
+    args = {"raw": f"{db.raw}.events", "history": f"{db.raw}.h", "loaded_at": AT, "landing_root": "l"}
+    assert load.load_batches(spark, landed, manifest, run_id="a", **args).count() == 2
+    ((appended, tasks),) = seen
+    assert path not in appended and "Join" not in appended
+    assert int(tasks) <= 4 * spark.sparkContext.defaultParallelism and spark.conf.get(name) == usual
+    assert spark.table(args["raw"]).count() == 20
+
+    seen.clear()
+    monkeypatch.setattr(sinks, "write_batches", lambda df, at: (seen.append(plan(df)), write(df, at)))
+    described = settle(scenarios.deliver_scenarios(spark, path, manifest, str(tmp_path / "invalid")))
+    assert len(seen) == 4 and not any(path in p for p in seen)
+    results = scenarios.validate_scenarios(spark, str(tmp_path / "invalid"), described, sorted(RAW.names))
+    assert "MapInArrow" not in plan(results)
+    found = scenarios.detected(results, described).collect()
+    assert len(found) == 12 and all(r.expected_failure_detected for r in found)
+
+
 def test_bad_staging_build_raises(spark, tmp_path, db):
     manifest = batches_on_disk(spark, str(tmp_path / "b"), n=20, size=10)
     assert manifest.count() == 2
